@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from catloom.llm import hilbert, mixing, secrets, token_ids
+from catloom.llm import decontaminate, factorisation, hilbert, mixing, ngram_lm, quality_rules, repeats, secrets, simhash, token_ids
 from catloom.llm.common import table
 
 
@@ -22,10 +22,37 @@ def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_digest(table(spark, sf_dir, "documents"))
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_digest(table(spark, sf_dir, "documents"))
+
+
+def op5_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_lm.lm_scores(table(spark, sf_dir, "documents"))
+
+
+def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeats_digest(table(spark, sf_dir, "documents"))
+
+
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert.shard_digest(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_ids, op2_secret_scan, op3_source_mix, op8_hilbert_shards)}
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return factorisation.classify_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op10_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    f.__name__: f
+    for f in (op1_token_ids, op2_secret_scan, op3_source_mix, op4_simhash, op5_lm_scores, op6_repeats, op7_quality_rules, op8_hilbert_shards, op9_quality_classifier, op10_benchmark_leaks)
+}
 
 ORACLE_SQL: dict[str, str] = {}
