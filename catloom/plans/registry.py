@@ -6,9 +6,24 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
+def query(oracle: str | None = None) -> Callable[[Query], Query]:
+    def add(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if oracle is not None:
+            ORACLES[f.__name__] = oracle
+        return f
+
+    return add
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    return QUERIES["reconcile_documents"](spark, sf_dir)
