@@ -123,7 +123,7 @@ def e_inventory(spark, sf_dir):
     return extract.inventory(pages, r"(?m)^(\d+);(\d+);([^;]*);([^;]*);(\d+)$")
 
 
-@query("select page_id, trim(regexp_replace(regexp_extract(html, '<div class=\"ad\">(.*?)</div>', 1), '\\s+', ' ', 'g')) as section, 1 as n, regexp_replace(regexp_replace(" + _HEAD + ", '(?s)(?:\\.\\s).*$', ''), '[\\s,;:.-]+$', '') as entry, 1 as layout from pages where html like '%<div class=\"ad\">%'")
+@query("select page_id, trim(regexp_replace(regexp_extract(html, '(?s)<div class=\"ad\">(.*?)</div>', 1), '\\s+', ' ', 'g')) as section, 1 as n, regexp_replace(regexp_replace(" + _HEAD + ", '(?s)(?:\\.\\s).*$', ''), '[\\s,;:.-]+$', '') as entry, 1 as layout from pages where html like '%<div class=\"ad\">%'")
 def e_section_designs(spark, sf_dir):
     blocks = extract.page_blocks(table(spark, sf_dir, "pages"), {"header": ("div", "ad"), "item": ("h1", "")})
     return extract.section_designs(blocks).select("page_id", "section", "n", "entry", "layout")
