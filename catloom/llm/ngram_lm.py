@@ -233,7 +233,7 @@ def lm_scores(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in _blocks(batches, slices, folds, block_tokens):
-            ids = pa.array([b.ids], pa.list_(pa.int64()))
+            ids = pa.array([b"".join(b"\0" * 9 if i is None else b"\1" + int(i).to_bytes(8, "little", signed=True) for i in b.ids)], pa.binary())
             rest = [[b.folds.astype(np.uint8).tobytes()], [b.sizes.astype("<u4").tobytes()], [b.token.astype("<u4").tobytes()], [b.words.tobytes()]]
             yield pa.RecordBatch.from_arrays([pa.array([b.name], pa.int64()), ids, *[pa.array(x, pa.binary()) for x in rest]], ["block", "ids", "folds", "sizes", "tokens", "words"])
 
@@ -242,7 +242,7 @@ def lm_scores(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
         by_slice = {r.slice: r for r in answers.itertuples()}
         for r in blocks.itertuples():
             words, token = np.frombuffer(r.words, "<u8"), np.frombuffer(r.tokens, "<u4")
-            ids = [None if x is None else int(x) for x in r.ids]
+            ids = [int.from_bytes(r.ids[k + 1 : k + 9], "little", signed=True) if r.ids[k] else None for k in range(0, len(r.ids), 9)]
             b = Block(ids, np.frombuffer(r.folds, np.uint8).astype(np.int64), np.frombuffer(r.sizes, "<u4").astype(np.int64), words[token], slices)
             parts = np.unique(b.part).tolist()
             if b.name != r.block or any(s not in by_slice for s in parts):
@@ -258,6 +258,6 @@ def lm_scores(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
             out.append(pd.DataFrame({"doc_id": pd.array(ids, dtype="Int64"), "held_out": b.folds == HELD_OUT, "n_tokens": b.sizes, "n_known": np.add.reduceat((train[b.token] > 0).astype(np.int64), cut), "train_tokens": n, "base_score": np.add.reduceat(np.log10(low), cut), "score": np.add.reduceat(np.log10(p), cut)}))
         return pd.concat(out) if out else pd.DataFrame(columns=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-    left = rows.mapInArrow(stream, "block long, ids array<long>, folds binary, sizes binary, tokens binary, words binary")
+    left = rows.mapInArrow(stream, "block long, ids binary, folds binary, sizes binary, tokens binary, words binary")
     right = found.where("kind = 'answer'").select("block", "slice", "train", "pairs")
     return left.groupBy("block").cogroup(right.groupBy("block")).applyInPandas(score, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
