@@ -55,4 +55,34 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (op1_token_ids, op2_secret_scan, op3_source_mix, op4_simhash, op5_lm_scores, op6_repeats, op7_quality_rules, op8_hilbert_shards, op9_quality_classifier, op10_benchmark_leaks)
 }
 
-ORACLE_SQL: dict[str, str] = {}
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+_RULES = ", ".join(f"({i}, {_quoted(r.kind)}, {_quoted(r.pattern)}, {r.group}, {r.least})" for i, r in enumerate(secrets.RULES))
+
+ORACLE_SQL: dict[str, str] = {
+    "op2_secret_scan": f"""
+with d as (select doc_id, coalesce(text, '') as t from documents), r(rank, kind, pattern, g, least) as (values {_RULES}),
+m as (select doc_id, rank, kind, pattern, g, least, regexp_split_to_array(t, pattern) as gaps, regexp_extract_all(t, pattern) as ms from d, r where regexp_matches(t, pattern)),
+x as (select *, unnest(range(1, len(ms) + 1)) as i from m),
+y as (select doc_id, rank, kind, ms[i] as hit, list_sum(list_transform(gaps[1:i], lambda v: length(v))) + coalesce(list_sum(list_transform(ms[1:i - 1], lambda v: length(v))), 0) as start, pattern, g, least from x),
+z as (select doc_id, rank, kind, start::bigint as start, (start + length(hit))::bigint as stop from y where case when g = 2 then length(regexp_extract(hit, pattern, 2)) else length(hit) end >= least)
+select d.doc_id, count(*) filter (where kind = 'assign') as n_assign, count(*) filter (where kind = 'access') as n_access, count(*) filter (where kind = 'hex') as n_hex,
+ sha256(coalesce(string_agg(kind || ':' || start || ':' || stop, ',' order by start, rank) filter (where rank < 3), '')) as base_sha256, coalesce(string_agg(kind || ':' || start || ':' || stop, ',' order by start, rank), '') as spans
+from d left join z on d.doc_id = z.doc_id group by 1""",
+    "op3_source_mix": """
+with d as (select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::bigint as size from documents),
+s as (select source, sum(size)::bigint as total from d group by 1), n as (select *, (row_number() over (order by source nulls last) - 1) % 3 + 1 as w, row_number() over (order by source nulls last) as i from s),
+o as (select *, row_number() over (order by 3 * total / w::double, i) as k, sum(total) over () as everything, sum(w) over () as all_w from n),
+p as (select *, everything - coalesce(sum(3 * total) over (order by k rows between unbounded preceding and 1 preceding), 0) as left_, all_w - coalesce(sum(w) over (order by k rows between unbounded preceding and 1 preceding), 0) as weight from o),
+c as (select *, bool_and(3 * total * weight < left_ * w) over (order by k rows unbounded preceding) as capped from p),
+l as (select everything_left, weight_left from (select max(everything) - coalesce(sum(3 * total) filter (where capped), 0) as everything_left, max(all_w) - coalesce(sum(w) filter (where capped), 0) as weight_left from c)),
+t as (select source, total, case when capped then (3 * total)::double else (everything_left * w)::double / weight_left end as target from c, l),
+q as (select *, round_even(target, 0)::bigint as give from t),
+h as (select d.*, total, target, give // greatest(total, 1) as whole, give % greatest(total, 1) as rest, ('0x' || substr(md5('42|' || doc_id || '|' || size), 1, 15))::bigint as h from d join q on d.source is not distinct from q.source),
+g as (select source, h, sum(size) as words, count(*) as n, sum(sum(size)) over (partition by source order by h) - sum(size) as at_ from h group by 1, 2)
+select doc_id, size, total as source_size, target, (case when total > 0 then whole * size else 0 end + case when at_ + words <= rest then size when at_ <= rest then least((rest - at_) // n, size) else 0 end)::bigint as taken from h join g on h.source is not distinct from g.source and h.h = g.h""",
+}
