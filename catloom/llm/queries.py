@@ -85,4 +85,14 @@ q as (select *, round_even(target, 0)::bigint as give from t),
 h as (select d.*, total, target, give // greatest(total, 1) as whole, give % greatest(total, 1) as rest, ('0x' || substr(md5('42|' || doc_id || '|' || size), 1, 15))::bigint as h from d join q on d.source is not distinct from q.source),
 g as (select source, h, sum(size) as words, count(*) as n, sum(sum(size)) over (partition by source order by h) - sum(size) as at_ from h group by 1, 2)
 select doc_id, size, total as source_size, target, (case when total > 0 then whole * size else 0 end + case when at_ + words <= rest then size when at_ <= rest then least((rest - at_) // n, size) else 0 end)::bigint as taken from h join g on h.source is not distinct from g.source and h.h = g.h""",
+    "op6_repeats": """
+with n as (select doc_id, hex(encode(coalesce(text, ''))) as x, length(hex(encode(coalesce(text, '')))) // 2 as n_bytes from documents),
+p as (select doc_id, i, md5(substr(x, 2 * i + 1, 400)) as w from (select doc_id, x, unnest(range(0, greatest(n_bytes - 199, 0))) as i from n)),
+r as (select w from p group by 1 having count(*) > 1),
+s as (select doc_id, i, case when i <= lag(i) over (partition by doc_id order by i) + 200 then 0 else 1 end as new from p where w in (select w from r)),
+g as (select *, sum(new) over (partition by doc_id order by i rows unbounded preceding) as run from s),
+m as (select doc_id, min(i) as a, max(i) + 200 as b from g group by doc_id, run),
+l as (select *, coalesce(lag(b) over (partition by doc_id order by a), 0) as before from m),
+k as (select l.doc_id, sum(b - a) as removed, count(*) as spans, string_agg(substr(x, 2 * before + 1, 2 * (a - before)), '' order by a) || substr(any_value(x), 2 * max(b) + 1) as kept from l join n on l.doc_id = n.doc_id group by 1)
+select n.doc_id, n_bytes::bigint as n_bytes, coalesce(removed, 0)::bigint as n_removed, coalesce(spans, 0)::bigint as n_spans, sha256(unhex(coalesce(kept, x))) as kept_sha256 from n left join k on n.doc_id = k.doc_id""",
 }
