@@ -27,3 +27,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return QUERIES["reconcile_documents"](spark, sf_dir)
+
+
+def scratch(spark: SparkSession, tag: str) -> str:
+    """A new folder that all executors share: below spark.checkpoint.dir, or a local one where that is unset (tests)."""
+    import tempfile
+    import uuid
+
+    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="catloom-")
+    return f"{base.rstrip('/')}/{tag}-{uuid.uuid4().hex}"

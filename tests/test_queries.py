@@ -9,7 +9,8 @@ import pytest
 import catloom.plans.extract_queries
 import catloom.plans.relation_queries
 import catloom.plans.scalar_queries
-import catloom.plans.shape_queries  # noqa: F401
+import catloom.plans.shape_queries
+import catloom.plans.stream_queries  # noqa: F401
 from catloom.plans.registry import ORACLES, QUERIES
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
