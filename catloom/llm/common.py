@@ -47,3 +47,10 @@ def text_of(df: DataFrame, text_col: str = "text") -> Column:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def free_prefix(df: DataFrame, prefix: str) -> str:
+    """A prefix that no column of df starts with."""
+    while any(c.lower().startswith(prefix) for c in df.columns):
+        prefix = "_" + prefix
+    return prefix

@@ -121,19 +121,15 @@ def fit(docs: DataFrame, labels: DataFrame, *, max_labelled: int = 8_000, folds:
     return train(rows, got["quality"].to_numpy(np.float32), **training)
 
 
-def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, score and the columns named in keep, of each row."""
+def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id and score of each row."""
     held = docs.sparkSession.sparkContext.broadcast(model)  # of a fixed size
 
     def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = pa.array([held.value.score(t) for t in batch["_text"].to_pylist()], pa.float64())
-            yield pa.RecordBatch.from_arrays([*[batch[c] for c in batch.schema.names if c != "_text"], out], [*[c for c in batch.schema.names if c != "_text"], "score"])
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array([held.value.score(t) for t in batch["text"].to_pylist()], pa.float64())], ["doc_id", "score"])
 
-    rows = docs.select(*[docs[c].alias(f"_keep_{i}") for i, c in enumerate(keep)], docs[id_col].cast("long").alias("doc_id"), text_of(docs, text_col).alias("_text"))
-    schema = ", ".join([*[f"_keep_{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(keep)], "doc_id long", "score double"])
-    out = rows.mapInArrow(scores, schema)
-    return out.select(*[F.col(f"_keep_{i}").alias(c) for i, c in enumerate(keep)], *(["score"] if keep else ["doc_id", "score"]))
+    return docs.select(docs[id_col].cast("long").alias("doc_id"), text_of(docs, text_col).alias("text")).mapInArrow(scores, "doc_id long, score double")
 
 
 def classify_digest(docs: DataFrame, labels: DataFrame, *, threshold: float = 0.3, folds: int = 5, **options) -> DataFrame:
@@ -142,7 +138,12 @@ def classify_digest(docs: DataFrame, labels: DataFrame, *, threshold: float = 0.
     return score(docs, model, **keys).select("doc_id", held_out(F.col("doc_id"), folds).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
-def accepted(docs: DataFrame, labels: DataFrame, *, threshold: float = 0.3, **options) -> DataFrame:
-    """docs without the rows that the classifier rejects."""
-    keys = {k: v for k, v in options.items() if k in ("id_col", "text_col")}
-    return score(docs, fit(docs, labels, **options), keep=tuple(docs.columns), **keys).where(F.col("score") >= threshold).select(*docs.columns)
+def accepted(docs: DataFrame, labels: DataFrame, *, threshold: float = 0.3, text_col: str = "text", **options) -> DataFrame:
+    """docs without the rows that the classifier rejects; each row is judged where it lies."""
+    held = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, text_col=text_col, **options))
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array([held.value.score(t or "") >= threshold for t in batch[text_col].to_pylist()], pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)

@@ -20,7 +20,7 @@ from collections import deque
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from catloom.llm.common import WORD, stored, text_of
+from catloom.llm.common import WORD, free_prefix, stored, text_of
 
 RANGES = 4096
 
@@ -171,18 +171,18 @@ def mix_digest(docs: DataFrame, **options) -> DataFrame:
 
 def repeated(docs: DataFrame, **options) -> DataFrame:
     """The mixed corpus: docs' columns, each row as often as the mix takes it; a partly taken document keeps its first words."""
-    where, columns = {k: v for k, v in options.items() if k in _WHERE}, docs.columns
-    features = {f"_mix_{n}": c for n, c in _features(docs, **where).items()}
-    rows = stored(docs.select(*[c.alias(n[5:]) for n, c in features.items()]), "mix")
+    where, columns, p = {k: v for k, v in options.items() if k in _WHERE}, docs.columns, free_prefix(docs, "_mix_")
+    features = _features(docs, **where)
+    rows = stored(docs.select(*[c.alias(n) for n, c in features.items()]), "mix")
     plan = F.broadcast(plan_mix(rows, **{k: v for k, v in options.items() if k not in _WHERE}))
-    plan = plan.select(*[F.col(c).alias(f"_mix_{c}") for c in plan.columns])
+    plan = plan.select(*[F.col(c).alias(p + c) for c in plan.columns])
     text_col = where.get("text_col", "text")
-    got = docs.select("*", *[c.alias(n) for n, c in features.items()]).withColumn("_mix_pkey", _key(F.col("_mix_pattern"))).join(plan, "_mix_pkey")
-    part = F.when(F.col("_mix_h") < F.col("_mix_cut"), F.col("_mix_size")).when(F.col("_mix_h") == F.col("_mix_cut"), F.least("_mix_share", "_mix_size")).otherwise(F.lit(0))
+    got = docs.select("*", *[c.alias(p + n) for n, c in features.items()]).withColumn(f"{p}pkey", _key(F.col(f"{p}pattern"))).join(plan, f"{p}pkey")
+    part = F.when(F.col(f"{p}h") < F.col(f"{p}cut"), F.col(f"{p}size")).when(F.col(f"{p}h") == F.col(f"{p}cut"), F.least(f"{p}share", f"{p}size")).otherwise(F.lit(0))
     text = F.col(text_col)
     cut = F.array_join(F.slice(F.regexp_extract_all(text, F.lit(rf"[\x20\x09-\x0D]*{WORD}"), F.lit(0)), 1, part.cast("int")), "")
-    last = F.when(part == F.col("_mix_size"), text).otherwise(cut)
-    times = F.when(F.col("_mix_size") > 0, F.col("_mix_whole")).otherwise(F.lit(0)).cast("int")
+    last = F.when(part == F.col(f"{p}size"), text).otherwise(cut)
+    times = F.when(F.col(f"{p}size") > 0, F.col(f"{p}whole")).otherwise(F.lit(0)).cast("int")
     copies = F.concat(F.array_repeat(F.lit(False), times), F.when(part > 0, F.array(F.lit(True))).otherwise(F.array().cast("array<boolean>")))
-    got = got.withColumn("_mix_last", F.explode(copies))
-    return got.select(*[F.when(F.col("_mix_last"), last).otherwise(text).alias(c) if c == text_col else F.col(c) for c in columns])
+    got = got.withColumn(f"{p}last", F.explode(copies))
+    return got.select(*[F.when(F.col(f"{p}last"), last).otherwise(text).alias(c) if c == text_col else F.col(c) for c in columns])

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from catloom.llm.common import stored, text_of
+from catloom.llm.common import free_prefix, stored, text_of
 
 RADIUS = 3
 BLOCKS = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))
@@ -176,7 +176,9 @@ def near_digest(docs: DataFrame, **options) -> DataFrame:
 
 def drop_near(docs: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
     """The row with the smallest id of each group, with docs' columns; rows without an id are kept."""
-    kept = near_groups(docs, id_col=id_col, **options).where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    first = docs.join(kept, docs[id_col].cast("long") == kept["_kept"], "left_semi")
-    first = first.withColumn("_n", F.row_number().over(Window.partitionBy(id_col).orderBy(F.xxhash64(*[c for c in docs.columns if c != id_col])))).where("_n = 1").drop("_n")
+    p = free_prefix(docs, "_near_")
+    kept = near_groups(docs, id_col=id_col, **options).where("doc_id = component_id").select(F.col("doc_id").alias(f"{p}id")).distinct()
+    first = docs.join(kept, docs[id_col].cast("long") == kept[f"{p}id"], "left_semi")
+    order = Window.partitionBy(id_col).orderBy(F.xxhash64(*[c for c in docs.columns if c != id_col]))
+    first = first.withColumn(f"{p}n", F.row_number().over(order)).where(F.col(f"{p}n") == 1).drop(f"{p}n")
     return first.unionByName(docs.where(docs[id_col].isNull()))

@@ -370,3 +370,12 @@ def test_every_planted_item_is_found(spark):
     items = [(r["item_id"], r["text"]) for r in bench.collect()]
     want = {(d, i) for d, t in pairs(own) for i, x in items if x in t}
     assert want == {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(own, bench).collect()}
+
+
+def test_shard_files_hold_every_row(spark, docs, tmp_path):
+    path = f"file://{tmp_path}/shards"
+    hilbert.write_shards(docs, path)
+    back = spark.read.parquet(path)
+    assert back.drop("shard_id").exceptAll(docs).count() == 0 and back.count() == docs.count()
+    want = {(r["doc_id"], r["text_crc32"]): r["shard"] for r in hilbert.shard_digest(docs.where("doc_id <> 3")).collect()}
+    assert len(set(want.values())) > 1

@@ -26,3 +26,13 @@ def test_stages(spark):
     assert d.columns == docs.columns and d.agg(F.sum(mixing.n_words(F.col("text")))).first()[0] == taken
     e = stages["tokens"](spark, d, SF)
     assert e.count() == d.count()
+
+
+def test_stages_take_odd_rows(spark):
+    schema = "doc_id long, text string, lang string, source string, n_chars long, _n int, score double, fp string, pattern string, pkey string"
+    rows = [(1, None, None, None, None, 1, 1.0, "f", "p", "k"), (1, "", "en", "s", 0, 1, 1.0, "f", "p", "k"), (2, "a b " * 9000, "en", "s", 9, 1, 1.0, "f", "p", "k"), (3, "x y z q r s t u v w", "en", None, 9, 1, 1.0, "f", "p", "k"), (3, "x y z q r s t u v w", "en", None, 9, 1, 1.0, "f", "p", "k"), (None, "no id", "en", "s", 5, 1, 1.0, "f", "p", "k")]
+    for docs in (spark.createDataFrame(rows, schema), spark.createDataFrame([], schema)):
+        for name, stage in corpus_pipeline.STAGES:
+            out = stage(spark, docs, SF)
+            assert name == "tokens" or out.columns == docs.columns
+            assert out.count() <= 3 * docs.count()
