@@ -47,13 +47,16 @@ def canonical_page_url(c: Column) -> Column:
 
 def url_stem(c: Column) -> Column:
     """Slug of the last part of the path, without its extension."""
-    return slugify(F.regexp_replace(F.regexp_extract(F.regexp_replace(F.coalesce(_part(c, "PATH"), F.lit("")), "/+$", ""), "([^/]*)$", 1), r"\.[A-Za-z0-9]+$", ""))
+    path = F.regexp_replace(F.coalesce(F.try_url_decode(_part(c, "PATH")), F.lit("")), "/+$", "")
+    return slugify(F.regexp_replace(F.regexp_extract(path, "([^/]*)$", 1), r"\.[A-Za-z0-9]+$", ""))
 
 
 def detail_stem(c: Column) -> Column:
-    """As url_stem, of the page that a login link refers to."""
-    target = F.when(_part(c, "PATH").rlike("login"), F.try_url_decode(query_param(c, "ref"))).otherwise(c)
-    return slugify(F.regexp_extract(F.regexp_replace(F.split_part(target, F.lit("?"), F.lit(1)), "/+$", ""), "([^/]*)$", 1))
+    """Slug of the path below /coin/, of the page that a login link refers to if it is one."""
+    own = F.regexp_replace(F.coalesce(F.try_url_decode(_part(c, "PATH")), F.lit("")), "^/+|/+$", "")
+    target = F.try_url_decode(query_param(c, "ref"))
+    named = F.regexp_replace(F.coalesce(F.try_url_decode(_part(target, "PATH")), target, F.lit("")), "^/+|/+$", "")
+    return slugify(F.regexp_replace(F.when((own == "login") & target.isNotNull(), named).otherwise(own), "^coin/", ""))
 
 
 def strip_trailing_years(c: Column) -> Column:
@@ -67,15 +70,16 @@ def slug_compatible(a: Column, b: Column) -> Column:
 
 
 def image_parts(c: Column) -> Column:
-    """Asset, side, the other side's url, name without a size, and example year of an image url."""
+    """Asset number, side, the other side's url, the url in full size, and the example year of '.../123-1s/name-1957.jpg'."""
+    url = F.trim(F.coalesce(c, F.lit("")))
+    side = F.nullif(F.regexp_extract(url, "-([12])s?/", 1), F.lit(""))
     name = F.regexp_extract(F.coalesce(_part(c, "PATH"), F.lit("")), "([^/]*)$", 1)
-    side = F.nullif(F.regexp_extract(name, r"-([12])(?:s|c)?(?:/|\.|$)", 1), F.lit(""))
-    other = F.when(side == "1", F.regexp_replace(c, r"-1((?:s|c)?\.[A-Za-z0-9]+)$", "-2$1")).when(side == "2", F.regexp_replace(c, r"-2((?:s|c)?\.[A-Za-z0-9]+)$", "-1$1"))
+    other = F.when(side.isNotNull(), F.concat(F.regexp_extract(url, "^(.*?)-[12]s?/", 1), F.when(side == "1", "-2/").otherwise("-1/"), F.regexp_extract(url, "^.*?-[12]s?/(.*)$", 1)))
     return F.struct(
-        F.nullif(F.regexp_extract(name, r"^([A-Za-z0-9]+)", 1), F.lit("")).alias("asset"),
-        side.alias("side"),
+        F.nullif(F.regexp_extract(url, "/([0-9]+)-[12]s?/", 1), F.lit("")).alias("asset"),
+        F.when(side == "1", "obverse").when(side == "2", "reverse").alias("side"),
         other.alias("other_side"),
-        F.regexp_replace(name, r"-\d+x\d+(?=\.)", "").alias("name"),
+        F.regexp_replace(url, "-([12])s/", "-$1/").alias("full_size"),
         F.nullif(F.regexp_extract(name, r"(?i)(?:^|-)(\d{4})\.[a-z0-9]+$", 1), F.lit("")).try_cast("int").alias("year"),
     )
 

@@ -32,9 +32,9 @@ def issue_sort_key(c: Column) -> Column:
 
 
 def single_year(url: Column, first: Column, last: Column) -> Column:
-    """The one year of an item: its range's, or that at the end of its url's slug; null where neither is single."""
-    at_end = F.nullif(F.regexp_extract(F.coalesce(url, F.lit("")), r"(\d{4})/?(?:[?#].*)?$", 1), F.lit("")).cast("int")
-    return F.when(first == last, first).when(at_end.between(first, last), at_end)
+    """The year at the end of the url's slug, for an item of one year; null where the range is longer or the url has none."""
+    path = F.regexp_replace(F.coalesce(url, F.lit("")), "[?#].*$", "")
+    return F.when(first == last, F.nullif(F.regexp_extract(path, r"-(\d{4})/?$", 1), F.lit("")).cast("int"))
 
 
 def safe_year_extension(current: Column, proposed: Column) -> Column:

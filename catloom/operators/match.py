@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from catloom.functions.records import difflib_ratio
 from catloom.functions.text import amount_variants, contains_sequence, fold_keep_accents, key_tokens, normalize_key
+from catloom.functions.urls import detail_stem
 
 
 def match_cascade(items: DataFrame, records: DataFrame, stages: list[tuple[str, Column, Column]], *, item_id: str = "item_id", record_id: str = "record_id", unique: tuple[str, ...] = ()) -> DataFrame:
@@ -42,28 +43,27 @@ def same_visible_name(a: Column, b: Column) -> Column:
     return fold_keep_accents(a) == fold_keep_accents(b)
 
 
-def url_identity_mismatch(slug: Column, name: Column, years: Column, units: list[str]) -> Column:
-    """Parts of an item's identity that its url's slug contradicts: amount, unit, years."""
-    tokens = key_tokens(F.replace(slug, F.lit("-"), F.lit(" ")))
+def url_identity_mismatch(url: Column, name: Column, years: Column, host: str, units: list[str]) -> Column:
+    """Parts of an item's identity that its url contradicts: host (a pattern), name (amount and first unit), years."""
+    tokens = key_tokens(detail_stem(url))
     amounts = amount_variants(name)
-    amount_ok = (F.size(amounts) == 0) | F.exists(amounts, lambda v: contains_sequence(tokens, v))
-    own_units = F.array_intersect(key_tokens(name), F.array(*map(F.lit, units)))
-    unit_ok = (F.size(own_units) == 0) | F.arrays_overlap(tokens, own_units)
-    own_years = F.regexp_extract_all(F.coalesce(years, F.lit("")), F.lit(r"\d{4}"), F.lit(0))
-    year_ok = (F.size(own_years) == 0) | ~F.exists(tokens, lambda t: t.rlike(r"^\d{4}$")) | F.arrays_overlap(tokens, own_years)
-    return F.array_compact(F.array(F.when(~amount_ok, "amount"), F.when(~unit_ok, "unit"), F.when(~year_ok, "years")))
+    unit = F.try_element_at(F.array_intersect(key_tokens(name), F.array(*map(F.lit, units))), F.lit(1))
+    named = (F.size(amounts) == 0) | (F.exists(amounts, lambda v: contains_sequence(tokens, v)) & (unit.isNull() | F.array_contains(tokens, unit)))
+    host_ok = F.coalesce(F.lower(F.try_parse_url(url, F.lit("HOST"))).rlike(host), F.lit(False))
+    return F.array_compact(F.array(F.when(~host_ok, "host"), F.when(~named, "name"), F.when(~contains_sequence(tokens, key_tokens(years)), "years")))
 
 
 def score(amount_a: Column, amount_b: Column, name_a: Column, name_b: Column, years_a: Column, years_b: Column, *, ratio: Column | None = None) -> Column:
     """0 where amounts differ or names are too unlike; else 5 for equal names or three times their ratio, and 5 for equal
     years or 2.5 for years that hold one another. ratio: similarity in 0..1, by default difflib's (argument order counts).
     """
+    blank = (name_a == "") | (name_b == "")
     equal = name_a == name_b
-    like = difflib_ratio(name_a, name_b) if ratio is None else ratio
+    like = F.when(blank, 0.0).otherwise(difflib_ratio(name_a, name_b) if ratio is None else ratio)
     both = (years_a != "") & (years_b != "")
     year = F.when(both & (years_a == years_b), 5.0).when(both & (F.contains(years_a, years_b) | F.contains(years_b, years_a)), 2.5).otherwise(0.0)
     amounts = F.coalesce((amount_a != amount_b) & (amount_a != "") & (amount_b != ""), F.lit(False))
-    return F.when(amounts, 0.0).when(~equal & (like < 0.7), 0.0).otherwise(F.when(equal, 5.0).otherwise(3 * like) + year)
+    return F.when(amounts, 0.0).when(~equal & (like < 0.7), 0.0).otherwise(F.when(equal & ~blank, 5.0).otherwise(3 * like) + year)
 
 
 def levenshtein_ratio(a: Column, b: Column) -> Column:

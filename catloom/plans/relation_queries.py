@@ -133,11 +133,12 @@ def m_disambiguate(spark, sf_dir):
     return match.disambiguate(p, "key", F.col("p_size") == 11).select("p_partkey")
 
 
-@query("select p_partkey, array_to_string(list_filter([case when p_partkey % 2 = 0 then 'amount' end, case when p_partkey % 3 = 0 then 'unit' end, case when p_partkey % 5 = 0 then 'years' end], lambda x: x is not null), ',') as mismatches from part")
+@query("select p_partkey, array_to_string(list_filter([case when p_partkey % 7 = 0 then 'host' end, case when p_partkey % 2 = 0 or p_partkey % 3 = 0 then 'name' end, case when p_partkey % 5 = 0 then 'years' end], lambda x: x is not null), ',') as mismatches from part")
 def m_url_identity(spark, sf_dir):
     k, n = F.col("p_partkey"), F.col("p_size").cast("string")
     amount, unit, year = F.when(k % 2 == 0, F.lit("777")).otherwise(n), F.when(k % 3 == 0, "euro").otherwise("cent"), F.when(k % 5 == 0, "1800").otherwise("1957")
-    found = match.url_identity_mismatch(F.concat_ws("-", F.lit("land"), amount, unit, year), F.concat(n, F.lit(" Cents")), F.lit("1957"), ["cent", "euro"])
+    url = F.concat(F.when(k % 7 == 0, F.lit("http://elsewhere.org")).otherwise(F.lit("https://en.Example.com")), F.lit("/coin/"), F.concat_ws("-", F.lit("land"), amount, unit, year), F.lit("/?tid=1"))
+    found = match.url_identity_mismatch(url, F.concat(n, F.lit(" Cents")), F.lit("1957"), r"(^|\.)example\.com$", ["cent", "euro"])
     return table(spark, sf_dir, "part").select("p_partkey", F.array_join(found, ",").alias("mismatches"))
 
 

@@ -92,27 +92,27 @@ def n_urls(spark, sf_dir):
 
 @query("""
 with s as (select page_id, regexp_replace(regexp_replace(lower(regexp_extract(url, '^https?://[^/]+/([a-z]+)/', 1)), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g') as lang, page_id % 3 as k from pages)
-select page_id, lang || '-coin' as stripped, k <> 1 as compatible, '1a2b' as asset, '1' as side, 'https://i.example.com/1a2b-2s.jpg' as other_side, 1957 as year,
+select page_id, lang || '-coin' as stripped, k <> 1 as compatible, page_id::varchar as asset, case when page_id % 2 = 0 then 'obverse' else 'reverse' end as side, 'https://i.example.com/c/' || page_id || case when page_id % 2 = 0 then '-2/' else '-1/' end || lang || '-1957.jpg' as other_side, 1957 as year,
  'https://x.example.com/r/' || page_id || '#p' || page_id as reference from s""")
 def n_slugs_images(spark, sf_dir):
     p = table(spark, sf_dir, "pages")
     lang = F.regexp_extract("url", r"^https?://[^/]+/([a-z]+)/", 1)
     slug = F.concat(text.slugify(lang), F.lit("-coin-1957-1961"))
     other = F.when(F.col("page_id") % 3 == 0, F.lit("")).when(F.col("page_id") % 3 == 1, F.lit("another-thing")).otherwise(F.concat(lang, F.lit("-coin")))
-    image = urls.image_parts(F.lit("https://i.example.com/1a2b-1s.jpg"))
-    return p.select("page_id", urls.strip_trailing_years(slug).alias("stripped"), urls.slug_compatible(slug, other).alias("compatible"), image["asset"].alias("asset"), image["side"].alias("side"), image["other_side"].alias("other_side"), urls.image_parts(F.lit("https://i.example.com/coin-1957.jpg"))["year"].alias("year"), urls.reference_url("https://x.example.com/r/", F.col("page_id"), fragment=F.concat(F.lit("p"), F.col("page_id").cast("string"))).alias("reference"))
+    image = urls.image_parts(F.concat(F.lit("https://i.example.com/c/"), F.col("page_id").cast("string"), F.when(F.col("page_id") % 2 == 0, "-1s/").otherwise("-2/"), lang, F.lit("-1957.jpg")))
+    return p.select("page_id", urls.strip_trailing_years(slug).alias("stripped"), urls.slug_compatible(slug, other).alias("compatible"), image["asset"].alias("asset"), image["side"].alias("side"), image["other_side"].alias("other_side"), image["year"].alias("year"), urls.reference_url("https://x.example.com/r/", F.col("page_id"), fragment=F.concat(F.lit("p"), F.col("page_id").cast("string"))).alias("reference"))
 
 
 @query("""
 with o as (select o_orderkey, year(o_orderdate) as y, o_orderkey % 7 as d from orders)
 select o_orderkey, y as first, y + d as last, y as least, y + d as greatest, y as sort_first, y + d as sort_last, d > 3 as extends,
- case when d = 0 then y when d % 2 = 1 then y + d end as single from o""")
+ case when d = 0 and o_orderkey % 2 = 1 then y end as single from o""")
 def n_years(spark, sf_dir):
     o = table(spark, sf_dir, "orders").select("o_orderkey", F.year("o_orderdate").alias("y"), (F.col("o_orderkey") % 7).alias("d"))
     last = F.col("y") + F.col("d")
     span = F.concat("y", F.lit(" - "), last)
     a, b, k = years.parse_years(span), years.year_bounds(F.concat(F.lit("ab "), span, F.lit(" 12345"))), years.issue_sort_key(span)
-    url = F.when(F.col("d") % 2 == 1, F.concat(F.lit("https://x.example.com/coin-"), last)).otherwise(F.lit("https://x.example.com/coin"))
+    url = F.when(F.col("o_orderkey") % 2 == 1, F.concat(F.lit("https://x.example.com/coin-"), last)).otherwise(F.lit("https://x.example.com/coin"))
     short = F.concat("y", F.lit("-"), F.col("y") + 3)
     return o.select("o_orderkey", a["first"].alias("first"), a["last"].cast("bigint").alias("last"), b["first"].alias("least"), b["last"].cast("bigint").alias("greatest"), k["first"].alias("sort_first"), k["last"].cast("bigint").alias("sort_last"), years.safe_year_extension(short, span).alias("extends"), years.single_year(url, F.col("y"), last).cast("bigint").alias("single"))
 

@@ -36,7 +36,7 @@ def test_parse_years(spark, value, first, last):
 
 def test_urls(spark):
     assert one(spark, urls.canonical_page_url(F.lit("HTTP://A.example.com/catalog/?b=2&page=1&a=1"))) == "http://a.example.com/catalog?a=1&b=2"
-    assert one(spark, urls.detail_stem(F.lit("https://x.example.com/login?ref=coin%2Fland-1-cent-1957"))) == "land-1-cent-1957"
+    assert one(spark, urls.detail_stem(F.lit("https://x.example.com/login?ref=%2Fcoin%2Fland-1-cent-1957%2F%3Ftid%3D1"))) == "land-1-cent-1957"
     assert one(spark, urls.is_http_url(F.lit("not a url"))) is False
     assert one(spark, urls.strip_trailing_years(F.lit("cent-1957-1961"))) == "cent"
 
