@@ -48,16 +48,33 @@ def dedup_strict(df: DataFrame, key: list[str], payload: list[str]) -> DataFrame
     return df.groupBy(*key).agg(F.count("*").alias("rows"), F.min(body).alias("payload"), (F.min(F.to_json(body, {"ignoreNullFields": "false"})) == F.max(F.to_json(body, {"ignoreNullFields": "false"}))).alias("agree"))
 
 
-def dedup_merge(df: DataFrame, key: list[str], order: str, fields: list[str]) -> DataFrame:
+def dedup_merge(df: DataFrame, key: list[str], order: str, fields: list[str], *, guard: str | None = None) -> DataFrame:
     """Ordered fold of a key's rows. The base is the record that is strictly more complete than what was merged so far (a
-    tie leaves the earlier), and the other fills its blanks. The fold depends on order, so it runs over the ordered rows of
-    a key (few, by nature: pages that repeat an item); keys are spread over tasks.
+    tie leaves the earlier), and the other fills its blanks, also inside structs, one level deep. A record whose guard
+    differs from that of what was merged is left out. The fold depends on order, so it runs over the ordered rows of a key
+    (few, by nature: pages that repeat an item); keys are spread over tasks.
     """
-    filled = lambda r: sum((F.when(F.coalesce(r[f].cast("string"), F.lit("")) != "", 1).otherwise(0) for f in fields), F.lit(0))
-    fill = lambda a, b: F.struct(*[F.when(F.coalesce(a[f].cast("string"), F.lit("")) != "", a[f]).otherwise(b[f]).alias(f) for f in fields])
+    nested = {f: [x.name for x in df.schema[f].dataType.fields] if df.schema[f].dataType.typeName() == "struct" else None for f in fields}
+    has = lambda c: F.coalesce(c.cast("string"), F.lit("")) != ""
+    leaves = lambda r: [r[f][x] for f in fields for x in nested[f] or ()] + [r[f] for f in fields if nested[f] is None]
+    filled = lambda r: sum((F.when(has(c), 1).otherwise(0) for c in leaves(r)), F.lit(0))
+
+    def fill(a: Column, b: Column) -> Column:
+        def one(f: str) -> Column:
+            if nested[f] is None:
+                return F.when(has(a[f]), a[f]).otherwise(b[f])
+            inner = F.struct(*[F.when(has(a[f][x]), a[f][x]).otherwise(b[f][x]).alias(x) for x in nested[f]])
+            return F.when(a[f].isNull(), b[f]).when(b[f].isNull(), a[f]).otherwise(inner)
+
+        return F.struct(*[one(f).alias(f) for f in fields])
+
+    def step(acc: Column, r: Column) -> Column:
+        out = F.when(filled(r) > filled(acc), fill(r, acc)).otherwise(fill(acc, r))
+        return out if guard is None else F.when(has(acc[guard]) & has(r[guard]) & (acc[guard] != r[guard]), acc).otherwise(out)
+
     rows = df.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("_order"), *fields))).alias("rows"))
     plain = F.transform("rows", lambda r: F.struct(*[r[f].alias(f) for f in fields]))
-    merged = F.reduce(F.slice(plain, 2, F.greatest(F.size(plain), F.lit(1))), F.element_at(plain, 1), lambda acc, r: F.when(filled(r) > filled(acc), fill(r, acc)).otherwise(fill(acc, r)))
+    merged = F.reduce(F.slice(plain, 2, F.greatest(F.size(plain), F.lit(1))), F.element_at(plain, 1), step)
     return rows.select(*key, F.size("rows").alias("rows"), merged.alias("m")).select(*key, "rows", *[F.col(f"m.{f}").alias(f) for f in fields])
 
 

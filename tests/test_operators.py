@@ -58,6 +58,12 @@ def test_merge_is_an_ordered_fold(spark):
     assert got["k"] == ("b", "c", 3) and got["m"] == (None, None, 1)
 
 
+def test_merge_fills_structs_and_keeps_to_its_guard(spark):
+    rows = spark.createDataFrame([("k", 1, 7, ("a", None), None), ("k", 2, 8, ("x", "y"), "z"), ("k", 3, 7, (None, "c"), "d")], "k string, pos int, id int, s struct<p:string,q:string>, t string")
+    got = shape.dedup_merge(rows, ["k"], "pos", ["id", "s", "t"], guard="id").first()
+    assert (got["id"], tuple(got["s"]), got["t"]) == (7, ("a", "c"), "d")
+
+
 @pytest.mark.parametrize("parts", [1, 17])
 def test_partitions_do_not_matter(spark, parts):
     rows = spark.range(200).select(F.col("id").alias("pos"), (F.col("id") % 2).alias("part"), F.when(F.col("id") % 3 == 0, " ").otherwise((F.col("id") % 7).cast("string")).alias("key")).repartition(parts)
