@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from catloom.llm.common import shuffle_partitions, stored, text_of
 
-GRAM = 32
+GRAM = 64
 _CHUNK = 900_000
 _POS_BITS = np.uint64((1 << 20) - 1)
 _TABLE = np.random.default_rng(9).integers(0, 2**64, 256, dtype=np.uint64)
@@ -182,37 +182,58 @@ def _spans(flags: np.ndarray, length: int) -> list[tuple[int, int]]:
     return [(int(a), int(b) + length) for a, b in zip(at[np.concatenate([[0], cut + 1])], at[np.concatenate([cut, [len(at) - 1]])], strict=True)]
 
 
-def _cut(rows: DataFrame, length: int, body: bool) -> DataFrame:
-    """The pieces under a document's chosen runs, with their digest."""
+def _pieces(batch: pa.RecordBatch, length: int) -> Iterator[tuple[int, dict[tuple[int, int], list[int]], np.ndarray, dict[tuple[int, int], int]]]:
+    """Each document of a batch (rid, text, fps: the anchors that count): its row, the starts of each of its distinct
+    pieces by (anchor hash, digest), its bytes, and the pieces' sizes.
+    """
+    from xxhash import xxh3_64_intdigest
+
+    data, at = _bytes_of(batch["text"])
+    chosen = [set(x) for x in batch["fps"].to_pylist()]
+    by_row: dict[int, list] = {}
+    for row, first, count, fp in batch_runs(batch["text"], length):
+        for k, p, n, f in zip(row.tolist(), first.tolist(), count.tolist(), fp.tolist(), strict=True):
+            if f in chosen[k]:
+                by_row.setdefault(k, []).append((p, n, f))
+    for k in range(len(batch)):
+        text, places, sizes = data[at[k] : at[k + 1]], {}, {}
+        for p, n, f in by_row.get(k, ()):
+            key = (f, xxh3_64_intdigest(text[p : p + n + length - 1].tobytes()) - 2**63)
+            places.setdefault(key, []).append(p)
+            sizes[key] = n + length - 1
+        yield k, places, text, sizes
+
+
+def _members(rows: DataFrame, length: int) -> DataFrame:
+    """fp, d, rid, times and size of the distinct pieces of each document."""
+
+    def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rids = batch["rid"].to_pylist()
+            out = [(f, d, rids[k], len(at), sizes[f, d]) for k, places, _, sizes in _pieces(batch, length) for (f, d), at in places.items()]
+            cols = list(zip(*out, strict=True)) or [[]] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32()), strict=True)], ["fp", "d", "rid", "times", "size"])
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from xxhash import xxh3_128_intdigest
+    return rows.mapInArrow(members, "fp long, d long, rid long, times int, size int")
 
-        for batch in batches:
-            data, at = _bytes_of(batch["text"])
-            rids, out = batch["rid"].to_pylist(), []
-            for k, runs in enumerate(batch["runs"].to_pylist()):
-                for r in runs:
-                    a = int(at[k]) + r["p0"]
-                    piece = data[a : a + r["n"] + length - 1].tobytes()
-                    d = xxh3_128_intdigest(piece)
-                    out.append((r["fp"], (d >> 64) - 2**63, (d & (2**64 - 1)) - 2**63, piece if body else (rids[k], r["p0"])))
-                    if len(out) >= 20_000:
-                        yield emit(out)
-                        out = []
-            yield emit(out)
 
-    def emit(out: list) -> pa.RecordBatch:
-        fp, d1, d2, last = zip(*out, strict=True) if out else ((), (), (), ())
-        cols = [pa.array(x, pa.int64()) for x in (fp, d1, d2)]
-        if body:
-            return pa.RecordBatch.from_arrays([*cols, pa.array(last, pa.binary())], ["fp", "d1", "d2", "body"])
-        return pa.RecordBatch.from_arrays([*cols, pa.array([r for r, _ in last], pa.int64()), pa.array([p for _, p in last], pa.int64())], ["fp", "d1", "d2", "rid", "p0"])
+def _bodies(rows: DataFrame, length: int) -> DataFrame:
+    """fp, d and body of the pieces that a document is asked for. rows: rid, text, fps, wanted (array of fp, d)."""
 
-    return rows.mapInArrow(cut, "fp long, d1 long, d2 long, " + ("body binary" if body else "rid long, p0 long"))
+    def bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            wanted, out = batch["wanted"].to_pylist(), []
+            for k, places, text, sizes in _pieces(batch, length):
+                for w in wanted[k]:
+                    p = places[w["fp"], w["d"]][0]
+                    out.append((w["fp"], w["d"], text[p : p + sizes[w["fp"], w["d"]]].tobytes()))
+            cols = list(zip(*out, strict=True)) or [[]] * 3
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.binary()), strict=True)], ["fp", "d", "body"])
 
+    return rows.mapInArrow(bodies, "fp long, d long, body binary")
 
-_MARK = "fp long, d1 long, d2 long, shard int, first int, last int, w1 long, w2 long"
+
+_MARK = "fp long, d long, shard int, first int, last int, w1 long, w2 long"
 
 
 def _mark(pieces: DataFrame, length: int, chunk_bytes: int) -> DataFrame:
@@ -224,12 +245,12 @@ def _mark(pieces: DataFrame, length: int, chunk_bytes: int) -> DataFrame:
         held: list[tuple] = []
         size = 0
         for batch in batches:
-            for r in zip(*[batch[c].to_pylist() for c in ("fp", "shard", "d1", "d2", "several", "body")], strict=True):
+            for r in zip(*[batch[c].to_pylist() for c in ("fp", "shard", "d", "several", "body")], strict=True):
                 if size >= chunk_bytes and r[:2] != held[-1][:2]:
                     yield emit(held)
                     held, size = [], 0
                 held.append(r)
-                size += len(r[5])
+                size += len(r[4])
         if held:
             yield emit(held)
 
@@ -237,77 +258,88 @@ def _mark(pieces: DataFrame, length: int, chunk_bytes: int) -> DataFrame:
         from xxhash import xxh3_128_intdigest
 
         out = []
-        found = repeated_starts([r[5] for r in held], length)
+        found = repeated_starts([r[4] for r in held], length)
         seen: dict[tuple, list] = {}
-        for (fp, shard, d1, d2, several, body), flags in zip(held, found, strict=True):
-            out += [(fp, d1, d2, shard, a, b, None, None) for a, b in _spans(flags, length)]
+        for (fp, shard, d, several, body), flags in zip(held, found, strict=True):
+            out += [(fp, d, shard, a, b, None, None) for a, b in _spans(flags, length)]
             if several:
                 for p in range(len(flags)):
-                    d = xxh3_128_intdigest(body[p : p + length])
-                    seen.setdefault((fp, shard, (d >> 64) - 2**63, (d & (2**64 - 1)) - 2**63), [d1, d2, -1 if flags[p] else p])
-        out += [(fp, d1, d2, shard, p, p + length if p >= 0 else -1, w1, w2) for (fp, shard, w1, w2), (d1, d2, p) in seen.items()]
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64())
-        cols = list(zip(*out, strict=True)) or [[]] * 8
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["fp", "d1", "d2", "shard", "first", "last", "w1", "w2"])
+                    w = xxh3_128_intdigest(body[p : p + length])
+                    seen.setdefault((fp, shard, (w >> 64) - 2**63, (w & (2**64 - 1)) - 2**63), [d, -1 if flags[p] else p])
+        out += [(fp, d, shard, p, p + length if p >= 0 else -1, w1, w2) for (fp, shard, w1, w2), (d, p) in seen.items()]
+        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64())
+        cols = list(zip(*out, strict=True)) or [[]] * 7
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["fp", "d", "shard", "first", "last", "w1", "w2"])
 
     n = shuffle_partitions(pieces.sparkSession)
-    return pieces.select("fp", "shard", "d1", "d2", "several", "body").repartition(n, "fp", "shard").sortWithinPartitions("fp", "shard").mapInArrow(mark, _MARK)
+    return pieces.select("fp", "shard", "d", "several", "body").repartition(n, "fp", "shard").sortWithinPartitions("fp", "shard").mapInArrow(mark, _MARK)
 
 
-def repeat_spans(docs: DataFrame, *, length: int = 200, shard_pieces: int = 4096, chunk_bytes: int = 1_000_000) -> tuple[DataFrame, DataFrame]:
-    """docs: rid, text. Byte ranges (rid, first, last) that repeats cover, and the documents (rid, text, runs) they lie in."""
+def repeat_marks(docs: DataFrame, *, length: int = 200, shard_pieces: int = 4096, chunk_bytes: int = 1_000_000) -> tuple[DataFrame, DataFrame]:
+    """docs: rid, text. What repeats cover of each piece, by document (rid, fp, d, first, last), and the documents with such
+    anchors (rid, text, fps).
+    """
 
-    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rid = batch["rid"].to_numpy(zero_copy_only=False)
-            for row, first, count, fp in batch_runs(batch["text"], length):
-                yield pa.RecordBatch.from_arrays([pa.array(fp), pa.array(rid[row]), pa.array(first, pa.int64()), pa.array(count, pa.int32())], ["fp", "rid", "p0", "n"])
-
-    all_runs = docs.mapInArrow(runs, "fp long, rid long, p0 long, n int")
-    twice = all_runs.groupBy("fp").agg(F.count("*").alias("times")).where("times > 1").select("fp")
-    chosen = all_runs.join(twice, "fp").groupBy("rid").agg(F.collect_list(F.struct("fp", "p0", "n")).alias("runs"))  # of one text
-    rows = stored(docs.join(chosen, "rid").select("rid", "text", "runs"), "repeat-docs")
-    classes = _cut(rows, length, True).groupBy("fp", "d1", "d2").agg(F.count("*").alias("times"), F.first("body").alias("body"))
-    classes = stored(classes, "repeat-pieces")
+            for row, _, _, fp in batch_runs(batch["text"], length):
+                order = np.lexsort((fp, row))
+                row, fp = row[order], fp[order]
+                first = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (fp[1:] != fp[:-1])])) if len(row) else np.zeros(0, np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(fp[first]), pa.array(rid[row[first]]), pa.array(np.diff(first, append=len(row)), pa.int32())], ["fp", "rid", "times"])
+
+    own = docs.mapInArrow(anchors, "fp long, rid long, times int")
+    twice = own.groupBy("fp").agg(F.sum("times").alias("n")).where("n > 1").select("fp")
+    chosen = own.select("fp", "rid").join(twice, "fp").groupBy("rid").agg(F.collect_set("fp").alias("fps"))  # of one text
+    rows = stored(docs.join(chosen, "rid").select("rid", "text", "fps"), "repeat-docs")
+    members = stored(_members(rows, length), "repeat-members")
+    classes = members.groupBy("fp", "d").agg(F.sum("times").alias("times"), F.min("size").alias("size"), F.min("rid").alias("rid"))
     several = classes.groupBy("fp").agg(F.count("*").alias("kinds")).where("kinds > 1")
     spread = F.ceil(F.col("kinds") / shard_pieces)
-    mixed = classes.join(several, "fp").withColumn("shard", F.pmod("d1", spread).cast("int")).withColumn("several", spread > 1)
-    marks = stored(_mark(mixed, length, chunk_bytes), "repeat-marks")
+    mixed = stored(classes.join(several, "fp").select("fp", "d", "rid", F.pmod("d", spread).cast("int").alias("shard"), (spread > 1).alias("several")), "repeat-mixed")
+    wanted = mixed.groupBy("rid").agg(F.collect_list(F.struct("fp", "d")).alias("wanted"))  # of one text
+    bodies = _bodies(rows.join(wanted, "rid").dropDuplicates(["rid"]), length)
+    marks = stored(_mark(bodies.join(mixed, ["fp", "d"]), length, chunk_bytes), "repeat-marks")
     strings = marks.where("w1 is not null")
     across = strings.groupBy("fp", "w1", "w2").agg(F.count("*").alias("shards")).where("shards > 1")
-    whole = classes.where("times > 1").select("fp", "d1", "d2", F.lit(0).alias("first"), F.length("body").cast("int").alias("last"))
-    spans = whole.unionByName(marks.where("w1 is null").select("fp", "d1", "d2", "first", "last"))
-    spans = spans.unionByName(strings.where("first >= 0").join(across, ["fp", "w1", "w2"]).select("fp", "d1", "d2", "first", "last"))
-    members = _cut(rows, length, False)
-    return members.join(spans, ["fp", "d1", "d2"]).select("rid", (F.col("p0") + F.col("first")).alias("first"), (F.col("p0") + F.col("last")).alias("last")), rows
+    whole = classes.where("times > 1").select("fp", "d", F.lit(0).alias("first"), F.col("size").alias("last"))
+    spans = whole.unionByName(marks.where("w1 is null").select("fp", "d", "first", "last"))
+    spans = spans.unionByName(strings.where("first >= 0").join(across, ["fp", "w1", "w2"]).select("fp", "d", "first", "last"))
+    return members.select("fp", "d", "rid").join(spans, ["fp", "d"]), rows
 
 
-def _removal(rows: DataFrame) -> DataFrame:
-    """rows: rid, text, spans. Bytes and ranges removed, and what is left."""
+def _removal(rows: DataFrame, length: int) -> DataFrame:
+    """rows: rid, text, fps, spans (array of fp, d, first, last). Bytes and ranges removed, and what is left."""
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, at = _bytes_of(batch["text"])
-            removed, ranges, left = [], [], []
-            for k, spans in enumerate(batch["spans"].to_pylist()):
-                text = data[at[k] : at[k + 1]]
+            spans, removed, ranges, left = batch["spans"].to_pylist(), [], [], []
+            for k, places, text, _ in _pieces(batch, length):
                 cover = np.zeros(len(text) + 1, np.int64)
-                np.add.at(cover, np.fromiter((s["first"] for s in spans), np.int64), 1)
-                np.add.at(cover, np.fromiter((s["last"] for s in spans), np.int64), -1)
+                for s in spans[k]:
+                    for p in places[s["fp"], s["d"]]:
+                        cover[p + s["first"]] += 1
+                        cover[p + s["last"]] -= 1
                 gone = np.cumsum(cover)[:-1] > 0
                 removed.append(int(gone.sum()))
                 ranges.append(int((gone & ~np.concatenate([[False], gone[:-1]])).sum()))
                 left.append(text[~gone].tobytes())
             yield pa.RecordBatch.from_arrays([batch["rid"], pa.array(removed, pa.int64()), pa.array(ranges, pa.int64()), pa.array(left, pa.binary()), pa.array([hashlib.sha256(x).hexdigest() for x in left], pa.string())], ["rid", "n_removed", "n_spans", "kept", "kept_sha256"])
 
-    return rows.select("rid", "text", "spans").mapInArrow(remove, "rid long, n_removed long, n_spans long, kept binary, kept_sha256 string")
+    return rows.select("rid", "text", "fps", "spans").mapInArrow(remove, "rid long, n_removed long, n_spans long, kept binary, kept_sha256 string")
+
+
+def without_repeats(docs: DataFrame, *, length: int = 200, **options) -> DataFrame:
+    """docs: rid, text. rid, n_removed, n_spans, kept (bytes) and kept_sha256 of the texts that lose any byte."""
+    spans, rows = repeat_marks(docs, length=length, **options)
+    per_text = spans.distinct().groupBy("rid").agg(F.collect_list(F.struct("fp", "d", "first", "last")).alias("spans"))  # of one text
+    return _removal(rows.join(per_text, "rid").dropDuplicates(["rid"]), length)
 
 
 def repeats_digest(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of each row."""
     rows = docs.select(docs[id_col].alias("doc_id"), text_of(docs, text_col).alias("text")).withColumn("rid", F.xxhash64(F.col("doc_id").isNull(), "doc_id", "text"))
-    spans, texts = repeat_spans(rows.select("rid", "text"), **options)
-    per_text = spans.distinct().groupBy("rid").agg(F.collect_list(F.struct("first", "last")).alias("spans"))  # of one text
-    removed = _removal(texts.join(per_text, "rid")).drop("kept").dropDuplicates(["rid"])
+    removed = without_repeats(rows.select("rid", "text"), **options).drop("kept")
     all_rows = rows.select("doc_id", "rid", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2(F.col("text").cast("binary"), 256).alias("own"))
     return all_rows.join(removed, "rid", "left").select("doc_id", "n_bytes", F.coalesce("n_removed", F.lit(0)).alias("n_removed"), F.coalesce("n_spans", F.lit(0)).alias("n_spans"), F.coalesce("kept_sha256", "own").alias("kept_sha256"))
