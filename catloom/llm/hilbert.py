@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from catloom.llm.common import text_of
+from catloom.llm.common import stored, text_of
 
 
 def _rotl(x: int, k: int, n: int) -> int:
@@ -45,18 +45,15 @@ def hilbert_index(dims: list[Column], bits: int) -> Column:
 
     def step(acc: Column, level: Column) -> Column:
         corner = F.lit(0)
-        for i, d in enumerate(dims):
-            corner = corner.bitwiseOR(F.call_function("shiftleft", F.call_function("shiftright", d, level).bitwiseAND(F.lit(1)), F.lit(i)))
-        # the state is packed in one long: index * 2**16 + entry * 2**8 + direction
-        e, d, h = (F.call_function("shiftright", acc, F.lit(8)) % 256).cast("int"), (acc % 256).cast("int"), F.call_function("shiftright", acc, F.lit(16))
-        turned = _turn(corner.bitwiseXOR(e), d + 1, n, False)
-        w = F.element_at(inverse, turned + 1)
-        e2 = e.bitwiseXOR(_turn(F.element_at(entry, w + 1), d + 1, n, True))
-        d2 = (d + F.element_at(way, w + 1) + 1) % n
-        return (h * (1 << n) + w) * 65536 + e2.cast("long") * 256 + d2
+        for i in range(n):
+            corner = corner.bitwiseOR(F.call_function("shiftleft", F.call_function("shiftright", acc["at"][i], level).bitwiseAND(F.lit(1)), F.lit(i)))
+        w = F.element_at(inverse, _turn(corner.bitwiseXOR(acc["e"]), acc["d"] + 1, n, False) + 1)
+        e = acc["e"].bitwiseXOR(_turn(F.element_at(entry, w + 1), acc["d"] + 1, n, True))
+        return F.struct((acc["h"] * (1 << n) + w).alias("h"), e.alias("e"), ((acc["d"] + F.element_at(way, w + 1) + 1) % n).alias("d"), acc["at"].alias("at"))
 
-    packed = F.aggregate(F.sequence(F.lit(bits - 1), F.lit(0)), F.lit(0).cast("long"), step)
-    return F.call_function("shiftright", packed, F.lit(16))
+    # the coordinates ride along, so that each is computed once and not at every level
+    start = F.struct(F.lit(0).cast("long").alias("h"), F.lit(0).alias("e"), F.lit(0).alias("d"), F.array(*dims).alias("at"))
+    return F.aggregate(F.sequence(F.lit(bits - 1), F.lit(0)), start, step, lambda acc: acc["h"])
 
 
 def _turn(x: Column, k: Column, n: int, left: bool) -> Column:
@@ -80,14 +77,19 @@ def hilbert_shards(docs: DataFrame, *, shards: int = 8, bits: int = 5, parts: in
     top = (1 << bits) - 1
     text = text_of(docs, text_col)
     names = [f"m{i}" for i in range(len(metadata))]
-    rows = docs.select(docs[id_col].alias("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), F.xxhash64(text).alias("h"), F.xxhash64(text, F.lit(1)).alias("h2"), *[_prefix_code(docs[c]).alias(n) for c, n in zip(metadata, names, strict=True)])
+    rows = docs.select(docs[id_col].cast("long").alias("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), F.xxhash64(text).alias("h"), F.xxhash64(text, F.lit(1)).alias("h2"), *[_prefix_code(docs[c]).alias(n) for c, n in zip(metadata, names, strict=True)])
+    rows = stored(rows, "hilbert-rows")
     group = ["h", "h2"]
     groups = rows.groupBy(*group).agg(F.sum("size").alias("bytes"), F.count("*").alias("rows"), F.max("size").alias("each"), *[F.min(n).alias(n) for n in names])
     quantiles = [i / (top + 1) for i in range(1, top + 1)]
     cuts = groups.agg(F.sum("bytes").alias("total"), *[F.array_distinct(F.percentile_approx(n, quantiles, 10_000)).alias(f"{n}_cuts") for n in ("each", *names)])
     # one row: the total and at most 2**bits cut points a dimension
     point = groups.crossJoin(F.broadcast(cuts)).select(*group, "bytes", "rows", hilbert_index([_rank(F.col(n), F.col(f"{n}_cuts"), top) for n in ("each", *names)], bits).alias("curve"), (F.col("bytes") > F.col("total") / (4 * shards)).alias("large"))
-    rows = rows.join(point.select(*group, "curve", "large"), group).withColumn("part", F.pmod("h", F.lit(parts)))
+    point = stored(point.select(*group, "curve", "large"), "hilbert-points")
+    # fewer than 4 * shards groups can be large: their rows find their point where they lie, all others by a shuffle
+    large = F.broadcast(point.where("large").select(*group, "curve", "large"))
+    others = rows.join(large, group, "left_anti").join(point.where("not large"), group)
+    rows = rows.join(large, group).unionByName(others).withColumn("part", F.pmod("h", F.lit(parts)))
     rows = rows.withColumn("piece", F.when(F.col("large"), F.pmod(F.xxhash64("doc_id", F.lit(2)), F.lit(parts))).otherwise(F.lit(0)))
     unit = ["curve", "part", "h", "h2", "piece"]
     units = rows.groupBy(*unit).agg(F.sum("size").alias("bytes"), F.count("*").alias("n"))
