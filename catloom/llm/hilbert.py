@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from catloom.llm.common import stored, text_of
+from catloom.llm.common import free_prefix, stored, text_of
 
 
 def _rotl(x: int, k: int, n: int) -> int:
@@ -116,3 +116,21 @@ def hilbert_shards(docs: DataFrame, *, shards: int = 8, bits: int = 5, parts: in
 def shard_digest(docs: DataFrame, **options) -> DataFrame:
     out = hilbert_shards(docs, **options)
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "curve")
+
+
+def write_shards(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str = "text", **options) -> None:
+    """Write docs as Parquet below path, a folder for each shard, rows in order of their slots: each file covers a run of
+    the curve, so the ranges of its metadata are narrow and filters on them skip files. Rows that are equal in id and text
+    take their slots in any order.
+    """
+    p = free_prefix(docs, "_shard_")
+    placed = hilbert_shards(docs, id_col=id_col, text_col=text_col, **options)
+    text = text_of(docs, text_col)
+    keys = {f"{p}id": docs[id_col].cast("long"), f"{p}size": (F.octet_length(text) + 1).cast("long"), f"{p}crc": F.crc32(text.cast("binary"))}
+    same = Window.partitionBy(f"{p}id", f"{p}size", f"{p}crc")
+    rows = docs.withColumns(keys).withColumn(f"{p}rep", F.row_number().over(same.orderBy(f"{p}id")))
+    slots = placed.select(F.col("doc_id").alias(f"{p}id2"), F.col("size").alias(f"{p}size"), F.col("text_crc32").alias(f"{p}crc"), F.col("shard").alias(f"{p}shard"), F.col("slot").alias(f"{p}slot"))
+    slots = slots.withColumn(f"{p}rep", F.row_number().over(Window.partitionBy(f"{p}id2", f"{p}size", f"{p}crc").orderBy(f"{p}slot")))
+    out = rows.join(slots, F.col(f"{p}id").eqNullSafe(F.col(f"{p}id2")) & (rows[f"{p}size"] == slots[f"{p}size"]) & (rows[f"{p}crc"] == slots[f"{p}crc"]) & (rows[f"{p}rep"] == slots[f"{p}rep"]))
+    out = out.select(*[docs[c] for c in docs.columns], f"{p}shard", f"{p}slot").repartitionByRange(f"{p}shard", f"{p}slot").sortWithinPartitions(f"{p}shard", f"{p}slot")
+    out.drop(f"{p}slot").withColumnRenamed(f"{p}shard", "shard_id").write.mode("overwrite").partitionBy("shard_id").parquet(path)
