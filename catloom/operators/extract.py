@@ -80,6 +80,27 @@ def catalogue_items(blocks: DataFrame, *, fallback: Column | None = None, own: C
     return rows.withColumn("section", section).withColumn("warning", warning).drop("_s")
 
 
+def section_items(blocks: DataFrame, opens: Column, own_id: Column, *, header: str = "header", hint: str = "hint", item: str = "item") -> DataFrame:
+    """Items with the number and id of the section they belong to. opens: which headers open one (section 0 is the fallback
+    before any). A section's id is the first own_id among its items; an item with another one goes to the earliest section
+    before it that has this id, else to a section of its own for that id (number null), with a warning.
+    """
+    w = Window.partitionBy("page_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    starts = (F.col("kind") == header) & F.coalesce(opens, F.lit(False))
+    rows = blocks.withColumn("open_no", F.sum(F.when(starts, 1).otherwise(0)).over(w)).withColumn("title", F.last(F.when(starts, F.col("text")), ignorenulls=True).over(w))
+    note = Window.partitionBy("page_id", "open_no").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("hint", F.last(F.when((F.col("kind") == hint) & (F.col("open_no") > 0), F.col("text")), ignorenulls=True).over(note))
+    rows = rows.where(F.col("kind") == item).withColumn("own_id", own_id)
+    ids = rows.where("own_id is not null").groupBy("page_id", "open_no").agg(F.min_by("own_id", "pos").alias("section_id"))
+    rows = rows.join(ids, ["page_id", "open_no"], "left")
+    moved = F.col("own_id").isNotNull() & (F.col("own_id") != F.col("section_id"))
+    earlier = ids.select("page_id", F.col("section_id").alias("own_id"), F.col("open_no").alias("_no"))
+    homes = rows.where(moved).join(earlier, ["page_id", "own_id"]).where("_no < open_no").groupBy("page_id", "pos").agg(F.min("_no").alias("_home"))
+    rows = rows.join(homes, ["page_id", "pos"], "left")
+    warning = F.when(moved, "section differs").when(F.col("open_no") == 0, "before any header")
+    return rows.select("page_id", "pos", "text", F.when(moved, F.col("_home")).otherwise(F.col("open_no")).alias("section"), F.when(moved, F.col("own_id")).otherwise(F.col("section_id")).alias("section_id"), F.when(~F.coalesce(moved, F.lit(False)), F.col("title")).alias("title"), "hint", warning.alias("warning"))
+
+
 def extract_links(pages: DataFrame, pattern: str, *, page_id: str = "page_id", html: str = "html", url: str = "url", same_query: list[str] = ()) -> DataFrame:
     """Distinct links of a page that match, in order of their first place, with page number; filters of the url must agree."""
     links = pages.select(page_id, F.col(url).alias("_u"), F.posexplode(F.regexp_extract_all(html, F.lit('href="([^"]*)"'), F.lit(1))).alias("pos", "link")).where(F.col("link").rlike(pattern))

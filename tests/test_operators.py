@@ -128,6 +128,13 @@ def test_page_sections(spark):
     assert got == [("1 cent", "?", None, "before any header"), ("2 & 3 centsx", "A › B › 1957 - 1990", "1 crown", None)]
 
 
+def test_items_go_to_the_section_of_their_id(spark):
+    blocks = [(1, 0, "item", "a", "9"), (1, 1, "header", "A › B › 1900 - 1910", None), (1, 2, "hint", "crowns", None), (1, 3, "item", "b", "1"), (1, 4, "header", "no years", None), (1, 5, "item", "c", None), (1, 6, "header", "A › C › 1910 - 1920", None), (1, 7, "item", "d", "2"), (1, 8, "item", "e", "1"), (1, 9, "item", "f", "7")]
+    rows = extract.section_items(spark.createDataFrame(blocks, "page_id int, pos int, kind string, text string, pid string"), F.col("text").rlike(r"›.*\d{4}\s*-\s*\d{4}"), F.col("pid"))
+    got = {r["text"]: (r["section"], r["section_id"], r["hint"], r["warning"]) for r in rows.collect()}
+    assert got == {"a": (0, "9", None, "before any header"), "b": (1, "1", "crowns", None), "c": (1, "1", "crowns", None), "d": (2, "2", None, None), "e": (1, "1", None, "section differs"), "f": (None, "7", None, "section differs")}
+
+
 def test_table_rows(spark):
     pages = spark.createDataFrame([(1, "<table><tr><td>a</td> | <td>b</td></tr><tr><td>c</td></tr></table>")], "page_id int, html string")
     assert [r["cells"] for r in extract.table_rows(pages).orderBy("row").collect()] == [["a", "b"], ["c"]]
