@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,6 +50,13 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def steps(batches: Iterator, rows: int = 1000) -> Iterator:
+    """Arrow batches in parts of so many rows, so that few texts are Python objects at a time."""
+    for batch in batches:
+        for i in range(0, len(batch), rows):
+            yield batch.slice(i, rows)
+
+
 def free_prefix(df: DataFrame, prefix: str) -> str:
     """A prefix that no column of df starts with."""
     while any(c.lower().startswith(prefix) for c in df.columns):

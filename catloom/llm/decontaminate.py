@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catloom.llm.common import text_of
+from catloom.llm.common import steps, text_of
 
 _TOKENS = re.compile(r"\n|[^\x20\x09-\x0D]+")
 _NUMBER = re.compile(r"[+-]?\d[\d.,:/]*")
@@ -62,7 +62,7 @@ def token(word: str) -> tuple[int, int, str, bool]:
         else:
             code = _literal(lower)
             got = (NAME if len(core) > 1 and core[0].isupper() and core[1:].islower() else code, code, lower, ends)
-        if len(_known) > 500_000:
+        if len(_known) > 200_000:
             _known.clear()
         _known[word] = got
     return got
@@ -173,7 +173,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, *, window: int = 8, least: int
     for held in _blocks(benchmark, window, block_windows, item_col, item_text_col):
 
         def find(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in steps(batches):
                 got = [(d, *x) for d, t in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist(), strict=True) for x in held.value.leaks(t, least, literal)]
                 cols = list(zip(*got, strict=True)) or [[]] * 5
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["doc_id", "item_id", "covered", "n_tokens", "n_slots"])
@@ -188,7 +188,7 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, *, window: int = 8, lea
     for held in _blocks(benchmark, window, block_windows, item_col, item_text_col):
 
         def clean(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in steps(batches):
                 yield batch.filter(pa.array([not (t and held.value.leaks(t, least, literal)) for t in batch[text_col].to_pylist()], pa.bool_()))
 
         docs = docs.mapInArrow(clean, docs.schema)

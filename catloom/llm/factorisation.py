@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from catloom.llm.common import text_of
+from catloom.llm.common import steps, text_of
 from catloom.llm.quality_rules import text_stats
 
 WORD_BITS = 15
@@ -110,7 +110,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, max_labelled: int = 8_000, folds:
     chosen = docs.select(docs[id_col].cast("long").alias("doc_id"), text_of(docs, text_col).alias("text")).join(F.broadcast(own), F.col("doc_id") == F.col("_label_id"))  # at most max_labelled rows
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in steps(batches):
             rows = [raw_features(t) for t in batch["text"].to_pylist()]
             packed = [pa.array([r[k].tobytes() for r in rows], pa.binary()) for k in range(3)]
             yield pa.RecordBatch.from_arrays([batch["doc_id"], *packed, batch["quality"]], ["doc_id", "slots", "x", "stats", "quality"])
@@ -126,7 +126,7 @@ def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: st
     held = docs.sparkSession.sparkContext.broadcast(model)  # of a fixed size
 
     def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in steps(batches):
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array([held.value.score(t) for t in batch["text"].to_pylist()], pa.float64())], ["doc_id", "score"])
 
     return docs.select(docs[id_col].cast("long").alias("doc_id"), text_of(docs, text_col).alias("text")).mapInArrow(scores, "doc_id long, score double")
@@ -143,7 +143,7 @@ def accepted(docs: DataFrame, labels: DataFrame, *, threshold: float = 0.3, text
     held = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, text_col=text_col, **options))
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in steps(batches):
             yield batch.filter(pa.array([held.value.score(t or "") >= threshold for t in batch[text_col].to_pylist()], pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from catloom.llm.common import WORD, text_of
+from catloom.llm.common import WORD, steps, text_of
 
 _WORDS = re.compile(WORD)
 _SYMBOLS = re.compile(r"[#*$%&|<>]")
@@ -87,7 +87,7 @@ def with_stats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     """doc_id, COUNTS (long) and RATIOS (double) of each row."""
 
     def stats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in steps(batches):
             rows = [text_stats(t) for t in batch["text"].to_pylist()]
             cols = list(zip(*rows, strict=True)) or [[]] * (len(COUNTS) + len(RATIOS))
             yield pa.RecordBatch.from_arrays([batch["doc_id"], *[pa.array(c, pa.int64()) for c in cols[:5]], *[pa.array(c, pa.float64()) for c in cols[5:]]], ["doc_id", *COUNTS, *RATIOS])

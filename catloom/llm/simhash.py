@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from catloom.llm.common import free_prefix, stored, text_of
+from catloom.llm.common import free_prefix, steps, stored, text_of
 
 RADIUS = 3
 BLOCKS = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))
@@ -54,7 +54,7 @@ def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     """doc_id and fp (signed 64 bits) of each row."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in steps(batches):
             fp = np.fromiter((fingerprint(t, size) for t in batch["text"].to_pylist()), np.uint64, len(batch))
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(fp.view(np.int64))], ["doc_id", "fp"])
 
