@@ -13,7 +13,7 @@ _HEAD = "trim(regexp_replace(replace(regexp_replace(regexp_extract(html, '(?is)<
 
 @query("""
 with l as (select page_id, unnest(regexp_extract_all(html, '<li>(.*?)</li>', 1)) as item, generate_subscripts(regexp_extract_all(html, '<li>(.*?)</li>', 1), 1) as n from pages)
-select page_id, n as pos, regexp_replace(item, '<[^>]*>', '', 'g') as text, null as section, 'before any header' as warning from l""")
+select page_id, n as pos, regexp_replace(item, '<[^>]*>', '', 'g') as text, null::varchar as section, 'before any header' as warning from l""")
 def e_catalogue_items(spark, sf_dir):
     blocks = extract.page_blocks(table(spark, sf_dir, "pages"), {"item": ("li", ""), "header": ("h1", "")})
     out = extract.catalogue_items(blocks)

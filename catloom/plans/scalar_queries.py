@@ -55,7 +55,7 @@ def n_amounts(spark, sf_dir):
 
 
 @query("""
-select p_partkey, lower(p_type) as composition, round(p_size + 0.5, 2) as grams, p_size::double as millimetres, 'KM' as catalogue, p_partkey::varchar as number, p_brand as category,
+select p_partkey, lower(p_type) as composition, (p_size + 0.5)::double as grams, p_size::double as millimetres, 'KM' as catalogue, p_partkey::varchar as number, p_brand as category,
  'A' as country, p_name as ruler, 1900 + p_size as first, 1950 + p_size as last, p_name as label,
  case p_partkey % 4 when 0 then 'historical' when 1 then 'withdrawn' when 2 then 'scarce' else 'circulating' end as availability,
  case when p_partkey % 2 = 0 then 'historical' else 'circulating' end as fallback

@@ -78,7 +78,7 @@ def g_flatten(spark, sf_dir):
 
 @query("""
 with o as (select *, row_number() over (partition by o_custkey order by o_orderkey) as g from orders where o_orderkey in (select l_orderkey from lineitem))
-select o_custkey, count(distinct o_orderkey) as n_groups, count(*) as n_items, sum(g * l_partkey) as check_sum from o join lineitem on o_orderkey = l_orderkey group by 1""")
+select o_custkey, count(distinct o_orderkey) as n_groups, count(*) as n_items, sum(g * l_partkey)::bigint as check_sum from o join lineitem on o_orderkey = l_orderkey group by 1""")
 def g_regroup(spark, sf_dir):
     flat = shape.flatten(_orders_nested(spark, sf_dir), "groups", "lines", ["o_custkey"])
     back = shape.regroup(flat, ["o_custkey"], ["group_o_orderkey"], ["l_linenumber", "l_partkey"])
@@ -210,7 +210,7 @@ def w_resequence(spark, sf_dir):
 @query("""
 with e as (select *, row_number() over (partition by user_id order by ts, event_id) as pos from events),
 f as (select *, case when event_type = lag(event_type) over (partition by user_id order by pos) then 0 else 1 end as new from e),
-r as (select *, sum(new) over (partition by user_id order by pos) as run from f)
+r as (select *, sum(new) over (partition by user_id order by pos)::bigint as run from f)
 select user_id, run, event_type, min(pos) as start, max(pos) as "end", count(*) as length from r group by 1, 2, 3""")
 def w_runs(spark, sf_dir):
     e = table(spark, sf_dir, "events").withColumn("pos", F.row_number().over(Window.partitionBy("user_id").orderBy("ts", "event_id")))
@@ -266,7 +266,7 @@ def a_status_counts(spark, sf_dir):
     return stats.status_counts(table(spark, sf_dir, "orders"), ["o_orderpriority"], "o_orderstatus", {"done": ["F"], "open": ["O", "P"]})
 
 
-@query("select c_nationkey, count(distinct c_mktsegment) as groups, count(*) as items, sum(n) as variants, count(*) filter (where n > 0) as with_variants, sum(m) as excluded from (select c_nationkey, c_mktsegment, c_custkey, count(o_orderkey) as n, count(*) filter (where o_orderstatus = 'F') as m from customer left join orders on c_custkey = o_custkey group by 1, 2, 3) group by 1")
+@query("select c_nationkey, count(distinct c_mktsegment) as groups, count(*) as items, sum(n)::bigint as variants, count(*) filter (where n > 0) as with_variants, sum(m)::bigint as excluded from (select c_nationkey, c_mktsegment, c_custkey, count(o_orderkey) as n, count(*) filter (where o_orderstatus = 'F') as m from customer left join orders on c_custkey = o_custkey group by 1, 2, 3) group by 1")
 def a_catalogue_summary(spark, sf_dir):
     o = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count("*").alias("n"), F.count_if(F.col("o_orderstatus") == "F").alias("m"))
     c = table(spark, sf_dir, "customer").join(o, "c_custkey", "left").na.fill(0, ["n", "m"])
