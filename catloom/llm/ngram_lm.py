@@ -5,7 +5,7 @@ weight of the first depends on how often the predecessor was seen (a bucket for
 learned by expectation-maximisation on counts of a held-out tenth of the training documents, against estimates from the
 other training documents, and then applied to estimates from all of them.
 
-Counts travel packed. A task turns its documents into blocks of a few million tokens, and sends for each block and slice
+Counts travel packed. A task turns its documents into blocks of about a million tokens, and sends for each block and slice
 (a hash range of words; a pair belongs to its first word's slice) the block's distinct words and pairs with their numbers.
 A slice adds up the numbers over all blocks and answers each block in the block's own order, so a frequent word costs one
 entry a block, not one row a token. Blocks are rebuilt for scoring; a block is named by its contents, and one without its
@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catloom.llm.common import shuffle_partitions, stored, text_of
+from catloom.llm.common import shuffle_partitions, steps, stored, text_of
 
 END, BEGIN = np.uint64(0x9AE16A3B2F90404F), np.uint64(0xC949D7C7509E6557)
 ALPHA = 0.1
@@ -109,7 +109,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], slices: int, folds: int, block_to
     from xxhash import xxh64_intdigest
 
     ids, kinds, sizes, tokens, held = [], [], [], [], 0
-    for batch in batches:
+    for batch in steps(batches):
         for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist(), strict=True):
             words = text.encode("utf-8", "surrogatepass").lower().split()
             own = np.empty(len(words) + 1, np.uint64)
@@ -184,11 +184,13 @@ def _maximise(counts: np.ndarray, hist: np.ndarray, steps: int = 60) -> np.ndarr
     return weight
 
 
-def lm_scores(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", folds: int = 10, block_tokens: int = 2_000_000, slices: int | None = None) -> DataFrame:
+def lm_scores(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", folds: int = 10, block_tokens: int = 1_200_000, slices: int | None = None) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score (log10) of each row."""
     spark = docs.sparkSession
     slices = slices or max(8, shuffle_partitions(spark))
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), text_of(docs, text_col).alias("text"))
+    # blocks are cut twice: rows that come from a shuffle need an order of their own for both to agree
+    rows = rows.sortWithinPartitions("doc_id", F.xxhash64("text"))
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
         names = [x.split()[0] for x in _PACKET.split(", ")]
