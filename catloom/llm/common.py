@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: A word is a maximal run of characters other than space and U+0009..U+000D.
@@ -62,3 +62,9 @@ def free_prefix(df: DataFrame, prefix: str) -> str:
     while any(c.lower().startswith(prefix) for c in df.columns):
         prefix = "_" + prefix
     return prefix
+
+
+def one_each(rows: DataFrame, key: list[Column], p: str) -> DataFrame:
+    """One of the rows of each key, chosen by a hash of all columns."""
+    order = Window.partitionBy(*key).orderBy(F.xxhash64(*rows.columns))
+    return rows.withColumn(f"{p}n", F.row_number().over(order)).where(F.col(f"{p}n") == 1).drop(f"{p}n")

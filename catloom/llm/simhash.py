@@ -2,7 +2,7 @@
 
 A fingerprint is computed from a whole text in one pass over its own partition. Fingerprints are made distinct first, so
 a group of exact copies is one from here on. Two fingerprints that differ in at most 3 of 64 bits agree on at least two
-of five bit blocks; each of the ten block pairs with its bits is a bucket, and whoever may link meets in one. The members
+of five bit blocks (of radius + 2 blocks for other radii); each of the block pairs with its bits is a bucket, and whoever may link meets in one. The members
 of a bucket form BK-trees of a bounded number of nodes (children keyed by Hamming distance to the parent); a larger bucket
 becomes several shard trees, and every pair of shards is searched, so that no link is lost. The trees go to their bucket's
 tasks by the shuffle rather than by a broadcast, as together they grow with the data. A search reports one link
@@ -28,10 +28,18 @@ from pyspark.sql import functions as F
 from catloom.llm.common import free_prefix, steps, stored, text_of
 
 RADIUS = 3
-BLOCKS = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))
 TREE_NODES = 2048
 
 
+def blocks(radius: int) -> list[tuple[int, int]]:
+    """Start and width of blocks of the 64 bits, radius + 2 or more: two of them stay whole within the radius."""
+    n = max(5, radius + 2)
+    if not 0 <= radius <= 62:
+        raise ValueError("two blocks of a bit or more must stay whole within the radius")
+    at = [-(-64 * i // n) for i in range(n + 1)]
+    return [(a, b - a) for a, b in zip(at, at[1:])]
+
+
 def fingerprint(text: str, size: int = 3, seed: int = 42) -> int:
     """The 64-bit SimHash of the word shingles of a whole text; 0 for a text without words."""
     from xxhash import xxh64_intdigest
@@ -112,10 +120,11 @@ def _links(trees: np.ndarray, queries: np.ndarray, radius: int) -> list[tuple[in
 
 def near_links(distinct: DataFrame, *, radius: int = RADIUS, tree_nodes: int = TREE_NODES) -> DataFrame:
     """distinct: fp. Links a < b whose transitive closure is that of all pairs at most radius bits apart."""
-    if radius > len(BLOCKS) - 2:
-        raise ValueError("two blocks must stay whole within the radius")
-    part = lambda i: F.call_function("shiftrightunsigned", F.col("fp"), F.lit(BLOCKS[i][0])).bitwiseAND(F.lit((1 << BLOCKS[i][1]) - 1))
-    keys = [(F.call_function("shiftleft", part(i) * (1 << 13) + part(j), F.lit(4)) + k) for k, (i, j) in enumerate(combinations(range(len(BLOCKS)), 2))]
+    own = blocks(radius)
+    part = lambda i: F.call_function("shiftrightunsigned", F.col("fp"), F.lit(own[i][0])).bitwiseAND(F.lit((1 << own[i][1]) - 1))
+    wide = max(w for _, w in own)
+    few = (len(own) * (len(own) - 1) // 2).bit_length()
+    keys = [(F.call_function("shiftleft", part(i) * (1 << wide) + part(j), F.lit(few)) + k) for k, (i, j) in enumerate(combinations(range(len(own)), 2))]
     keyed = distinct.select("fp", F.explode(F.array(*keys)).alias("key"))
     counts = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     shards = keyed.join(counts, "key").withColumn("shard", F.pmod(F.xxhash64("fp"), F.ceil(F.col("n") / tree_nodes)).cast("int"))

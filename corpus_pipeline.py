@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from catloom.llm import decontaminate, factorisation, mixing, simhash, token_ids
+from catloom.llm import decontaminate, factorisation, mixing, near_copies, token_ids
 from catloom.llm.common import stored, table
 
 
@@ -18,8 +18,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash group: the one with the smallest id."""
-    return simhash.drop_near(docs)
+    """One document of each group whose five-word shingles are 0.8 or more alike: the one with the smallest id."""
+    return near_copies.drop_copies(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
