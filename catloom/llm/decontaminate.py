@@ -3,9 +3,9 @@
 Words become template tokens: numbers, units and names (capitalised words inside a sentence) turn into typed
 placeholders, all others into their lower-cased letters. Windows of ``window`` tokens of the benchmark are hashed; a
 document's windows are looked up in them where the document lies. Matched windows on one diagonal (same offset between
-document and item) are aligned, and the alignment counts only where its slots are consistent: each value that the item
-has in a slot stands for one value in the document throughout. An item leaks into a document when such alignments cover
-enough of its tokens.
+document and item) are aligned. Each value that the item has in a slot stands for the one that most of its places on the
+diagonal have in the document; windows that hold another are dropped, and all windows with the slot where no value has
+more than half of its places. An item leaks into a document when the windows that are left cover enough of its tokens.
 
 The benchmark goes to the tasks in blocks of at most ``block_windows`` windows, each searched in all documents; a usual
 benchmark is one block. Equal items share their windows.
@@ -18,7 +18,7 @@ pair that leaks is returned; empty tables give no rows.
 from __future__ import annotations
 
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -98,6 +98,14 @@ def windows(codes: np.ndarray, size: int) -> np.ndarray:
     return h
 
 
+def _covered(at: np.ndarray, size: int) -> np.ndarray:
+    """The tokens that windows of size tokens cover, from the places where they start."""
+    own = np.zeros(len(at), bool)
+    for x in np.flatnonzero(at).tolist():
+        own[x : x + size] = True
+    return own
+
+
 class Windows:
     """The windows of a block of items, by size: sorted hashes with item and position."""
 
@@ -118,7 +126,7 @@ class Windows:
     def leaks(self, text: str, least: int, literal: int) -> list[tuple[int, int, int, int]]:
         """item, tokens covered, tokens of the item and slots, of each item that leaks into a text."""
         codes, values = template(text)
-        cover: dict[tuple[int, int], np.ndarray] = {}
+        starts: dict[tuple[int, int], tuple[int, np.ndarray]] = {}
         for size, (h, k, q) in self.by_size.items():
             own = windows(codes, size)
             if not len(own):
@@ -131,14 +139,14 @@ class Windows:
                     item, pos = int(k[j]), int(q[j])
                     if (codes[p : p + size] == self.codes[item][pos : pos + size]).all():
                         key = (item, p - pos)
-                        if key not in cover:
-                            cover[key] = np.zeros(len(self.codes[item]), bool)
-                        cover[key][pos : pos + size] = True
+                        if key not in starts:
+                            starts[key] = (size, np.zeros(len(self.codes[item]), bool))
+                        starts[key][1][pos] = True
                     j += 1
         union: dict[int, np.ndarray] = {}
-        for (item, shift), own in cover.items():
-            if self._consistent(item, shift, own, values):
-                union[item] = union[item] | own if item in union else own
+        for (item, shift), (size, at) in starts.items():
+            own = self._consistent(item, shift, size, at, values)
+            union[item] = union[item] | own if item in union else own
         out = []
         for item, own in union.items():
             n, plain = int(own.sum()), int((own & (self.codes[item] > 15)).sum())
@@ -146,10 +154,20 @@ class Windows:
                 out.append((self.ids[item], n, len(own), int((self.codes[item] <= 15).sum())))
         return out
 
-    def _consistent(self, item: int, shift: int, own: np.ndarray, values: list[str]) -> bool:
-        seen: dict[tuple[int, str], str] = {}
+    def _consistent(self, item: int, shift: int, size: int, at: np.ndarray, values: list[str]) -> np.ndarray:
+        """The item's tokens that windows at these places cover, without windows whose slots do not agree."""
         codes, mine = self.codes[item], self.values[item]
-        return all(seen.setdefault((int(codes[x]), mine[x]), values[x + shift]) == values[x + shift] for x in np.flatnonzero(own & (codes <= 15)).tolist())
+        slots: dict[tuple[int, str], list[int]] = defaultdict(list)
+        for x in np.flatnonzero(_covered(at, size) & (codes <= 15)).tolist():
+            slots[int(codes[x]), mine[x]].append(x)
+        for places in slots.values():
+            found = Counter(values[x + shift] for x in places)
+            if len(found) > 1:
+                most, n = found.most_common(1)[0]
+                for x in places:
+                    if 2 * n <= len(places) or values[x + shift] != most:
+                        at[max(0, x - size + 1) : x + 1] = False
+        return _covered(at, size)
 
 
 def _blocks(benchmark: DataFrame, window: int, block_windows: int, item_col: str, item_text_col: str) -> Iterator:
