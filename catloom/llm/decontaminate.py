@@ -7,11 +7,15 @@ document and item) are aligned. Each value that the item has in a slot stands fo
 diagonal have in the document; windows that hold another are dropped, and all windows with the slot where no value has
 more than half of its places. An item leaks into a document when the windows that are left cover enough of its tokens.
 
+Whether a capitalised word starts a sentence depends on the text and line breaks before it. An item's windows are
+therefore looked up with such words under either code; under the other one the word itself must be the same.
+
 The benchmark goes to the tasks in blocks of at most ``block_windows`` windows, each searched in all documents; a usual
 benchmark is one block. Equal items share their windows.
 
 Defined cases: null and empty texts match nothing; an item with fewer tokens than a window is one window of its own
-length; items without tokens match nothing; repeated rows and null ids are each reported; ties do not arise, as every
+length; items of placeholders alone match where all of them stand in a row with equal values; items without tokens match
+nothing; repeated rows and null ids are each reported; ties do not arise, as every
 pair that leaks is returned; empty tables give no rows.
 """
 
@@ -20,6 +24,7 @@ from __future__ import annotations
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -68,8 +73,8 @@ def token(word: str) -> tuple[int, int, str, bool]:
     return got
 
 
-def template(text: str) -> tuple[np.ndarray, list[str]]:
-    """Token codes and values of a whole text."""
+def template(text: str, flip: bool = False) -> tuple[np.ndarray, list[str]]:
+    """Token codes and values of a whole text; flip: codes as if starts of sentences were inside and the others starts."""
     codes, values, start = [], [], True
     for word in _TOKENS.findall(text):
         if word == "\n":
@@ -77,7 +82,7 @@ def template(text: str) -> tuple[np.ndarray, list[str]]:
             continue
         inside, first, value, ends = _known.get(word) or token(word)
         if inside:
-            codes.append(first if start else inside)
+            codes.append(first if start is not flip else inside)
             values.append(value)
             start = ends
         elif ends:
@@ -86,11 +91,11 @@ def template(text: str) -> tuple[np.ndarray, list[str]]:
 
 
 def windows(codes: np.ndarray, size: int) -> np.ndarray:
-    """Hashes of all windows of size tokens."""
+    """Hashes of all windows of size tokens; of each column, where codes has two dimensions."""
     n = len(codes) - size + 1
     if n < 1:
         return np.zeros(0, np.uint64)
-    h = np.zeros(n, np.uint64)
+    h = np.zeros((n, *codes.shape[1:]), np.uint64)
     with np.errstate(over="ignore"):
         for i in range(size):
             h = (h ^ codes[i : i + n]) * np.uint64(0x9E3779B97F4A7C15)
@@ -98,6 +103,22 @@ def windows(codes: np.ndarray, size: int) -> np.ndarray:
     return h
 
 
+def either(codes: np.ndarray, other: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and places of all windows in which one token or more has its other code."""
+    rows, places = [], []
+    differs = np.flatnonzero(codes != other).tolist()
+    for p in sorted({p for x in differs for p in range(max(0, x - size + 1), min(x, len(codes) - size) + 1)}):
+        at = [x - p for x in differs if p <= x < p + size]
+        for n in range(1, len(at) + 1):
+            for some in combinations(at, n):
+                row = codes[p : p + size].copy()
+                row[list(some)] = other[p : p + size][list(some)]
+                rows.append(row)
+                places.append(p)
+    h = windows(np.array(rows, np.uint64).T, size)[0] if rows else np.zeros(0, np.uint64)
+    return h, np.array(places, np.int64)
+
+
 def _covered(at: np.ndarray, size: int) -> np.ndarray:
     """The tokens that windows of size tokens cover, from the places where they start."""
     own = np.zeros(len(at), bool)
@@ -112,11 +133,14 @@ class Windows:
     def __init__(self, items: list[tuple[int, str]], window: int):
         self.ids = [i for i, _ in items]
         self.codes, self.values = zip(*[template(t) for _, t in items], strict=True) if items else ((), ())
+        self.other = [template(t, flip=True)[0] for _, t in items]
         found: dict[int, list] = defaultdict(list)
         for k, codes in enumerate(self.codes):
             if len(codes):
                 h = windows(codes, size := min(window, len(codes)))
                 found[size].append((h, np.full(len(h), k), np.arange(len(h))))
+                h, at = either(codes, self.other[k], size)
+                found[size].append((h, np.full(len(h), k), at))
         self.by_size = {}
         for size, parts in found.items():
             h, k, q = (np.concatenate(x) for x in zip(*parts, strict=True))
@@ -137,7 +161,7 @@ class Windows:
                 j = int(at[p])
                 while j < len(h) and h[j] == own[p]:
                     item, pos = int(k[j]), int(q[j])
-                    if (codes[p : p + size] == self.codes[item][pos : pos + size]).all():
+                    if self._same(item, pos, codes, values, p, size):
                         key = (item, p - pos)
                         if key not in starts:
                             starts[key] = (size, np.zeros(len(self.codes[item]), bool))
@@ -145,15 +169,24 @@ class Windows:
                     j += 1
         union: dict[int, np.ndarray] = {}
         for (item, shift), (size, at) in starts.items():
-            own = self._consistent(item, shift, size, at, values)
+            if (self.codes[item] > 15).any():
+                own = self._consistent(item, shift, size, at, values)
+            else:  # placeholders alone: the item as it is, or nothing
+                own = _covered(at, size)
+                own &= own.all() and values[shift : shift + len(own)] == self.values[item]
             union[item] = union[item] | own if item in union else own
         out = []
         for item, own in union.items():
             n, plain = int(own.sum()), int((own & (self.codes[item] > 15)).sum())
-            if n >= min(least, len(own)) and plain >= min(literal, int((self.codes[item] > 15).sum())) and plain:
+            if n >= min(least, len(own)) and plain >= min(literal, int((self.codes[item] > 15).sum())) and n:
                 out.append((self.ids[item], n, len(own), int((self.codes[item] <= 15).sum())))
         return out
 
+    def _same(self, item: int, pos: int, codes: np.ndarray, values: list[str], p: int, size: int) -> bool:
+        """Whether the window at p of a text is the item's at pos; a token with its other code must be the same word."""
+        got = codes[p : p + size]
+        return all(got[x] == self.other[item][pos + x] and values[p + x] == self.values[item][pos + x] for x in np.flatnonzero(got != self.codes[item][pos : pos + size]).tolist())
+
     def _consistent(self, item: int, shift: int, size: int, at: np.ndarray, values: list[str]) -> np.ndarray:
         """The item's tokens that windows at these places cover, without windows whose slots do not agree."""
         codes, mine = self.codes[item], self.values[item]

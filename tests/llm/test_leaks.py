@@ -32,3 +32,23 @@ def test_inconsistent_values_do_not_count():
     for n in range(10):
         text = text.replace(" 5 ", f" {n + 20} ", 1)
     assert not found(item, text)
+
+
+@pytest.mark.parametrize("item", ["What is the capital of France?", "Name the largest planet. It has Rings?", "Sum up", "Which of these two rivers is longer, the Nile or the Amazon, and by how much?"])
+@pytest.mark.parametrize("before", ["", "please answer ", "Done. ", "see this\n"])
+def test_items_are_found_behind_any_text(item, before):
+    assert found(item, f"{before}{item} and so on")
+    assert found(item, before + item.replace(" ", "\n"))
+    if len(item.split()) <= 13:  # others may lack a word
+        assert not found(item, before + "Where" + item[item.index(" ") :])
+
+
+def test_items_of_placeholders_alone():
+    assert found("12 + 5 = 17", "we know that 12 + 5 = 17 holds") and found("12 + 5 = 17", "12 + 5 = 17")
+    assert not found("12 + 5 = 17", "we know that 12 + 6 = 18 holds") and not found("+ =", "a + = b")
+
+
+def test_a_slot_still_stands_for_any_name():
+    item = "What did Maria say to the 3 men at the gate of the old town before noon?"
+    assert found(item, "tell me: " + item.replace("Maria", "Olga").replace("3", "8"))
+    assert found(item, "please tell me, What did Olga say to the 8 men at the gate of the old town before noon?")
