@@ -9,7 +9,8 @@ hash (levels of bit arrays; a key's slot is the rank of its first bit that no ot
 locations in slot order. A lookup hashes the key, reads one bucket row, and needs no search.
 
 Defined cases: null text is empty (only the end id is written); null doc_id sorts first and is a key of its own; repeated
-doc_ids are told apart by their number ``rep`` within the doc_id; an empty table gives empty shards and index.
+doc_ids are told apart by their number ``rep`` within the doc_id; tokenizers other than the lower-casing word one get
+whole texts; an empty table gives empty shards and index.
 """
 
 from __future__ import annotations
@@ -24,7 +25,10 @@ from pyspark.sql import functions as F
 
 from catloom.llm.common import fresh_path, shuffle_partitions, text_of
 
-#: Latin-1 letters, number characters and the rest, as the tokenizer splits lower-cased text; other texts go to it whole.
+#: How the tokenizer must fold and split texts for the pieces below to be its own; texts go to any other one whole.
+_FOLDS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+_SPLITS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Latin-1 letters, number characters and the rest of lower-cased text.
 _PIECES = re.compile(
     r"[a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff]+|[0-9\xb2\xb3\xb9\xbc-\xbe]"
     r"|[^\x09-\x0d\x20\x85\xa0a-z0-9\xaa\xb2\xb3\xb5\xb9\xba\xbc-\xbe\xdf-\xf6\xf8-\xff]+"
@@ -41,44 +45,69 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+class _Known(dict):
+    """Pieces and their numbers; a piece asked for the first time takes the next number and waits in ``new``."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, piece: str) -> int:
+        self[piece] = number = len(self)
+        self.new.append(piece)
+        return number
+
+
 class Encoder:
     """tokenizers' encoding, each distinct piece of plain Latin-1 text encoded once (bounded memory)."""
 
     def __init__(self, path: str | None):
+        import json
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path or tokenizer_path())
+        made = json.loads(self.tok.to_str())
         vocab = self.tok.get_vocab()
+        steps = (made.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+        self.in_pieces = (
+            (made.get("normalizer") or {}).get("normalizers") == _FOLDS
+            and steps[0].get("pattern") == {"Regex": _SPLITS}
+            and [x["type"] for x in steps] == ["Split", "ByteLevel"]
+            and made["model"].get("end_of_word_suffix") == "</w>"
+            and all(t["content"].startswith("<|") for t in made["added_tokens"])
+        )
         self.dtype = np.dtype("<u2" if max(vocab.values()) < 2**16 else "<u4")
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
         self.clear()
 
     def clear(self) -> None:
-        self.known: dict[str, int] = {}
+        self.known = _Known()
         self.at, self.size, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, self.dtype)
 
     def whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, self.dtype) for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def learn(self, pieces: list[str]) -> None:
-        """Encode new pieces many at a time; each piece's last id carries the end-of-word mark."""
+    def learn(self) -> None:
+        """Encode the new pieces many at a time; each piece's last id carries the end-of-word mark."""
         found: list[np.ndarray] = []
-        for i in range(0, len(pieces), 2000):
-            part = pieces[i : i + 2000]
+        for i in range(0, len(self.known.new), 2000):
+            part = self.known.new[i : i + 2000]
             ids = self.whole([" ".join(part)])[0]
             cuts = np.flatnonzero(self.ends[ids]) + 1
             found += np.split(ids, cuts[:-1]) if len(cuts) == len(part) and cuts[-1] == len(ids) else self.whole(part)
+        self.known.new.clear()
         size = np.fromiter(map(len, found), np.int64, len(found))
-        self.known.update(zip(pieces, range(len(self.known), len(self.known) + len(pieces)), strict=True))
         self.at = np.concatenate([self.at, len(self.ids) + np.cumsum(size) - size])
         self.size = np.concatenate([self.size, size])
         self.ids = np.concatenate([self.ids, *found])
 
     def plain(self, texts: list[str]) -> list[np.ndarray]:
+        if len(self.known) > _CACHE_PIECES:
+            self.clear()
         pieces: list[str] = []
         n = np.zeros(len(texts), np.int64)
         for i, text in enumerate(texts):
@@ -87,12 +116,9 @@ class Encoder:
             pieces += got
         if not pieces:
             return [np.zeros(0, self.dtype)] * len(texts)
-        codes, distinct = pd.factorize(np.array(pieces, dtype=object))
-        if len(self.known) > _CACHE_PIECES:
-            self.clear()
-        if new := [p for p in distinct if p not in self.known]:
-            self.learn(new)
-        slot = np.fromiter((self.known[p] for p in distinct), np.int64, len(distinct))[codes]
+        slot = np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
+        if self.known.new:
+            self.learn()
         size = self.size[slot]
         ends = np.cumsum(size)
         ids = self.ids[np.repeat(self.at[slot] - ends + size, size) + np.arange(ends[-1])]
@@ -100,7 +126,11 @@ class Encoder:
         return np.split(ids, cuts[:-1])
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
+        if not self.in_pieces:
+            return self.whole(texts)
         unsafe = [i for i, t in enumerate(texts) if _UNSAFE.search(t)]
+        if not unsafe:
+            return self.plain(texts)
         out = dict(zip(unsafe, self.whole([texts[i] for i in unsafe]), strict=True))
         rest = [i for i in range(len(texts)) if i not in out]
         out |= dict(zip(rest, self.plain([texts[i] for i in rest]), strict=True))
@@ -120,13 +150,15 @@ def write_shards(docs: DataFrame, path: str, *, id_col="doc_id", text_col="text"
         from pyspark import TaskContext
 
         shard, enc, block = TaskContext.get().partitionId(), encoder(tokenizer), 0
+        last, rep = object(), 0
         keys: list = []
+        reps: list[int] = []
         ids: list[np.ndarray] = []
         held = 0
 
         def row() -> pd.DataFrame:
             size = np.fromiter(map(len, ids), np.int64, len(ids))
-            return pd.DataFrame({"shard": [shard], "block": [block], "n_ids": [int(size.sum())], "id_bytes": [enc.dtype.itemsize], "doc_ids": [keys], "starts": [(np.cumsum(size) - size).tolist()], "lens": [size.tolist()], "payload": [np.concatenate(ids).tobytes()]})
+            return pd.DataFrame({"shard": [shard], "block": [block], "n_ids": [int(size.sum())], "id_bytes": [enc.dtype.itemsize], "doc_ids": [keys], "reps": [reps], "starts": [(np.cumsum(size) - size).tolist()], "lens": [size.tolist()], "payload": [np.concatenate(ids).tobytes()]})
 
         def steps(texts: list[str]) -> Iterator[tuple[int, int]]:
             a, n = 0, 0
@@ -140,12 +172,14 @@ def write_shards(docs: DataFrame, path: str, *, id_col="doc_id", text_col="text"
             texts, doc_ids = pdf["text"].tolist(), [None if pd.isna(x) else int(x) for x in pdf["doc_id"]]
             for a, b in steps(texts):
                 for key, got in zip(doc_ids[a:b], enc.encode(texts[a:b]), strict=True):
+                    last, rep = key, rep + 1 if key == last else 0
                     keys.append(key)
+                    reps.append(rep)
                     ids.append(np.append(got, enc.dtype.type(end_id)))
                     held += len(ids[-1])
                     if held >= block_ids:
                         yield row()
-                        keys, ids, held, block = [], [], 0, block + 1
+                        keys, reps, ids, held, block = [], [], [], 0, block + 1
         if keys:
             yield row()
 
@@ -155,30 +189,34 @@ def write_shards(docs: DataFrame, path: str, *, id_col="doc_id", text_col="text"
         rows.repartitionByRange(n, "doc_id", "h")
         .sortWithinPartitions("doc_id", "h")
         .select("doc_id", "text")
-        .mapInPandas(blocks, "shard int, block int, n_ids long, id_bytes int, doc_ids array<long>, starts array<long>, lens array<long>, payload binary")
+        .mapInPandas(blocks, "shard int, block int, n_ids long, id_bytes int, doc_ids array<long>, reps array<long>, starts array<long>, lens array<long>, payload binary")
         .write.mode("overwrite")
         .option("compression", "zstd")
         .parquet(f"{path}/shards")
     )
 
 
-def _numbered(keys: DataFrame, *order: str) -> DataFrame:
-    return keys.withColumn("rep", F.row_number().over(Window.partitionBy("doc_id").orderBy(*order)) - 1)
-
-
 def _keyed(df: DataFrame, buckets: int) -> DataFrame:
     return df.withColumn("key", F.xxhash64(F.col("doc_id").isNull(), "doc_id", "rep")).withColumn("bucket", F.pmod("key", F.lit(buckets)))
 
 
 def entries(spark: SparkSession, path: str) -> DataFrame:
-    """doc_id, rep, shard, block, start in the block, n, and start in the corpus, of every document in the files."""
-    blocks = spark.read.parquet(f"{path}/shards").select("shard", "block", "n_ids", "doc_ids", "starts", "lens")
-    per_shard = blocks.groupBy("shard").agg(F.sum("n_ids").alias("ids"))
-    shards = per_shard.select("shard", (F.sum("ids").over(Window.orderBy("shard")) - F.col("ids")).alias("before"))  # one row per shard
+    """doc_id, rep, shard, block, start in the block, n, and start in the corpus, of every document in the files.
+
+    A doc_id that fills several shards goes on counting from the shards before; that takes one row per shard.
+    """
+    blocks = spark.read.parquet(f"{path}/shards").select("shard", "block", "n_ids", "doc_ids", "reps", "starts", "lens")
+    last = F.max_by(F.struct(F.element_at("doc_ids", -1).alias("id"), (F.element_at("reps", -1) + 1).alias("n")), "block")
+    per_shard = blocks.groupBy("shard").agg(F.sum("n_ids").alias("ids"), F.min_by(F.col("doc_ids")[0], "block").alias("first_id"), last.alias("last"))
+    run = F.sum("last.n").over(Window.partitionBy("last.id").orderBy("shard"))
+    order = Window.orderBy("shard")  # one row per shard
+    goes_on = F.lag("last.id").over(order).eqNullSafe(F.col("first_id"))
+    shards = per_shard.withColumn("run", run).select("shard", "first_id", (F.sum("ids").over(order) - F.col("ids")).alias("before"), F.when(goes_on, F.coalesce(F.lag("run").over(order), F.lit(0))).otherwise(0).alias("earlier"))
     within = F.sum("n_ids").over(Window.partitionBy("shard").orderBy("block")) - F.col("n_ids")
-    starts = blocks.select("shard", "block", within.alias("within")).join(shards, "shard").select("shard", "block", (F.col("before") + F.col("within")).alias("corpus_start"))
-    rows = blocks.select("shard", "block", F.inline(F.arrays_zip("doc_ids", "starts", "lens"))).toDF("shard", "block", "doc_id", "start", "n")
-    return _numbered(rows, "shard", "block", "start").join(starts, ["shard", "block"]).withColumn("corpus_start", F.col("corpus_start") + F.col("start"))
+    starts = blocks.select("shard", "block", within.alias("within")).join(shards, "shard").select("shard", "block", "first_id", "earlier", (F.col("before") + F.col("within")).alias("corpus_start"))
+    rows = blocks.select("shard", "block", F.inline(F.arrays_zip("doc_ids", "reps", "starts", "lens"))).toDF("shard", "block", "doc_id", "rep", "start", "n")
+    rep = F.col("rep") + F.when(F.col("doc_id").eqNullSafe(F.col("first_id")), F.col("earlier")).otherwise(0)
+    return rows.join(starts, ["shard", "block"]).select("doc_id", rep.alias("rep"), "shard", "block", "start", "n", (F.col("corpus_start") + F.col("start")).alias("corpus_start"))
 
 
 def _mix(x: np.ndarray, seed: int) -> np.ndarray:
@@ -257,8 +295,8 @@ def lookup(keys: DataFrame, path: str, buckets: int) -> DataFrame:
         return out.astype({"doc_id": "Int64"})
 
     index = keys.sparkSession.read.parquet(f"{path}/index")
-    hashed = _keyed(keys.select(F.col("doc_id").cast("long"), F.col("rep").cast("int")), buckets)
-    return hashed.groupBy("bucket").cogroup(index.groupBy("bucket")).applyInPandas(probe, "doc_id long, rep int, " + ", ".join(f"{c} long" for c in _PLACE))
+    hashed = _keyed(keys.select(F.col("doc_id").cast("long"), F.col("rep").cast("long")), buckets)
+    return hashed.groupBy("bucket").cogroup(index.groupBy("bucket")).applyInPandas(probe, "doc_id long, rep long, " + ", ".join(f"{c} long" for c in _PLACE))
 
 
 def payload_checksums(spark: SparkSession, path: str) -> DataFrame:
@@ -276,6 +314,13 @@ def payload_checksums(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(f"{path}/shards").select("shard", "block", "id_bytes", "starts", "lens", "payload").mapInPandas(sums, "shard long, block long, start long, ids_crc32 long")
 
 
+def keys_of(docs: DataFrame, id_col: str = "doc_id", part: int = 100_000) -> DataFrame:
+    """doc_id and rep of each row; a doc_id of very many rows is numbered in parts, by several tasks."""
+    counts = docs.groupBy(docs[id_col].cast("long").alias("doc_id")).agg(F.count("*").alias("n"))
+    parts = counts.select("doc_id", "n", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(n - 1) div {part}"))).alias("part")).repartition("doc_id", "part")
+    return parts.select("doc_id", F.explode(F.sequence(F.col("part") * part, F.least((F.col("part") + 1) * part, "n") - 1)).alias("rep"))
+
+
 def token_ids(docs: DataFrame, *, path: str | None = None, **options) -> DataFrame:
     """Write docs as token-ID shards with their index and read them back by key.
 
@@ -286,8 +331,7 @@ def token_ids(docs: DataFrame, *, path: str | None = None, **options) -> DataFra
     path = path or fresh_path(spark, "token-ids")
     write_shards(docs, path, **options)
     buckets = write_index(spark, path)
-    keys = _numbered(docs.select(docs[options.get("id_col", "doc_id")].cast("long").alias("doc_id")), "doc_id")
-    found = lookup(keys, path, buckets)
+    found = lookup(keys_of(docs, options.get("id_col", "doc_id")), path, buckets)
     return found.join(payload_checksums(spark, path), ["shard", "block", "start"], "left").select(
         "doc_id", F.col("corpus_start").alias("start"), F.col("n").alias("n_tokens"), "ids_crc32", "shard", "block", F.col("start").alias("block_start")
     )
