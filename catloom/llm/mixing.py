@@ -6,11 +6,12 @@ The cheapest flow on this small graph says how many words each pattern gives. Wh
 partial pass takes documents in the order of a seeded hash up to its number of words, and of the last document only the
 words still wanted, so that quotas are met exactly.
 
-The graph has a row for each pattern and source, whatever the number of documents; more than max_arcs of them is an
-error. Prefix sums go by hash range and then within a range, never over all rows in one task.
+The graph has a node for each of the max_patterns largest patterns, whatever the number of documents. Where there are
+more, the documents of the smaller ones count for one source each, the smallest that they have: the graph stays bounded
+and no document is left out. Prefix sums go by hash range and then within a range, never over all rows in one task.
 
-Defined cases: null and empty texts have size 0 and take 0; a null source is a source, sorted last; repeated rows count
-each; an empty table gives no rows.
+Defined cases: null and empty texts have size 0 and take 0; a null source is a source, sorted last, and so is a
+null or empty array of sources; repeated rows count each; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -97,28 +98,50 @@ def seeded(seed: int, *cols: Column) -> Column:
 
 def _key(pattern: Column) -> Column:
     """A pattern as one string; a null source differs from any name."""
-    return F.concat_ws("\x1f", F.transform(F.coalesce(pattern, F.array(F.lit(None).cast("string"))), lambda s: F.coalesce(F.concat(F.lit("="), s), F.lit("~"))))
+    return F.concat_ws("\x1f", F.transform(pattern, lambda s: F.coalesce(F.concat(F.lit("="), s), F.lit("~"))))
 
 
 def _features(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sources: str = "source", seed: int = 42) -> dict[str, Column]:
     col = docs[sources]
     is_array = docs.schema[sources].dataType.typeName() == "array"
-    pattern = F.array_sort(F.array_distinct(col)) if is_array else F.array(col.cast("string"))
+    one = F.array(F.lit(None).cast("string"))
+    pattern = F.when(F.size(col) > 0, F.array_sort(F.array_distinct(col.cast("array<string>")))).otherwise(one) if is_array else F.array(col.cast("string"))
     size = n_words(text_of(docs, text_col))
     return {"pattern": pattern, "size": size, "h": seeded(seed, docs[id_col], size)}
 
 
-def plan_mix(rows: DataFrame, *, weights: dict | None = None, passes: int = 3, pass_costs: tuple[float, ...] = (0.0, 1.0, 3.0), max_arcs: int = 100_000) -> DataFrame:
-    """rows: pattern, size, h of each document. For each pattern what it gives, and where its partial pass ends.
+def _folds(rows: DataFrame, most: int) -> DataFrame | None:
+    """pkey and fold (the smallest source) of the patterns of rows beyond the ``most`` largest; None where there are no more."""
+    sizes = rows.groupBy(_key(F.col("pattern")).alias("pkey")).agg(F.first("pattern").alias("pattern"), F.sum("size").alias("size"))
+    if sizes.limit(most + 1).count() <= most:
+        return None
+    sizes = stored(sizes, "mix-patterns")
+    kept = sizes.orderBy(F.desc("size"), "pkey").limit(most).select("pkey")
+    single = sizes.select("pkey", "size", F.explode("pattern").alias("source")).withColumn("fold", _key(F.array("source")))
+    totals = single.groupBy("fold").agg(F.sum("size").alias("total"))
+    return single.join(kept, "pkey", "left_anti").join(totals, "fold").groupBy("pkey").agg(F.min(F.struct("total", "fold", "source")).alias("fold"))
 
-    One row per pattern (at most max_arcs): pkey, whole (full passes), source_size and target of its first source, cut
+
+def _folded(rows: DataFrame, folds: DataFrame | None, p: str = "") -> DataFrame:
+    """rows with the key of their pattern (columns carry the prefix p), after folding."""
+    rows = rows.withColumn(f"{p}pkey", _key(F.col(f"{p}pattern")))
+    if folds is None:
+        return rows
+    folds = folds.select(F.col("pkey").alias(f"{p}pkey"), F.col("fold").alias(f"{p}fold"))
+    some = F.col(f"{p}fold").isNotNull()
+    rows = rows.join(folds, f"{p}pkey", "left").withColumn(f"{p}pattern", F.when(some, F.array(f"{p}fold.source")).otherwise(F.col(f"{p}pattern")))
+    return rows.withColumn(f"{p}pkey", F.when(some, F.col(f"{p}fold.fold")).otherwise(F.col(f"{p}pkey"))).drop(f"{p}fold")
+
+
+def plan_mix(rows: DataFrame, *, weights: dict | None = None, passes: int = 3, pass_costs: tuple[float, ...] = (0.0, 1.0, 3.0)) -> DataFrame:
+    """rows: pkey, pattern, size, h of each document. For each pattern what it gives, and where its partial pass ends.
+
+    One row per pattern (a bounded number after folding): pkey, whole (full passes), source_size and target of its first source, cut
     (documents whose h is below it are in the partial pass) and share (words taken of each document at the cut).
     """
     spark = rows.sparkSession
-    got = rows.groupBy("pattern").agg(F.sum("size").alias("size")).limit(max_arcs + 1).collect()
-    if len(got) > max_arcs:
-        raise ValueError(f"more than {max_arcs} membership patterns")
-    patterns = sorted(((list(r["pattern"] or [None]), r["size"]) for r in got), key=lambda x: [(s is None, s or "") for s in x[0]])
+    got = rows.groupBy("pkey").agg(F.first("pattern").alias("pattern"), F.sum("size").alias("size")).collect()  # a bounded number after folding
+    patterns = sorted(((list(r["pattern"]), r["size"]) for r in got), key=lambda x: [(s is None, s or "") for s in x[0]])
     names = sorted({s for own, _ in patterns for s in own}, key=lambda s: (s is None, s or ""))
     at = {s: i for i, s in enumerate(names)}
     members, supply = [[at[s] for s in own] for own, _ in patterns], [size for _, size in patterns]
@@ -130,7 +153,7 @@ def plan_mix(rows: DataFrame, *, weights: dict | None = None, passes: int = 3, p
     flow = min_cost_flow(supply, members, [round(t) for t in targets], pass_costs[:passes])
     plan = [(_text_key(own), size, sum(f) // size if size else 0, sum(f) % size if size else 0, sizes[m[0]], targets[m[0]]) for (own, size), f, m in zip(patterns, flow, members, strict=True)]
     small = spark.createDataFrame(plan, "pkey string, pattern_size long, whole long, rest long, source_size long, target double")
-    rows = rows.select(_key(F.col("pattern")).alias("pkey"), "size", "h").withColumn("range", F.floor(F.col("h") / (2**60 // RANGES)).cast("int"))
+    rows = rows.select("pkey", "size", "h").withColumn("range", F.floor(F.col("h") / (2**60 // RANGES)).cast("int"))
     ranges = rows.groupBy("pkey", "range").agg(F.sum("size").alias("words"))
     ranges = ranges.withColumn("range_at", F.sum("words").over(Window.partitionBy("pkey").orderBy("range")) - F.col("words"))
     last = ranges.join(F.broadcast(small), "pkey").where("range_at <= rest and rest < range_at + words").select("pkey", "range", (F.col("rest") - F.col("range_at")).alias("left"))
@@ -150,19 +173,26 @@ def _taken() -> Column:
 
 
 _WHERE = ("id_col", "text_col", "sources", "seed")
+_MAX_PATTERNS = 100_000
+
+
+def _split(options: dict) -> tuple[dict, dict, int]:
+    """Options of the columns, those of the plan, and max_patterns."""
+    plan = {k: v for k, v in options.items() if k not in (*_WHERE, "max_patterns")}
+    return {k: v for k, v in options.items() if k in _WHERE}, plan, options.get("max_patterns", _MAX_PATTERNS)
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
-    """doc_id, pattern (array of sources), size, source_size, target and taken (words, repeats counted) of each row.
+    """doc_id, pattern (array of sources, after folding), size, source_size, target and taken (words, repeats counted) of each row.
 
-    Options: id_col, text_col, sources (a column with a source or an array of them), seed, and those of plan_mix.
+    Options: id_col, text_col, sources (a column with a source or an array of them), seed, max_patterns, and those of plan_mix.
     weights: of each source by name; by default 1, 2, 3 repeating in code point order, null last.
     """
-    where = {k: v for k, v in options.items() if k in _WHERE}
+    where, own, most = _split(options)
     features = _features(docs, **where)
     rows = stored(docs.select(docs[where.get("id_col", "doc_id")].alias("doc_id"), *[c.alias(n) for n, c in features.items()]), "mix")
-    plan = plan_mix(rows, **{k: v for k, v in options.items() if k not in _WHERE})
-    return rows.withColumn("pkey", _key(F.col("pattern"))).join(F.broadcast(plan), "pkey").select("doc_id", "pattern", "size", "source_size", "target", _taken().alias("taken"))
+    rows = _folded(rows, _folds(rows, most))
+    return rows.join(F.broadcast(plan_mix(rows, **own)), "pkey").select("doc_id", "pattern", "size", "source_size", "target", _taken().alias("taken"))
 
 
 def mix_digest(docs: DataFrame, **options) -> DataFrame:
@@ -171,13 +201,14 @@ def mix_digest(docs: DataFrame, **options) -> DataFrame:
 
 def repeated(docs: DataFrame, **options) -> DataFrame:
     """The mixed corpus: docs' columns, each row as often as the mix takes it; a partly taken document keeps its first words."""
-    where, columns, p = {k: v for k, v in options.items() if k in _WHERE}, docs.columns, free_prefix(docs, "_mix_")
+    (where, own, most), columns, p = _split(options), docs.columns, free_prefix(docs, "_mix_")
     features = _features(docs, **where)
     rows = stored(docs.select(*[c.alias(n) for n, c in features.items()]), "mix")
-    plan = F.broadcast(plan_mix(rows, **{k: v for k, v in options.items() if k not in _WHERE}))
-    plan = plan.select(*[F.col(c).alias(p + c) for c in plan.columns])
+    folds = _folds(rows, most)
+    plan = plan_mix(_folded(rows, folds), **own)
+    plan = F.broadcast(plan.select(*[F.col(c).alias(p + c) for c in plan.columns]))
     text_col = where.get("text_col", "text")
-    got = docs.select("*", *[c.alias(p + n) for n, c in features.items()]).withColumn(f"{p}pkey", _key(F.col(f"{p}pattern"))).join(plan, f"{p}pkey")
+    got = _folded(docs.select("*", *[c.alias(p + n) for n, c in features.items()]), folds, p).join(plan, f"{p}pkey")
     part = F.when(F.col(f"{p}h") < F.col(f"{p}cut"), F.col(f"{p}size")).when(F.col(f"{p}h") == F.col(f"{p}cut"), F.least(f"{p}share", f"{p}size")).otherwise(F.lit(0))
     text = F.col(text_col)
     cut = F.array_join(F.slice(F.regexp_extract_all(text, F.lit(rf"[\x20\x09-\x0D]*{WORD}"), F.lit(0)), 1, part.cast("int")), "")
