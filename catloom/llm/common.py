@@ -16,10 +16,12 @@ _local: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or a local one where it is unset (tests)."""
+    """The folder that all executors share: spark.checkpoint.dir, or a local one where it is unset in local mode (tests)."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found.rstrip("/")
+    if not spark.conf.get("spark.master", "").startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if "dir" not in _local:
         _local["dir"] = "file://" + tempfile.mkdtemp(prefix="catloom-")
     return _local["dir"]
@@ -66,5 +68,7 @@ def free_prefix(df: DataFrame, prefix: str) -> str:
 
 def one_each(rows: DataFrame, key: list[Column], p: str) -> DataFrame:
     """One of the rows of each key, chosen by a hash of all columns."""
-    order = Window.partitionBy(*key).orderBy(F.xxhash64(*rows.columns))
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
+    columns = [F.col(f"`{c}`").cast("string") if "map<" in t else F.col(f"`{c}`") for c, t in kinds.items()]  # maps have no hash
+    order = Window.partitionBy(*key).orderBy(F.xxhash64(*columns))
     return rows.withColumn(f"{p}n", F.row_number().over(order)).where(F.col(f"{p}n") == 1).drop(f"{p}n")

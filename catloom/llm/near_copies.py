@@ -1,13 +1,18 @@
-"""Near copies by exact similarity of word shingles, for the pipeline's stage.
+"""SimHash near-dedup at a stated similarity, for the pipeline's stage: fingerprints first, then what they miss.
 
 Two texts are near copies where the Jaccard similarity of their sets of five-word shingles (64-bit hashes) is 0.8 or
-more; groups are connected components. Candidates come from a prefix index, which loses no pair: each set is put into one
-order that holds for all texts, and two sets that are alike share a shingle among the first n - ceil(0.8 n) + 1 of each.
-Any order finds the same pairs. Shingles that are frequent in a sample of texts come last, so that buckets stay small.
+more; groups are connected components. At 0.8 about ten of 64 SimHash bits differ, too many for a search that prunes. So
+the links come in steps, and each candidate is verified on the whole sets:
 
-Equal sets are one from the start. In each bucket all sets are first held against one of them, another in each bucket;
-then only pairs of sets that are not connected yet are compared. A large group of near copies thus costs about its size
-and not its square. Every candidate is verified on the whole sets.
+1. SimHash fingerprints of the sets, linked within three bits by BK-trees (``simhash.near_links``). Large groups of close
+   copies are joined here.
+2. A prefix index for the rest, which loses no pair: each set is put into one order that holds for all texts, and two sets
+   that are alike share a shingle among the first n - ceil(0.8 n) + 1 of each. Any order finds the same pairs; shingles
+   that are frequent in a sample of texts come last, so that buckets stay small. In each bucket all sets are held against
+   one of them, another in each bucket, where the two are not connected yet.
+3. Pairs in a bucket that are still not connected.
+
+Equal sets are one from the start. A large group of near copies thus costs about its size and not its square.
 
 Defined cases: null and empty texts are equal; texts of fewer words than a shingle are one shingle; each row counts by its
 own text, also where doc_ids repeat; an empty table gives no rows.
@@ -19,11 +24,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from catloom.llm.common import free_prefix, one_each, steps, stored, text_of
-from catloom.llm.simhash import components
+from catloom.llm.common import steps, stored, text_of
+from catloom.llm.simhash import components, leaders, majority, near_links
 
 SIZE, ALIKE = 5, (4, 5)  # similarity as a fraction
 SAMPLE, FREQUENT = 10_000, 1_000_000  # texts that tell which shingles are frequent, and how many of these go to the tasks
@@ -72,7 +77,7 @@ def _frequent(rows: DataFrame, size: int) -> np.ndarray:
 
 
 def _sets(rows: DataFrame, size: int) -> DataFrame:
-    """doc_id, mark, fp (a hash of the set), n, and the first shingles of the set in the order of the index."""
+    """doc_id, mark, fp (a hash of the set), n, bits (its SimHash), and its first shingles in the order of the index."""
     from xxhash import xxh64_intdigest
 
     held = rows.sparkSession.sparkContext.broadcast(_frequent(rows, size))
@@ -80,25 +85,26 @@ def _sets(rows: DataFrame, size: int) -> DataFrame:
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         late = held.value
         for batch in steps(batches, 500):
-            fps, sizes, firsts = [], [], []
+            fps, sizes, bits, firsts = [], [], [], []
             for t in batch["text"].to_pylist():
                 s = shingles(t, size)
                 fps.append(xxh64_intdigest(s.tobytes(), 7))
+                bits.append(majority(s))
                 if len(late):
                     is_late = late[np.minimum(np.searchsorted(late, s), len(late) - 1)] == s
                     s = np.concatenate([s[~is_late], s[is_late]])
                 sizes.append(len(s))
                 firsts.append(s[: len(s) - -(-len(s) * ALIKE[0] // ALIKE[1]) + 1])
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["mark"], pa.array(np.array(fps, np.uint64).view(np.int64)), pa.array(sizes, pa.int64()), _lists(firsts)], ["doc_id", "mark", "fp", "n", "keys"])
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["mark"], pa.array(np.array(fps, np.uint64).view(np.int64)), pa.array(sizes, pa.int64()), pa.array(np.array(bits, np.uint64).view(np.int64)), _lists(firsts)], ["doc_id", "mark", "fp", "n", "bits", "keys"])
 
-    return rows.mapInArrow(make, "doc_id long, mark long, fp long, n long, keys array<long>")
+    return rows.mapInArrow(make, "doc_id long, mark long, fp long, n long, bits long, keys array<long>")
 
 
 def _verified(pairs: DataFrame, marks: DataFrame, rows: DataFrame, size: int) -> DataFrame:
     """The pairs a < b of fps whose whole sets are alike. marks: fp and the mark of a text that has it."""
     pairs = stored(pairs, "copy-pairs")
     asked = pairs.select(F.col("a").alias("fp")).unionByName(pairs.select(F.col("b").alias("fp"))).distinct()
-    asked = stored(asked.join(marks, "fp"), "copy-asked")
+    asked = stored(asked.join(marks.select("fp", "mark"), "fp"), "copy-asked")
     on = np.zeros(SLOTS, bool)
     on[asked.select(F.pmod("mark", F.lit(SLOTS)).alias("slot")).distinct().toArrow()["slot"].to_numpy().astype(np.int64)] = True
     held = rows.sparkSession.sparkContext.broadcast(np.packbits(on))
@@ -127,39 +133,50 @@ def _may(n: Column, m: Column) -> Column:
     return ALIKE[1] * F.least(n, m) >= ALIKE[0] * F.greatest(n, m)
 
 
+def _alike_in_size(pairs: DataFrame, named: DataFrame) -> DataFrame:
+    sizes = [named.select(F.col("fp").alias(c), F.col("n").alias(f"n_{c}")) for c in ("a", "b")]
+    return pairs.join(sizes[0], "a").join(sizes[1], "b").where(_may(F.col("n_a"), F.col("n_b"))).select("a", "b")
+
+
 def copy_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE) -> DataFrame:
     """doc_id, mark (a hash of the text) and root (the same within a group) of each row."""
     text = text_of(docs, text_col)
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("mark"))
     marks = stored(_sets(rows, size), "copies")
-    distinct = marks.where("n > 0").groupBy("fp").agg(F.min("mark").alias("mark"), F.first("n").alias("n"), F.first("keys").alias("keys"))
-    named = marks.where("n > 0").groupBy("fp").agg(F.min("mark").alias("mark"))
-    keyed = distinct.select("fp", "n", F.explode("keys").alias("key"))
-    bucket = Window.partitionBy("key")
-    shared = keyed.withColumn("c", F.count("*").over(bucket)).where("c > 1")
-    shared = shared.withColumn("top", F.min(F.struct(F.xxhash64("fp", "key"), "fp", "n")).over(bucket))
-    shared = stored(shared.select("key", "fp", "n", F.col("top.n").alias("top_n"), F.col("top.fp").alias("top")), "copy-keys")
+    distinct = marks.where("n > 0").groupBy("fp").agg(F.min("mark").alias("mark"), F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("keys").alias("keys"))
+    named = marks.where("n > 0").groupBy("fp").agg(F.min("mark").alias("mark"), F.first("n").alias("n"))
     pair = lambda a, b: (F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
-    stars = shared.where((F.col("fp") != F.col("top")) & _may(F.col("n"), F.col("top_n"))).select(*pair("fp", "top")).distinct()
-    first = stored(_verified(stars, named, rows, size), "copy-links")
-    roots = components(first)
+    # fingerprints within three bits: each set with the first of its bits, and the first of either bits of a link
+    own = stored(marks.where("n > 0").select("fp", "bits").distinct(), "copy-bits")
+    first = own.groupBy("bits").agg(F.min("fp").alias("first"))
+    near = near_links(first.select(F.col("bits").alias("fp")))
+    ends = [first.select(F.col("bits").alias(c), F.col("first").alias(f"first_{c}")) for c in ("a", "b")]
+    near = near.join(ends[0], "a").join(ends[1], "b").select(*pair("first_a", "first_b"))
+    near = near.unionByName(own.join(first, "bits").where("fp <> first").select(*pair("first", "fp"))).distinct()
+    links = stored(_verified(_alike_in_size(near, named), named, rows, size), "copy-links")
+    roots = components(links)
+    # the prefix index; the top of a bucket is the set with the least fp after a turn by the key
+    keyed = distinct.select("fp", F.explode("keys").alias("key"))
+    turned = F.col("fp").bitwiseXOR(F.xxhash64("key"))
+    tops = keyed.groupBy("key").agg(F.count("*").alias("c"), F.min(turned).alias("top")).where("c > 1").select("key", F.col("top").bitwiseXOR(F.xxhash64("key")).alias("top"))
+    shared = stored(keyed.join(tops, "key"), "copy-keys")
+    stars = shared.where("fp <> top").select(*pair("fp", "top")).distinct()
+    of = lambda c, roots: roots.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}"))
+    apart = stars.join(of("a", roots), "a", "left").join(of("b", roots), "b", "left").where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
+    links = stored(links.unionByName(_verified(_alike_in_size(apart, named), named, rows, size)), "copy-links")
+    roots = components(links)
     # what is not connected yet, in buckets that still hold two components
-    own = stored(shared.join(roots, shared["fp"] == roots["node"], "left").select("key", "fp", "n", F.coalesce("root", "fp").alias("root")), "copy-keys")
+    own = shared.join(named.select("fp", "n"), "fp").join(roots, F.col("fp") == F.col("node"), "left")
+    own = stored(own.select("key", "fp", "n", F.coalesce("root", "fp").alias("root")), "copy-keys")
     open_keys = own.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key")
     own = own.join(open_keys, "key", "left_semi")
     x, y = own.alias("x"), own.alias("y")
     cross = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.fp") < F.col("y.fp")) & (F.col("x.root") != F.col("y.root")) & _may(F.col("x.n"), F.col("y.n")))
     cross = cross.select(F.col("x.fp").alias("a"), F.col("y.fp").alias("b")).distinct().join(stars, ["a", "b"], "left_anti")
-    roots = components(first.unionByName(_verified(cross, named, rows, size)))
+    roots = components(links.unionByName(_verified(cross, named, rows, size)))
     return marks.select("doc_id", "mark", "fp").join(roots, F.col("fp") == F.col("node"), "left").select("doc_id", "mark", F.coalesce("root", "fp").alias("root"))
 
 
 def drop_copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The row with the smallest id of each group, with docs' columns; rows without an id are kept."""
-    groups = copy_groups(docs, id_col=id_col, text_col=text_col, **options)
-    p = free_prefix(docs, "_near_")
-    lead = groups.where("doc_id is not null").groupBy("root").agg(F.min(F.struct("doc_id", "mark")).alias("lead"))
-    lead = lead.select(F.col("lead.doc_id").alias(f"{p}id"), F.col("lead.mark").alias(f"{p}mark"))
-    rows = docs.withColumn(f"{p}own", F.xxhash64(text_of(docs, text_col)))
-    rows = rows.join(lead, (F.col(id_col).cast("long") == F.col(f"{p}id")) & (F.col(f"{p}own") == F.col(f"{p}mark")), "left_semi")
-    return one_each(rows, [F.col(id_col), F.col(f"{p}own")], p).select(*docs.columns).unionByName(docs.where(docs[id_col].isNull()))
+    return leaders(docs, copy_groups(docs, id_col=id_col, text_col=text_col, **options), id_col=id_col, text_col=text_col)

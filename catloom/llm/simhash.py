@@ -11,7 +11,8 @@ large-star and small-star steps, each written to the shared folder.
 
 Defined cases: null and empty texts have fingerprint zero and link to each other; texts of one or two words use the whole
 sequence; each row counts by its own text, also where doc_ids repeat; null ids keep their row and take the smallest
-non-null id of their group; an empty table gives no rows.
+non-null id of their group; an empty table gives no rows. drop_near keeps one row for each group, the one whose own text
+leads it, so of a repeated id with two texts that stand apart both stay.
 """
 
 from __future__ import annotations
@@ -22,10 +23,10 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catloom.llm.common import free_prefix, steps, stored, text_of
+from catloom.llm.common import free_prefix, one_each, steps, stored, text_of
 
 RADIUS = 3
 TREE_NODES = 2048
@@ -51,22 +52,27 @@ def fingerprint(text: str, size: int = 3, seed: int = 42) -> int:
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     last = ends[min(size, len(words)) - 1 :].tolist()
     first = [0, *(ends + 1).tolist()][: len(last)]
-    total, n = np.zeros(64, np.int64), len(last)
-    for i in range(0, n, 100_000):
-        h = np.fromiter((xxh64_intdigest(joined[a:b], seed) for a, b in zip(first[i : i + 100_000], last[i : i + 100_000], strict=True)), np.uint64)
-        total += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(total * 2 > n, bitorder="little").tobytes(), "little")
+    return majority(np.fromiter((xxh64_intdigest(joined[a:b], seed) for a, b in zip(first, last, strict=True)), np.uint64, len(last)))
+
+
+def majority(h: np.ndarray) -> int:
+    """The bits that more than half of the 64-bit hashes have."""
+    total = np.zeros(64, np.int64)
+    for i in range(0, len(h), 100_000):
+        total += np.unpackbits(h[i : i + 100_000].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int.from_bytes(np.packbits(total * 2 > len(h), bitorder="little").tobytes(), "little")
 
 
 def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = 3) -> DataFrame:
-    """doc_id and fp (signed 64 bits) of each row."""
+    """doc_id, mark (a hash of the text) and fp (signed 64 bits) of each row."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches):
             fp = np.fromiter((fingerprint(t, size) for t in batch["text"].to_pylist()), np.uint64, len(batch))
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(fp.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["mark"], pa.array(fp.view(np.int64))], ["doc_id", "mark", "fp"])
 
-    return docs.select(docs[id_col].cast("long").alias("doc_id"), text_of(docs, text_col).alias("text")).mapInArrow(make, "doc_id long, fp long")
+    text = text_of(docs, text_col)
+    return docs.select(docs[id_col].cast("long").alias("doc_id"), F.xxhash64(text).alias("mark"), text.alias("text")).mapInArrow(make, "doc_id long, mark long, fp long")
 
 
 class BKTree:
@@ -146,11 +152,11 @@ def near_links(distinct: DataFrame, *, radius: int = RADIUS, tree_nodes: int = T
     return pairs.mapInPandas(search, "a long, b long").distinct()
 
 
-def components(links: DataFrame, *, tag: str = "links", most: int = 60) -> DataFrame:
-    """links: a < b. node and root (the least node it reaches) of every node in a link; alternating star steps."""
+def components(links: DataFrame, *, tag: str = "links") -> DataFrame:
+    """links: a < b. node and root (the least node it reaches) of every node in a link; alternating star steps, until they settle."""
     edges = stored(links.select("a", "b").where("a < b").distinct(), tag)
     last = None
-    for _ in range(most):
+    while True:
         both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         large = both.join(least, "a").where("b > a").select(F.col("m").alias("a"), "b").where("a < b").distinct()
@@ -163,31 +169,37 @@ def components(links: DataFrame, *, tag: str = "links", most: int = 60) -> DataF
         if now == last:
             break
         last = now
-    else:
-        raise RuntimeError("components did not settle")
     return edges.select(F.col("b").alias("node"), F.col("a").alias("root"))
 
 
 def near_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = 3, radius: int = RADIUS) -> DataFrame:
-    """doc_id, fp and component_id (smallest doc_id of the group) of each row."""
+    """doc_id, mark, fp, root (the same within a group) and component_id (smallest doc_id of the group) of each row."""
     marks = stored(fingerprints(docs, id_col=id_col, text_col=text_col, size=size), "simhash")
     distinct = marks.groupBy("fp").agg(F.min("doc_id").alias("first"))
     links = near_links(distinct.select("fp"), radius=radius)
     roots = components(links)
     groups = distinct.join(roots, distinct["fp"] == roots["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     firsts = groups.groupBy("root").agg(F.min("first").alias("component_id"))
-    return marks.join(groups.select("fp", "root").join(firsts, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
+    return marks.join(groups.select("fp", "root").join(firsts, "root").select("fp", "root", "component_id"), "fp").select("doc_id", "mark", "fp", "root", "component_id")
 
 
 def near_digest(docs: DataFrame, **options) -> DataFrame:
     return near_groups(docs, **options).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def drop_near(docs: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
-    """The row with the smallest id of each group, with docs' columns; rows without an id are kept."""
+def leaders(docs: DataFrame, groups: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of docs for each group, one with its smallest id and a text that is in it; rows without an id are kept.
+
+    groups: doc_id, mark (hash of the text) and root of each row. Equal rows count as one.
+    """
     p = free_prefix(docs, "_near_")
-    kept = near_groups(docs, id_col=id_col, **options).where("doc_id = component_id").select(F.col("doc_id").alias(f"{p}id")).distinct()
-    first = docs.join(kept, docs[id_col].cast("long") == kept[f"{p}id"], "left_semi")
-    order = Window.partitionBy(id_col).orderBy(F.xxhash64(*[c for c in docs.columns if c != id_col]))
-    first = first.withColumn(f"{p}n", F.row_number().over(order)).where(F.col(f"{p}n") == 1).drop(f"{p}n")
-    return first.unionByName(docs.where(docs[id_col].isNull()))
+    lead = groups.where("doc_id is not null").groupBy("root").agg(F.min(F.struct("doc_id", "mark")).alias("lead"))
+    lead = lead.select(F.col("lead.doc_id").alias(f"{p}id"), F.col("lead.mark").alias(f"{p}mark"))
+    rows = docs.withColumn(f"{p}own", F.xxhash64(text_of(docs, text_col)))
+    rows = rows.join(lead, (rows[id_col].cast("long") == lead[f"{p}id"]) & (rows[f"{p}own"] == lead[f"{p}mark"]), "left_semi")
+    return one_each(rows, [rows[id_col], rows[f"{p}own"]], p).select(*[rows[c] for c in docs.columns]).unionByName(docs.where(docs[id_col].isNull()))
+
+
+def drop_near(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The row that leads each group of near fingerprints, with docs' columns; rows without an id are kept."""
+    return leaders(docs, near_groups(docs, id_col=id_col, text_col=text_col, **options), id_col=id_col, text_col=text_col)
