@@ -5,8 +5,9 @@ point prefix among its rows, each quantised to a few bits. The curve index of th
 order with equal bytes become shards, so a file covers a small box of the metadata and filters on them skip files.
 
 Prefix sums have levels: bytes per curve cell (their number is fixed by the quantisation), per part of a cell (a fixed
-number of hash ranges of the text), per group. A group larger than a quarter of a shard is divided over hash parts of
-its own, as equal sizes come first then; all others stay whole.
+number of hash ranges of the text), per group. A group with more bytes or more rows than a quarter of a shard's is
+divided over hash parts of its own, as equal sizes come first then; all others stay whole. Its parts go by doc_id, and by
+a number of the row where that is null, so that many rows without text or id are not one task's work.
 
 Defined cases: null text has size 1 and the checksum of no bytes; null metadata count as empty strings; repeated rows
 and null ids each get a slot; an empty table gives no rows.
@@ -77,20 +78,23 @@ def hilbert_shards(docs: DataFrame, *, shards: int = 8, bits: int = 5, parts: in
     top = (1 << bits) - 1
     text = text_of(docs, text_col)
     names = [f"m{i}" for i in range(len(metadata))]
-    rows = docs.select(docs[id_col].cast("long").alias("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), F.xxhash64(text).alias("h"), F.xxhash64(text, F.lit(1)).alias("h2"), *[_prefix_code(docs[c]).alias(n) for c, n in zip(metadata, names, strict=True)])
+    rows = docs.select(docs[id_col].cast("long").alias("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), F.xxhash64(text).alias("h"), F.xxhash64(F.lit(1), text).alias("h2"), *[_prefix_code(docs[c]).alias(n) for c, n in zip(metadata, names, strict=True)])
+    # dealt before they are stored, so that a row's part is the same whenever it is read
+    deal = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id()).otherwise(F.xxhash64("doc_id", F.lit(2)))
+    rows = rows.withColumn("deal", F.pmod(deal, F.lit(parts)).cast("int"))
     rows = stored(rows, "hilbert-rows")
     group = ["h", "h2"]
     groups = rows.groupBy(*group).agg(F.sum("size").alias("bytes"), F.count("*").alias("rows"), F.max("size").alias("each"), *[F.min(n).alias(n) for n in names])
     quantiles = [i / (top + 1) for i in range(1, top + 1)]
-    cuts = groups.agg(F.sum("bytes").alias("total"), *[F.array_distinct(F.percentile_approx(n, quantiles, 10_000)).alias(f"{n}_cuts") for n in ("each", *names)])
+    cuts = groups.agg(F.sum("bytes").alias("total"), F.sum("rows").alias("total_rows"), *[F.array_distinct(F.percentile_approx(n, quantiles, 10_000)).alias(f"{n}_cuts") for n in ("each", *names)])
     # one row: the total and at most 2**bits cut points a dimension
-    point = groups.crossJoin(F.broadcast(cuts)).select(*group, "bytes", "rows", hilbert_index([_rank(F.col(n), F.col(f"{n}_cuts"), top) for n in ("each", *names)], bits).alias("curve"), (F.col("bytes") > F.col("total") / (4 * shards)).alias("large"))
+    point = groups.crossJoin(F.broadcast(cuts)).select(*group, "bytes", "rows", hilbert_index([_rank(F.col(n), F.col(f"{n}_cuts"), top) for n in ("each", *names)], bits).alias("curve"), ((F.col("bytes") > F.col("total") / (4 * shards)) | (F.col("rows") > F.col("total_rows") / (4 * shards))).alias("large"))
     point = stored(point.select(*group, "curve", "large"), "hilbert-points")
-    # fewer than 4 * shards groups can be large: their rows find their point where they lie, all others by a shuffle
+    # fewer than 8 * shards groups can be large: their rows find their point where they lie, all others by a shuffle
     large = F.broadcast(point.where("large").select(*group, "curve", "large"))
     others = rows.join(large, group, "left_anti").join(point.where("not large"), group)
     rows = rows.join(large, group).unionByName(others).withColumn("part", F.pmod("h", F.lit(parts)))
-    rows = rows.withColumn("piece", F.when(F.col("large"), F.pmod(F.xxhash64("doc_id", F.lit(2)), F.lit(parts))).otherwise(F.lit(0)))
+    rows = rows.withColumn("piece", F.when(F.col("large"), F.col("deal")).otherwise(F.lit(0)))
     unit = ["curve", "part", "h", "h2", "piece"]
     units = rows.groupBy(*unit).agg(F.sum("size").alias("bytes"), F.count("*").alias("n"))
     cell_parts = units.groupBy("curve", "part").agg(F.sum("bytes").alias("bytes"))
