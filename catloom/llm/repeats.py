@@ -8,8 +8,12 @@ that occurs twice is repeated as a whole. Where an anchor has several different
 those pieces (Larsson-Sadakane refinement in numpy: ranks by twice the prefix, only where groups are not yet single),
 takes common prefixes of neighbours as Kasai does, all pieces in step, and marks the starts with a common prefix of
 length bytes. The pieces of an anchor with more than ``shard_pieces`` of them are spread over several shards; each reports
-digests of its distinct strings, and strings that two shards hold are found by a join on the digests. (A binary search of
-each shard in each other one would grow with the square of their number; within a shard, digests are found by one.)
+128-bit digests of its distinct strings, and strings that two shards hold are found by a join on the digests: Spark sorts
+both sides by digest and merges them. (A binary search of each shard in each other one would grow with the square of
+their number.)
+
+A document is known by two hashes of its id and text, rid and rid2; only the first travels with its pieces. Where two
+documents share it, each keeps to the pieces that it has.
 
 Defined cases: null and empty texts have no bytes; repeated rows repeat each other's strings; null ids keep their rows;
 texts shorter than length lose nothing; an empty table gives no rows.
@@ -225,6 +229,8 @@ def _bodies(rows: DataFrame, length: int) -> DataFrame:
             wanted, out = batch["wanted"].to_pylist(), []
             for k, places, text, sizes in _pieces(batch, length):
                 for w in wanted[k]:
+                    if (w["fp"], w["d"]) not in places:  # of the other document with this rid
+                        continue
                     p = places[w["fp"], w["d"]][0]
                     out.append((w["fp"], w["d"], text[p : p + sizes[w["fp"], w["d"]]].tobytes()))
             cols = list(zip(*out, strict=True)) or [[]] * 3
@@ -276,8 +282,8 @@ def _mark(pieces: DataFrame, length: int, chunk_bytes: int) -> DataFrame:
 
 
 def repeat_marks(docs: DataFrame, *, length: int = 200, shard_pieces: int = 4096, chunk_bytes: int = 1_000_000) -> tuple[DataFrame, DataFrame]:
-    """docs: rid, text. What repeats cover of each piece, by document (rid, fp, d, first, last), and the documents with such
-    anchors (rid, text, fps).
+    """docs: rid, rid2, text. What repeats cover of each piece, by document (rid, fp, d, first, last), and the documents with such
+    anchors (rid, rid2, text, fps).
     """
 
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -289,17 +295,17 @@ def repeat_marks(docs: DataFrame, *, length: int = 200, shard_pieces: int = 4096
                 first = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (fp[1:] != fp[:-1])])) if len(row) else np.zeros(0, np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(fp[first]), pa.array(rid[row[first]]), pa.array(np.diff(first, append=len(row)), pa.int32())], ["fp", "rid", "times"])
 
-    own = docs.mapInArrow(anchors, "fp long, rid long, times int")
+    own = docs.select("rid", "text").mapInArrow(anchors, "fp long, rid long, times int")
     twice = own.groupBy("fp").agg(F.sum("times").alias("n")).where("n > 1").select("fp")
     chosen = own.select("fp", "rid").join(twice, "fp").groupBy("rid").agg(F.collect_set("fp").alias("fps"))  # of one text
-    rows = stored(docs.join(chosen, "rid").select("rid", "text", "fps"), "repeat-docs")
-    members = stored(_members(rows, length), "repeat-members")
+    rows = stored(docs.join(chosen, "rid").select("rid", "rid2", "text", "fps"), "repeat-docs")
+    members = stored(_members(rows.select("rid", "text", "fps"), length), "repeat-members")
     classes = members.groupBy("fp", "d").agg(F.sum("times").alias("times"), F.min("size").alias("size"), F.min("rid").alias("rid"))
     several = classes.groupBy("fp").agg(F.count("*").alias("kinds")).where("kinds > 1")
     spread = F.ceil(F.col("kinds") / shard_pieces)
     mixed = stored(classes.join(several, "fp").select("fp", "d", "rid", F.pmod("d", spread).cast("int").alias("shard"), (spread > 1).alias("several")), "repeat-mixed")
     wanted = mixed.groupBy("rid").agg(F.collect_list(F.struct("fp", "d")).alias("wanted"))  # of one text
-    bodies = _bodies(rows.join(wanted, "rid").dropDuplicates(["rid"]), length)
+    bodies = _bodies(rows.join(wanted, "rid").dropDuplicates(["rid", "rid2"]).drop("rid2"), length)
     marks = stored(_mark(bodies.join(mixed, ["fp", "d"]), length, chunk_bytes), "repeat-marks")
     strings = marks.where("w1 is not null")
     across = strings.groupBy("fp", "w1", "w2").agg(F.count("*").alias("shards")).where("shards > 1")
@@ -310,7 +316,7 @@ def repeat_marks(docs: DataFrame, *, length: int = 200, shard_pieces: int = 4096
 
 
 def _removal(rows: DataFrame, length: int) -> DataFrame:
-    """rows: rid, text, fps, spans (array of fp, d, first, last). Bytes and ranges removed, and what is left."""
+    """rows: rid, rid2, text, fps, spans (array of fp, d, first, last). Bytes and ranges removed, and what is left."""
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -318,28 +324,30 @@ def _removal(rows: DataFrame, length: int) -> DataFrame:
             for k, places, text, _ in _pieces(batch, length):
                 cover = np.zeros(len(text) + 1, np.int64)
                 for s in spans[k]:
-                    for p in places[s["fp"], s["d"]]:
+                    for p in places.get((s["fp"], s["d"]), ()):
                         cover[p + s["first"]] += 1
                         cover[p + s["last"]] -= 1
                 gone = np.cumsum(cover)[:-1] > 0
                 removed.append(int(gone.sum()))
                 ranges.append(int((gone & ~np.concatenate([[False], gone[:-1]])).sum()))
                 left.append(text[~gone].tobytes())
-            yield pa.RecordBatch.from_arrays([batch["rid"], pa.array(removed, pa.int64()), pa.array(ranges, pa.int64()), pa.array(left, pa.binary()), pa.array([hashlib.sha256(x).hexdigest() for x in left], pa.string())], ["rid", "n_removed", "n_spans", "kept", "kept_sha256"])
+            yield pa.RecordBatch.from_arrays([batch["rid"], batch["rid2"], pa.array(removed, pa.int64()), pa.array(ranges, pa.int64()), pa.array(left, pa.binary()), pa.array([hashlib.sha256(x).hexdigest() for x in left], pa.string())], ["rid", "rid2", "n_removed", "n_spans", "kept", "kept_sha256"])
 
-    return rows.select("rid", "text", "fps", "spans").mapInArrow(remove, "rid long, n_removed long, n_spans long, kept binary, kept_sha256 string")
+    return rows.select("rid", "rid2", "text", "fps", "spans").mapInArrow(remove, "rid long, rid2 long, n_removed long, n_spans long, kept binary, kept_sha256 string")
 
 
 def without_repeats(docs: DataFrame, *, length: int = 200, **options) -> DataFrame:
-    """docs: rid, text. rid, n_removed, n_spans, kept (bytes) and kept_sha256 of the texts that lose any byte."""
+    """docs: rid, rid2, text. rid, rid2, n_removed, n_spans, kept (bytes) and kept_sha256 of the texts that lose any byte."""
     spans, rows = repeat_marks(docs, length=length, **options)
     per_text = spans.distinct().groupBy("rid").agg(F.collect_list(F.struct("fp", "d", "first", "last")).alias("spans"))  # of one text
-    return _removal(rows.join(per_text, "rid").dropDuplicates(["rid"]), length)
+    return _removal(rows.join(per_text, "rid").dropDuplicates(["rid", "rid2"]), length)
 
 
 def repeats_digest(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of each row."""
-    rows = docs.select(docs[id_col].alias("doc_id"), text_of(docs, text_col).alias("text")).withColumn("rid", F.xxhash64(F.col("doc_id").isNull(), "doc_id", "text"))
-    removed = without_repeats(rows.select("rid", "text"), **options).drop("kept")
-    all_rows = rows.select("doc_id", "rid", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2(F.col("text").cast("binary"), 256).alias("own"))
-    return all_rows.join(removed, "rid", "left").select("doc_id", "n_bytes", F.coalesce("n_removed", F.lit(0)).alias("n_removed"), F.coalesce("n_spans", F.lit(0)).alias("n_spans"), F.coalesce("kept_sha256", "own").alias("kept_sha256"))
+    rows = docs.select(docs[id_col].alias("doc_id"), text_of(docs, text_col).alias("text"))
+    rid = lambda seed: F.xxhash64(F.lit(seed), F.col("doc_id").isNull(), "doc_id", "text")
+    rows = rows.withColumn("rid", rid(0)).withColumn("rid2", rid(1))
+    removed = without_repeats(rows.select("rid", "rid2", "text"), **options).drop("kept")
+    all_rows = rows.select("doc_id", "rid", "rid2", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2(F.col("text").cast("binary"), 256).alias("own"))
+    return all_rows.join(removed, ["rid", "rid2"], "left").select("doc_id", "n_bytes", F.coalesce("n_removed", F.lit(0)).alias("n_removed"), F.coalesce("n_spans", F.lit(0)).alias("n_spans"), F.coalesce("kept_sha256", "own").alias("kept_sha256"))
