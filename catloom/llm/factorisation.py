@@ -4,8 +4,8 @@ score(x) = sigmoid(w0 + sum w_i x_i + sum_{i<j} <v_i, v_j> x_i x_j); the pairwis
 of (sum v_i x_i)^2 - sum v_i^2 x_i^2 for each latent factor. Features come from the text alone: words by hash with their
 damped frequencies, and the quantile bins of structure statistics and of the text's size, one indicator each.
 
-Training reads at most ``max_labelled`` labelled rows (a bounded sample by hash of doc_id) on the driver; every row is
-scored from its whole text, where it lies, with no shuffle. The model has a fixed size.
+Training reads at most ``max_labelled`` labelled rows (a bounded sample by hash of doc_id, and among the rows of a repeated
+doc_id by hash of the text) on the driver; every row is scored from its whole text, where it lies, with no shuffle. The model has a fixed size.
 
 Defined cases: null and empty texts have no words and are scored by their statistics; null ids and repeated rows keep
 their rows (a null id counts as not held out); without usable labels every score is 0.5.
@@ -24,12 +24,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catloom.llm.common import steps, text_of
-from catloom.llm.quality_rules import text_stats
+from catloom.llm.quality_rules import labelled_sample, text_stats
 
 WORD_BITS = 15
 BINS = 12
+STEP = 200  # texts whose features lie in memory at a time
 N_STATS = 9  # symbols, upper case, repeats, distinct words, repeated lines, word length, short words, words with letters, size
 
+_STAT_WEIGHTS = np.full(N_STATS, 0.35, np.float32)
+
 
 def held_out(doc_id: Column, folds: int = 5) -> Column:
     """crc32 of the id as text, modulo folds, is 0."""
@@ -53,16 +56,25 @@ class Model:
     cuts: np.ndarray = field(default_factory=lambda: np.zeros((N_STATS, BINS - 1), np.float32))
 
     def bins(self, stats: np.ndarray) -> np.ndarray:
-        """Slots of the statistics' indicators, after those of the words."""
-        return (1 << WORD_BITS) + np.arange(N_STATS) * BINS + (self.cuts < stats[:, None]).sum(axis=1)
+        """Slots of the statistics' indicators, after those of the words; stats: of one text or of several."""
+        return ((1 << WORD_BITS) + np.arange(N_STATS) * BINS + (self.cuts < stats[..., None]).sum(axis=-1)).astype(np.int32)
+
+    def scores(self, texts: list[str]) -> np.ndarray:
+        """The scores of some texts: their features lie end to end, and each sum is taken over a text's own part."""
+        if not texts:
+            return np.zeros(0)
+        made = [raw_features(t) for t in texts]
+        bins = self.bins(np.stack([stats for *_, stats in made]))
+        i = np.concatenate([part for (slots, _, _), own in zip(made, bins, strict=True) for part in (slots, own)])
+        x = np.concatenate([part for _, own, _ in made for part in (own, _STAT_WEIGHTS)])
+        cut = np.cumsum([0, *(len(slots) + N_STATS for slots, _, _ in made[:-1])])
+        vx = self.v[i] * x[:, None]
+        total = np.add.reduceat(vx, cut, axis=0)
+        z = self.w0 + np.add.reduceat(self.w[i] * x, cut) + 0.5 * ((total**2).sum(axis=1) - np.add.reduceat((vx * vx).sum(axis=1), cut))
+        return (1 / (1 + np.exp(-np.clip(z.astype(np.float64), -30, 30)))).astype(np.float64)
 
     def score(self, text: str) -> float:
-        slots, x, stats = raw_features(text)
-        i = np.concatenate([slots, self.bins(stats)])
-        x = np.concatenate([x, np.full(N_STATS, 0.35, np.float32)])
-        vx = self.v[i] * x[:, None]
-        z = self.w0 + float(self.w[i] @ x) + 0.5 * float((vx.sum(axis=0) ** 2).sum() - (vx * vx).sum())
-        return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
+        return float(self.scores([text])[0])
 
 
 def train(rows: list[tuple[np.ndarray, np.ndarray, np.ndarray]], y: np.ndarray, *, factors: int = 6, epochs: int = 6, batch: int = 128, rate: float = 0.15, decay: float = 1e-5, seed: int = 5) -> Model:
@@ -74,7 +86,7 @@ def train(rows: list[tuple[np.ndarray, np.ndarray, np.ndarray]], y: np.ndarray,
         model.v[:] = 0
         return model
     model.cuts = np.quantile(np.stack([r[2] for r in rows]), np.linspace(0, 1, BINS + 1)[1:-1], axis=0).T.astype(np.float32)
-    data = [(np.concatenate([s, model.bins(t)]), np.concatenate([x, np.full(N_STATS, 0.35, np.float32)])) for s, x, t in rows]
+    data = [(np.concatenate([s, model.bins(t)]), np.concatenate([x, _STAT_WEIGHTS])) for s, x, t in rows]
     # both classes weigh the same, so that a score of 0.3 leans to the rarer one whatever its share
     balance = np.where(y == 1, len(y) / (2 * max(1, (y == 1).sum())), len(y) / (2 * max(1, (y == 0).sum()))).astype(np.float32)
     gw, gv, g0 = np.full(size, 1e-6, np.float32), np.full((size, factors), 1e-6, np.float32), 1e-6
@@ -106,8 +118,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, max_labelled: int = 8_000, folds:
     """Learn from labelled rows that are not held out, at most max_labelled of them."""
     own = labels.where("quality is not null and doc_id is not null").select(F.col("doc_id").cast("long").alias("_label_id"), F.col("quality").cast("int").alias("quality"))
     own = own.where(~held_out(F.col("_label_id"), folds)).groupBy("_label_id").agg(F.min("quality").alias("quality"))
-    own = own.orderBy(F.xxhash64("_label_id", F.lit(seed)), "_label_id").limit(max_labelled)
-    chosen = docs.select(docs[id_col].cast("long").alias("doc_id"), text_of(docs, text_col).alias("text")).join(F.broadcast(own), F.col("doc_id") == F.col("_label_id"))  # at most max_labelled rows
+    chosen = labelled_sample(docs, own, max_labelled, seed, id_col, text_col)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches):
@@ -126,8 +137,8 @@ def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: st
     held = docs.sparkSession.sparkContext.broadcast(model)  # of a fixed size
 
     def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in steps(batches):
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array([held.value.score(t) for t in batch["text"].to_pylist()], pa.float64())], ["doc_id", "score"])
+        for batch in steps(batches, STEP):
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(held.value.scores(batch["text"].to_pylist()))], ["doc_id", "score"])
 
     return docs.select(docs[id_col].cast("long").alias("doc_id"), text_of(docs, text_col).alias("text")).mapInArrow(scores, "doc_id long, score double")
 
@@ -143,7 +154,7 @@ def accepted(docs: DataFrame, labels: DataFrame, *, threshold: float = 0.3, text
     held = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, text_col=text_col, **options))
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in steps(batches):
-            yield batch.filter(pa.array([held.value.score(t or "") >= threshold for t in batch[text_col].to_pylist()], pa.bool_()))
+        for batch in steps(batches, STEP):
+            yield batch.filter(pa.array(held.value.scores([t or "" for t in batch[text_col].to_pylist()]) >= threshold))
 
     return docs.mapInArrow(keep, docs.schema)

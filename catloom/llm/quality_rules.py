@@ -3,10 +3,11 @@
 The base rules are fixed. On top of them a decision list is learned from labelled statistics by sequential covering: a
 rule grows, one threshold test at a time, on two thirds of the labelled rows while its gain in information rises, is
 pruned on the last third by dropping final tests while that does not lower its worth, and is kept if it is precise there;
-the rows it covers go, and the next rule grows. The list is a Spark conditional expression over the statistics, in order.
+the rows it covers go, and the next rule grows. A rule that is not precise gives its first test up, and the next best rule
+is tried. The list is a Spark conditional expression over the statistics, in order.
 
-Learning reads at most ``max_labelled`` labelled rows (a bounded sample by hash of doc_id, the rest is not needed for a
-few dozen thresholds); statistics, base rules and verdicts are made for every row from its whole text.
+Learning reads at most ``max_labelled`` labelled rows (a bounded sample by hash of doc_id, and among the rows of a repeated
+doc_id by hash of the text; the rest is not needed for a few dozen thresholds; of several labels of an id the least counts); statistics, base rules and verdicts are made for every row from its whole text.
 
 Defined cases: null and empty texts have zero statistics and fail the base rule on words; null ids and repeated rows keep
 their rows; a table without usable labels gives an empty list, which keeps all that the base keeps.
@@ -30,7 +31,7 @@ _SYMBOLS = re.compile(r"[#*$%&|<>]")
 _UPPER = re.compile(r"[A-Z\xC0-\xD6\xD8-\xDE]")
 _ALPHA_WORD = re.compile(r"[^\W\d_]")
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-RATIOS = ("symbol_ratio", "upper_ratio", "repeat_ratio", "distinct_ratio", "dup_line_ratio", "word_length", "stop_ratio", "alpha_ratio")
+RATIOS = ("symbol_ratio", "upper_ratio", "repeat_ratio", "distinct_ratio", "dup_line_ratio", "word_length", "short_ratio", "alpha_ratio")
 FEATURES = ("n_words", *RATIOS)
 
 
@@ -83,17 +84,18 @@ def text_stats(text: str) -> tuple[float, ...]:
     return n, chars, symbols, dup, repeats, symbols / max(1, chars), upper / max(1, chars), repeats / one, len(ids) / one, dup / max(1, lines), chars / one, short / one, alpha / one
 
 
-def with_stats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, COUNTS (long) and RATIOS (double) of each row."""
+def with_stats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, COUNTS (long) and RATIOS (double) of each row, and columns to keep."""
 
     def stats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches):
             rows = [text_stats(t) for t in batch["text"].to_pylist()]
             cols = list(zip(*rows, strict=True)) or [[]] * (len(COUNTS) + len(RATIOS))
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], *[pa.array(c, pa.int64()) for c in cols[:5]], *[pa.array(c, pa.float64()) for c in cols[5:]]], ["doc_id", *COUNTS, *RATIOS])
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], *[pa.array(c, pa.int64()) for c in cols[:5]], *[pa.array(c, pa.float64()) for c in cols[5:]], *[batch[c] for c in keep]], ["doc_id", *COUNTS, *RATIOS, *keep])
 
-    schema = ", ".join(["doc_id long", *[f"{c} long" for c in COUNTS], *[f"{c} double" for c in RATIOS]])
-    return docs.select(docs[id_col].cast("long").alias("doc_id"), text_of(docs, text_col).alias("text")).mapInArrow(stats, schema)
+    kept = docs.select(*keep).schema
+    schema = ", ".join(["doc_id long", *[f"{c} long" for c in COUNTS], *[f"{c} double" for c in RATIOS], *[f"{f.name} {f.dataType.simpleString()}" for f in kept]])
+    return docs.select(docs[id_col].cast("long").alias("doc_id"), text_of(docs, text_col).alias("text"), *keep).mapInArrow(stats, schema)
 
 
 def base_failed() -> Column:
@@ -122,7 +124,8 @@ def _all(tests: tuple[Test, ...], x: dict[str, np.ndarray], n: int) -> np.ndarra
     return out
 
 
-def _grow(x: dict[str, np.ndarray], bad: np.ndarray, thresholds: dict[str, np.ndarray], most: int) -> tuple[Test, ...]:
+def _grow(x: dict[str, np.ndarray], bad: np.ndarray, thresholds: dict[str, np.ndarray], most: int, barred: set[Test]) -> tuple[Test, ...]:
+    """The tests of one rule, none of those barred as its first."""
     tests: tuple[Test, ...] = ()
     covered = np.ones(len(bad), bool)
     while len(tests) < most:
@@ -134,6 +137,8 @@ def _grow(x: dict[str, np.ndarray], bad: np.ndarray, thresholds: dict[str, np.nd
             for at_least in (True, False):
                 for c in cuts:
                     t = Test(f, at_least, float(c))
+                    if not tests and t in barred:
+                        continue
                     own = covered & t.holds(x)
                     q = int((own & bad).sum())
                     if q:
@@ -146,17 +151,20 @@ def _grow(x: dict[str, np.ndarray], bad: np.ndarray, thresholds: dict[str, np.nd
     return tests
 
 
-def learn_list(x: dict[str, np.ndarray], bad: np.ndarray, fold: np.ndarray, *, most_rules: int = 12, most_tests: int = 3, precision: float = 0.97, cuts: int = 24, least: int = 8) -> list[tuple[Test, ...]]:
+def learn_list(x: dict[str, np.ndarray], bad: np.ndarray, fold: np.ndarray, *, most_rules: int = 12, most_tests: int = 3, precision: float = 0.97, cuts: int = 24, least: int = 8, most_failures: int = 30) -> list[tuple[Test, ...]]:
     """Ordered rules that cover rows of poor quality. fold: rows of the pruning third."""
     rules: list[tuple[Test, ...]] = []
+    barred: set[Test] = set()  # first tests of rules that were not precise
     left = np.ones(len(bad), bool)
     cut = lambda keep: {f: v[keep] for f, v in x.items()}
     thresholds = {f: np.unique(np.round(np.quantile(v, np.linspace(0.01, 0.99, cuts)), 4)) for f, v in x.items() if len(v)}
-    while len(rules) < most_rules:
+    while len(rules) < most_rules and len(barred) < most_failures:
         grow, prune = left & ~fold, left & fold
         if (bad & grow).sum() < least:
             break
-        tests = _grow(cut(grow), bad[grow], thresholds, most_tests)
+        tests = grown = _grow(cut(grow), bad[grow], thresholds, most_tests, barred)
+        if not tests:
+            break
         px, pb = cut(prune), bad[prune]
 
         def worth(t: tuple[Test, ...], px=px, pb=pb) -> float:
@@ -167,20 +175,30 @@ def learn_list(x: dict[str, np.ndarray], bad: np.ndarray, fold: np.ndarray, *, m
         while len(tests) > 1 and worth(tests[:-1]) >= worth(tests):
             tests = tests[:-1]
         own = _all(tests, px, len(pb))
-        if not tests or not own.any() or (own & pb).sum() < precision * own.sum():
-            break
+        if not own.any() or (own & pb).sum() < precision * own.sum():
+            barred.add(grown[0])
+            continue
         rules.append(tests)
         left &= ~_all(tests, x, len(bad))
     return rules
 
 
+def labelled_sample(docs: DataFrame, own: DataFrame, most: int, seed: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, text and quality of at most ``most`` labelled rows. own: _label_id and quality, one row for each id.
+
+    The labels and then the rows that have them are cut, each by hash: a doc_id on very many rows brings no more.
+    """
+    own = own.orderBy(F.xxhash64("_label_id", F.lit(seed)), "_label_id").limit(most)
+    rows = docs.select(docs[id_col].cast("long").alias("doc_id"), text_of(docs, text_col).alias("text")).join(F.broadcast(own), F.col("doc_id") == F.col("_label_id"))  # most rows at most
+    h = F.xxhash64("doc_id", F.lit(seed))
+    return rows.select("doc_id", "text", "quality", h.alias("_h"), F.xxhash64("text").alias("_t")).orderBy("_h", "doc_id", "_t").limit(most)
+
+
 def labelled_stats(docs: DataFrame, labels: DataFrame, *, max_labelled: int = 20_000, seed: int = 7, id_col: str = "doc_id", text_col: str = "text"):
     """Statistics and labels of a bounded sample of labelled rows, as pandas, in a fixed order."""
-    own = labels.where("quality is not null and doc_id is not null").select(F.col("doc_id").cast("long").alias("_label_id"), F.col("quality").cast("int").alias("quality"))
-    own = own.withColumn("_h", F.xxhash64("_label_id", F.lit(seed))).orderBy("_h", "_label_id", "quality").limit(max_labelled)
-    # at most max_labelled rows
-    chosen = docs.join(F.broadcast(own.select("_label_id").distinct()), docs[id_col].cast("long") == F.col("_label_id"), "left_semi")
-    stats = with_stats(chosen, id_col=id_col, text_col=text_col).join(F.broadcast(own), F.col("doc_id") == F.col("_label_id"))
+    own = labels.where("quality is not null and doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("_label_id")).agg(F.min(F.col("quality").cast("int")).alias("quality"))
+    chosen = labelled_sample(docs, own, max_labelled, seed, id_col, text_col)
+    stats = with_stats(chosen, keep=("quality", "_h"))
     return stats.toPandas().sort_values(["_h", "doc_id", *COUNTS]).reset_index(drop=True)
 
 
