@@ -11,9 +11,9 @@ Whether a capitalised word starts a sentence depends on the text and line breaks
 therefore looked up with such words under either code; under the other one the word itself must be the same.
 
 The benchmark goes to the tasks in blocks of at most ``block_windows`` windows, each searched in all documents; a usual
-benchmark is one block. Equal items share their windows.
+benchmark is one block. Items that are equal in id and text are one; a block takes at most that many distinct items.
 
-Defined cases: null and empty texts match nothing; an item with fewer tokens than a window is one window of its own
+Defined cases: null and empty texts match nothing; an item with a null id is reported with a null id; an item with fewer tokens than a window is one window of its own
 length; items of placeholders alone match where all of them stand in a row with equal values; items without tokens match
 nothing; repeated rows and null ids are each reported; ties do not arise, as every
 pair that leaks is returned; empty tables give no rows.
@@ -130,7 +130,7 @@ def _covered(at: np.ndarray, size: int) -> np.ndarray:
 class Windows:
     """The windows of a block of items, by size: sorted hashes with item and position."""
 
-    def __init__(self, items: list[tuple[int, str]], window: int):
+    def __init__(self, items: list[tuple[int | None, str]], window: int):
         self.ids = [i for i, _ in items]
         self.codes, self.values = zip(*[template(t) for _, t in items], strict=True) if items else ((), ())
         self.other = [template(t, flip=True)[0] for _, t in items]
@@ -147,7 +147,7 @@ class Windows:
             order = np.argsort(h, kind="stable")
             self.by_size[size] = (h[order], k[order], q[order])
 
-    def leaks(self, text: str, least: int, literal: int) -> list[tuple[int, int, int, int]]:
+    def leaks(self, text: str, least: int, literal: int) -> list[tuple[int | None, int, int, int]]:
         """item, tokens covered, tokens of the item and slots, of each item that leaks into a text."""
         codes, values = template(text)
         starts: dict[tuple[int, int], tuple[int, np.ndarray]] = {}
@@ -206,12 +206,12 @@ class Windows:
 def _blocks(benchmark: DataFrame, window: int, block_windows: int, item_col: str, item_text_col: str) -> Iterator:
     """Broadcasts of the benchmark's windows, about block_windows in each."""
     spark = benchmark.sparkSession
-    items = benchmark.select(benchmark[item_col].cast("long").alias("item_id"), text_of(benchmark, item_text_col).alias("text")).where("text <> ''")
+    items = benchmark.select(benchmark[item_col].cast("long").alias("item_id"), text_of(benchmark, item_text_col).alias("text")).where("text <> ''").distinct()
     words = items.agg(F.sum(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")))).first()[0] or 0
     blocks = max(1, -(-words // block_windows))
     for b in range(blocks):
         own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).collect()
-        yield spark.sparkContext.broadcast(Windows(sorted((r["item_id"] if r["item_id"] is not None else -1, r["text"]) for r in own), window))
+        yield spark.sparkContext.broadcast(Windows(sorted(((r["item_id"], r["text"]) for r in own), key=lambda x: (x[0] is None, x[0] or 0, x[1])), window))
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, *, window: int = 8, least: int = 13, literal: int = 8, block_windows: int = 1_000_000, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
