@@ -197,7 +197,17 @@ def write_shards(docs: DataFrame, path: str, *, id_col="doc_id", text_col="text"
 
 
 def _keyed(df: DataFrame, buckets: int) -> DataFrame:
-    return df.withColumn("key", F.xxhash64(F.col("doc_id").isNull(), "doc_id", "rep")).withColumn("bucket", F.pmod("key", F.lit(buckets)))
+    key = lambda seed: F.xxhash64(F.lit(seed), F.col("doc_id").isNull(), "doc_id", "rep")
+    return df.withColumn("key", key(0)).withColumn("key2", key(1)).withColumn("bucket", F.pmod("key", F.lit(buckets)))
+
+
+def _hashes(pdf: pd.DataFrame) -> np.ndarray:
+    """Two independent 64-bit hashes of each key."""
+    return np.stack([pdf[c].to_numpy(np.int64).view(np.uint64) for c in ("key", "key2")])
+
+
+def _prints(keys: np.ndarray) -> np.ndarray:
+    return (_mix(keys[-1], 99) >> np.uint64(32)).astype("<u4")
 
 
 def entries(spark: SparkSession, path: str) -> DataFrame:
@@ -228,11 +238,16 @@ def _mix(x: np.ndarray, seed: int) -> np.ndarray:
 
 
 def build_mph(keys: np.ndarray) -> tuple[list[int], bytes, np.ndarray]:
-    """Level sizes, packed bits of all levels, and each key's slot in 0..len(keys)-1. Keys are distinct 64-bit hashes."""
-    sizes, bits, slot, rest, used = [], [], np.full(len(keys), -1, np.int64), np.arange(len(keys)), 0
+    """Level sizes, packed bits of all levels, and each key's slot in 0..n-1.
+
+    Keys are 64-bit hashes, or several of each key (a row each), which levels take in turn: keys that share one part later.
+    """
+    keys = np.atleast_2d(keys)
+    n = keys.shape[1]
+    sizes, bits, slot, rest, used = [], [], np.full(n, -1, np.int64), np.arange(n), 0
     while len(rest):
         size = max(8, len(rest) + len(rest) // 4)
-        at = (_mix(keys[rest], len(sizes)) % np.uint64(size)).astype(np.int64)
+        at = (_mix(keys[len(sizes) % len(keys), rest], len(sizes)) % np.uint64(size)).astype(np.int64)
         own = np.bincount(at, minlength=size) == 1
         rank = np.cumsum(own) - 1 + used
         hit = own[at]
@@ -246,10 +261,12 @@ def build_mph(keys: np.ndarray) -> tuple[list[int], bytes, np.ndarray]:
 
 def probe_mph(sizes: list[int], bits: bytes, keys: np.ndarray) -> np.ndarray:
     """The slot of each key, -1 where no level has its bit (surely absent)."""
+    keys = np.atleast_2d(keys)
+    n = keys.shape[1]
     flat = np.unpackbits(np.frombuffer(bits, np.uint8), count=int(sum(sizes))).astype(bool)
-    rank, slot, rest, base = np.cumsum(flat) - 1, np.full(len(keys), -1, np.int64), np.arange(len(keys)), 0
+    rank, slot, rest, base = np.cumsum(flat) - 1, np.full(n, -1, np.int64), np.arange(n), 0
     for level, size in enumerate(sizes):
-        at = base + (_mix(keys[rest], level) % np.uint64(size)).astype(np.int64)
+        at = base + (_mix(keys[level % len(keys), rest], level) % np.uint64(size)).astype(np.int64)
         hit = flat[at]
         slot[rest[hit]] = rank[at[hit]]
         rest, base = rest[~hit], base + size
@@ -265,13 +282,13 @@ def write_index(spark: SparkSession, path: str, *, bucket_keys: int = 2000) -> i
     buckets = max(1, -(-n // bucket_keys))
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
-        keys = pdf["key"].to_numpy(np.int64).view(np.uint64)
+        keys = _hashes(pdf)
         sizes, bits, slot = build_mph(keys)
         order = np.argsort(slot)
-        prints = (_mix(keys, 99) >> np.uint64(32)).astype("<u4")[order]
+        prints = _prints(keys)[order]
         return pd.DataFrame({"bucket": [pdf["bucket"].iloc[0]], "sizes": [sizes], "bits": [bits], "prints": [prints.tobytes()], **{c: [pdf[c].to_numpy(np.int64)[order].tolist()] for c in _PLACE}})
 
-    rows = _keyed(entries(spark, path), buckets).select("bucket", "key", *_PLACE)
+    rows = _keyed(entries(spark, path), buckets).select("bucket", "key", "key2", *_PLACE)
     rows.groupBy("bucket").applyInPandas(build, "bucket long, sizes array<long>, bits binary, prints binary, " + ", ".join(f"{c} array<long>" for c in _PLACE)).write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/index")
     return buckets
 
@@ -281,12 +298,12 @@ def lookup(keys: DataFrame, path: str, buckets: int) -> DataFrame:
 
     def probe(keys: pd.DataFrame, index: pd.DataFrame) -> pd.DataFrame:
         out = keys[["doc_id", "rep"]].copy()
-        hashed = keys["key"].to_numpy(np.int64).view(np.uint64)
+        hashed = _hashes(keys)
         if len(index):
             row = index.iloc[0]
             slot = probe_mph(list(row["sizes"]), row["bits"], hashed)
             prints = np.frombuffer(row["prints"], "<u4")
-            good = (slot >= 0) & (prints[slot] == (_mix(hashed, 99) >> np.uint64(32)).astype("<u4"))
+            good = (slot >= 0) & (prints[slot] == _prints(hashed))
         else:
             slot, good = np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
         for c in _PLACE:
