@@ -5,12 +5,13 @@ weight of the first depends on how often the predecessor was seen (a bucket for
 learned by expectation-maximisation on counts of a held-out tenth of the training documents, against estimates from the
 other training documents, and then applied to estimates from all of them.
 
-Counts travel packed. A task turns its documents into blocks of about a million tokens, and sends for each block and slice
-(a hash range of words; a pair belongs to its first word's slice) the block's distinct words and pairs with their numbers.
-A slice adds up the numbers over all blocks and answers each block in the block's own order, so a frequent word costs one
-entry a block, not one row a token. Blocks are rebuilt for scoring; a block is named by its contents, and one without its
-answers is an error. Held-out pairs go on to the slices of their second words to meet its count, and leave as a histogram
-of fixed size, on which the driver runs the maximisation.
+Counts travel packed. A task turns its documents into blocks of about a million tokens, which are stored once, and sends
+for each block and slice (a hash range of words; a pair belongs to its first word's slice) the block's distinct words and
+pairs with their numbers. A slice adds up the numbers over all blocks and answers each block in the block's own order, so a
+frequent word costs one entry a block, not one row a token. There is a slice for every few blocks, so that what one task
+adds up stays the same size; packets are then blocks times slices, and get small (about a kilobyte) beyond a few TB.
+Held-out pairs go on to the slices of their second words to meet its count, and leave as a histogram of fixed size, on
+which the driver runs the maximisation.
 
 Defined cases: null and empty texts consist of the end token; null ids count as training documents; repeated rows count
 each; without training documents the base score is that of an unseen word; an empty table gives no rows.
@@ -33,6 +34,7 @@ END, BEGIN = np.uint64(0x9AE16A3B2F90404F), np.uint64(0xC949D7C7509E6557)
 ALPHA = 0.1
 BUCKETS, BINS, BIN_WIDTH = 48, 256, 0.25
 HELD_OUT, TUNING, TRAINING = 0, 1, 2
+BLOCKS_A_SLICE = 8
 
 
 def fold(doc_id: int | None, folds: int = 10) -> int:
@@ -69,17 +71,19 @@ def _mix(h: np.ndarray, w: np.ndarray) -> np.ndarray:
 
 
 class Block:
-    """Documents' tokens as places in the sorted distinct words, and their pairs as places in the sorted distinct pairs."""
+    """Documents' tokens as places in the distinct words, and their pairs as places in the sorted distinct pairs.
 
-    def __init__(self, ids: list, folds: np.ndarray, sizes: np.ndarray, tokens: np.ndarray, slices: int):
-        self.ids, self.folds, self.sizes = ids, folds, sizes
-        words, at = np.unique(np.append(tokens, BEGIN), return_inverse=True)
+    words: the sorted distinct words and BEGIN; tokens: places in them. They are put in order of their slices here.
+    """
+
+    def __init__(self, name: int, ids: list, folds: np.ndarray, sizes: np.ndarray, words: np.ndarray, tokens: np.ndarray, slices: int):
+        self.name, self.ids, self.folds, self.sizes = name, ids, folds, sizes
         part = (words % np.uint64(slices)).astype(np.int64)
         order = np.lexsort((words, part))
         rank = np.empty(len(words), np.int64)
         rank[order] = np.arange(len(words))
-        self.words, self.part, at = words[order], part[order], rank[at]
-        self.token, begin = at[:-1], at[-1]
+        self.words, self.part = words[order], part[order]
+        self.token, begin = rank[tokens], rank[np.searchsorted(words, BEGIN)]
         before = np.empty(len(self.token), np.int64)
         before[1:] = self.token[:-1]
         before[np.cumsum(sizes) - sizes] = begin
@@ -91,9 +95,6 @@ class Block:
         train, tune = fold != HELD_OUT, fold == TUNING
         self.word_train, self.word_tune = count(self.token, len(words), train), count(self.token, len(words), tune)
         self.pair_train, self.pair_tune = count(self.pair, len(pairs), train), count(self.pair, len(pairs), tune)
-        own = zlib.crc32(np.ascontiguousarray(tokens).tobytes())
-        self.name = own << 32 | zlib.crc32(repr((ids, len(tokens))).encode())
-        self.name -= 2**63
 
     def packets(self, slices: int) -> Iterator[tuple]:
         """block, slice, words, their counts for training and tuning, pairs per word, pairs, their counts, second words of tuning pairs."""
@@ -105,9 +106,20 @@ class Block:
             yield self.name, s, self.words[a:b].tobytes(), _small(self.word_train[a:b]), _small(self.word_tune[a:b]), _small(np.bincount(self.first[c:d] - a, minlength=b - a)), _six(keys[c:d]), _small(self.pair_train[c:d]), _small(tune), self.words[self.second[c:d][tune > 0]].tobytes()
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], slices: int, folds: int, block_tokens: int) -> Iterator[Block]:
+_BLOCK = "block long, ids binary, folds binary, sizes binary, tokens binary, words binary"
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], folds: int, block_tokens: int) -> Iterator[pa.RecordBatch]:
+    """Documents in blocks of about block_tokens tokens, as rows of _BLOCK."""
     from xxhash import xxh64_intdigest
 
+    def row() -> pa.RecordBatch:
+        words, at = np.unique(np.append(np.concatenate(tokens), BEGIN), return_inverse=True)
+        keys = b"".join(b"\0" * 9 if i is None else b"\1" + int(i).to_bytes(8, "little", signed=True) for i in ids)
+        parts = [keys, np.array(kinds, np.uint8).tobytes(), np.array(sizes, "<u4").tobytes(), at[:-1].astype("<u4").tobytes(), words.tobytes()]
+        name = xxh64_intdigest(b"".join(parts)) - 2**63
+        return pa.RecordBatch.from_arrays([pa.array([name], pa.int64()), *[pa.array([x], pa.binary()) for x in parts]], [x.split()[0] for x in _BLOCK.split(", ")])
+
     ids, kinds, sizes, tokens, held = [], [], [], [], 0
     for batch in steps(batches):
         for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist(), strict=True):
@@ -121,10 +133,15 @@ def _blocks(batches: Iterator[pa.RecordBatch], slices: int, folds: int, block_to
             tokens.append(own)
             held += len(own)
             if held >= block_tokens:
-                yield Block(ids, np.array(kinds), np.array(sizes), np.concatenate(tokens), slices)
+                yield row()
                 ids, kinds, sizes, tokens, held = [], [], [], [], 0
     if ids:
-        yield Block(ids, np.array(kinds), np.array(sizes), np.concatenate(tokens), slices)
+        yield row()
+
+
+def _block(name: int, ids: bytes, folds: bytes, sizes: bytes, tokens: bytes, words: bytes, slices: int) -> Block:
+    keys = [int.from_bytes(ids[k + 1 : k + 9], "little", signed=True) if ids[k] else None for k in range(0, len(ids), 9)]
+    return Block(name, keys, np.frombuffer(folds, np.uint8).astype(np.int64), np.frombuffer(sizes, "<u4").astype(np.int64), np.frombuffer(words, "<u8"), np.frombuffer(tokens, "<u4"), slices)
 
 
 _PACKET = "block long, slice int, words binary, word_train binary, word_tune binary, per_word binary, pairs binary, pair_train binary, pair_tune binary, seconds binary"
@@ -187,16 +204,15 @@ def _maximise(counts: np.ndarray, hist: np.ndarray, steps: int = 60) -> np.ndarr
 def lm_scores(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", folds: int = 10, block_tokens: int = 1_200_000, slices: int | None = None) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score (log10) of each row."""
     spark = docs.sparkSession
-    slices = slices or max(8, shuffle_partitions(spark))
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), text_of(docs, text_col).alias("text"))
-    # blocks are cut twice: rows that come from a shuffle need an order of their own for both to agree
-    rows = rows.sortWithinPartitions("doc_id", F.xxhash64("text"))
+    blocks = stored(rows.mapInArrow(lambda batches: _blocks(batches, folds, block_tokens), _BLOCK), "lm-blocks")
+    slices = slices or max(8, shuffle_partitions(spark), blocks.count() // BLOCKS_A_SLICE)
 
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [x.split()[0] for x in _PACKET.split(", ")]
         kinds = [pa.int64(), pa.int32(), *[pa.binary()] * 8]
-        for block in _blocks(batches, slices, folds, block_tokens):
-            cols = list(zip(*block.packets(slices), strict=True))
+        for batch in steps(batches, 1):
+            cols = list(zip(*_block(*[c[0].as_py() for c in batch.columns], slices).packets(slices), strict=True))
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names)
 
     def add_up(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -207,7 +223,7 @@ def lm_scores(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
         out["bucket_counts"] = [x if isinstance(x, list) else None for x in out["bucket_counts"]]
         return out.reindex(columns=[x.split()[0] for x in _ANSWER.split(", ")]).astype({"n_tokens": "Int64", "n_types": "Int64"})
 
-    found = stored(rows.mapInArrow(send, _PACKET).groupBy("slice").applyInPandas(add_up, _ANSWER), "lm-counts")
+    found = stored(blocks.mapInArrow(send, _PACKET).groupBy("slice").applyInPandas(add_up, _ANSWER), "lm-counts")
     totals = found.where("kind = 'words'").agg(F.sum("n_tokens").alias("n"), F.sum("n_types").alias("v")).first()
     n, v = totals["n"] or 0, totals["v"] or 0
 
@@ -233,22 +249,12 @@ def lm_scores(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
     counted = found.where("kind = 'buckets'").select([F.sum(F.col("bucket_counts")[b]).alias(f"b{b}") for b in range(BUCKETS)]).first()
     weight = _maximise(np.array([x or 0 for x in counted], float), hist.reshape(BUCKETS, BINS))
 
-    def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in _blocks(batches, slices, folds, block_tokens):
-            ids = pa.array([b"".join(b"\0" * 9 if i is None else b"\1" + int(i).to_bytes(8, "little", signed=True) for i in b.ids)], pa.binary())
-            rest = [[b.folds.astype(np.uint8).tobytes()], [b.sizes.astype("<u4").tobytes()], [b.token.astype("<u4").tobytes()], [b.words.tobytes()]]
-            yield pa.RecordBatch.from_arrays([pa.array([b.name], pa.int64()), ids, *[pa.array(x, pa.binary()) for x in rest]], ["block", "ids", "folds", "sizes", "tokens", "words"])
-
     def score(blocks: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         out = []
         by_slice = {r.slice: r for r in answers.itertuples()}
         for r in blocks.itertuples():
-            words, token = np.frombuffer(r.words, "<u8"), np.frombuffer(r.tokens, "<u4")
-            ids = [int.from_bytes(r.ids[k + 1 : k + 9], "little", signed=True) if r.ids[k] else None for k in range(0, len(r.ids), 9)]
-            b = Block(ids, np.frombuffer(r.folds, np.uint8).astype(np.int64), np.frombuffer(r.sizes, "<u4").astype(np.int64), words[token], slices)
+            b = _block(r.block, r.ids, r.folds, r.sizes, r.tokens, r.words, slices)
             parts = np.unique(b.part).tolist()
-            if b.name != r.block or any(s not in by_slice for s in parts):
-                raise RuntimeError("the corpus changed between counting and scoring")
             train = np.concatenate([_large(by_slice[s].train) for s in parts])
             pairs = np.concatenate([_large(by_slice[s].pairs) for s in parts])
             low = (train[b.token] + ALPHA) / (n + ALPHA * (v + 1))
@@ -257,9 +263,8 @@ def lm_scores(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
             lam = weight[np.minimum(_bucket(follows), BUCKETS - 1)]
             p = lam * pairs[b.pair] / np.maximum(follows, 1) + (1 - lam) * low
             cut = np.cumsum(b.sizes) - b.sizes
-            out.append(pd.DataFrame({"doc_id": pd.array(ids, dtype="Int64"), "held_out": b.folds == HELD_OUT, "n_tokens": b.sizes, "n_known": np.add.reduceat((train[b.token] > 0).astype(np.int64), cut), "train_tokens": n, "base_score": np.add.reduceat(np.log10(low), cut), "score": np.add.reduceat(np.log10(p), cut)}))
+            out.append(pd.DataFrame({"doc_id": pd.array(b.ids, dtype="Int64"), "held_out": b.folds == HELD_OUT, "n_tokens": b.sizes, "n_known": np.add.reduceat((train[b.token] > 0).astype(np.int64), cut), "train_tokens": n, "base_score": np.add.reduceat(np.log10(low), cut), "score": np.add.reduceat(np.log10(p), cut)}))
         return pd.concat(out) if out else pd.DataFrame(columns=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-    left = rows.mapInArrow(stream, "block long, ids binary, folds binary, sizes binary, tokens binary, words binary")
     right = found.where("kind = 'answer'").select("block", "slice", "train", "pairs")
-    return left.groupBy("block").cogroup(right.groupBy("block")).applyInPandas(score, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    return blocks.groupBy("block").cogroup(right.groupBy("block")).applyInPandas(score, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
