@@ -52,6 +52,16 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Texts go to Python in batches of a few MB, however long they are, unless the session has its own limit.
+
+    The limit is the session's, as Spark reads it when the job runs; without one, 10,000 whole texts are a batch.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name, None) is None:
+        spark.conf.set(name, str(4 << 20))
+
+
 def steps(batches: Iterator, rows: int = 1000) -> Iterator:
     """Arrow batches in parts of so many rows, so that few texts are Python objects at a time."""
     for batch in batches:

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catloom.llm.common import steps, text_of
+from catloom.llm.common import small_batches, steps, text_of
 
 _TOKENS = re.compile(r"\n|[^\x20\x09-\x0D]+")
 _NUMBER = re.compile(r"[+-]?\d[\d.,:/]*")
@@ -206,6 +206,7 @@ class Windows:
 def _blocks(benchmark: DataFrame, window: int, block_windows: int, item_col: str, item_text_col: str) -> Iterator:
     """Broadcasts of the benchmark's windows, about block_windows in each."""
     spark = benchmark.sparkSession
+    small_batches(spark)
     items = benchmark.select(benchmark[item_col].cast("long").alias("item_id"), text_of(benchmark, item_text_col).alias("text")).where("text <> ''").distinct()
     words = items.agg(F.sum(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")))).first()[0] or 0
     blocks = max(1, -(-words // block_windows))

@@ -4,8 +4,8 @@ score(x) = sigmoid(w0 + sum w_i x_i + sum_{i<j} <v_i, v_j> x_i x_j); the pairwis
 of (sum v_i x_i)^2 - sum v_i^2 x_i^2 for each latent factor. Features come from the text alone: words by hash with their
 damped frequencies, and the quantile bins of structure statistics and of the text's size, one indicator each.
 
-Training reads at most ``max_labelled`` labelled rows (a bounded sample by hash of doc_id, and among the rows of a repeated
-doc_id by hash of the text) on the driver; every row is scored from its whole text, where it lies, with no shuffle. The model has a fixed size.
+Training reads at most ``max_labelled`` labelled rows (a bounded sample by hash of doc_id, one row for each) on the
+driver; every row is scored from its whole text, where it lies, with no shuffle. The model has a fixed size.
 
 Defined cases: null and empty texts have no words and are scored by their statistics; null ids and repeated rows keep
 their rows (a null id counts as not held out); without usable labels every score is 0.5.
@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from catloom.llm.common import steps, text_of
+from catloom.llm.common import small_batches, steps, text_of
 from catloom.llm.quality_rules import labelled_sample, text_stats
 
 WORD_BITS = 15
@@ -116,6 +116,7 @@ def train(rows: list[tuple[np.ndarray, np.ndarray, np.ndarray]], y: np.ndarray,
 
 def fit(docs: DataFrame, labels: DataFrame, *, max_labelled: int = 8_000, folds: int = 5, seed: int = 11, id_col: str = "doc_id", text_col: str = "text", **training) -> Model:
     """Learn from labelled rows that are not held out, at most max_labelled of them."""
+    small_batches(docs.sparkSession)
     own = labels.where("quality is not null and doc_id is not null").select(F.col("doc_id").cast("long").alias("_label_id"), F.col("quality").cast("int").alias("quality"))
     own = own.where(~held_out(F.col("_label_id"), folds)).groupBy("_label_id").agg(F.min("quality").alias("quality"))
     chosen = labelled_sample(docs, own, max_labelled, seed, id_col, text_col)

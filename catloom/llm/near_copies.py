@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from catloom.llm.common import steps, stored, text_of
+from catloom.llm.common import small_batches, steps, stored, text_of
 from catloom.llm.simhash import components, leaders, majority, near_links
 
 SIZE, ALIKE = 5, (4, 5)  # similarity as a fraction
@@ -140,6 +140,7 @@ def _alike_in_size(pairs: DataFrame, named: DataFrame) -> DataFrame:
 
 def copy_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE) -> DataFrame:
     """doc_id, mark (a hash of the text) and root (the same within a group) of each row."""
+    small_batches(docs.sparkSession)
     text = text_of(docs, text_col)
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("mark"))
     marks = stored(_sets(rows, size), "copies")

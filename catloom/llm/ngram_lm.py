@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catloom.llm.common import shuffle_partitions, steps, stored, text_of
+from catloom.llm.common import shuffle_partitions, small_batches, steps, stored, text_of
 
 END, BEGIN = np.uint64(0x9AE16A3B2F90404F), np.uint64(0xC949D7C7509E6557)
 ALPHA = 0.1
@@ -204,6 +204,7 @@ def _maximise(counts: np.ndarray, hist: np.ndarray, steps: int = 60) -> np.ndarr
 def lm_scores(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", folds: int = 10, block_tokens: int = 1_200_000, slices: int | None = None) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score (log10) of each row."""
     spark = docs.sparkSession
+    small_batches(spark)
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), text_of(docs, text_col).alias("text"))
     blocks = stored(rows.mapInArrow(lambda batches: _blocks(batches, folds, block_tokens), _BLOCK), "lm-blocks")
     slices = slices or max(8, shuffle_partitions(spark), blocks.count() // BLOCKS_A_SLICE)

@@ -6,8 +6,8 @@ pruned on the last third by dropping final tests while that does not lower its w
 the rows it covers go, and the next rule grows. A rule that is not precise gives its first test up, and the next best rule
 is tried. The list is a Spark conditional expression over the statistics, in order.
 
-Learning reads at most ``max_labelled`` labelled rows (a bounded sample by hash of doc_id, and among the rows of a repeated
-doc_id by hash of the text; the rest is not needed for a few dozen thresholds; of several labels of an id the least counts); statistics, base rules and verdicts are made for every row from its whole text.
+Learning reads at most ``max_labelled`` labelled rows (a bounded sample by hash of doc_id; the rest is not needed for a
+few dozen thresholds; of several rows of an id one counts, and of several labels the least); statistics, base rules and verdicts are made for every row from its whole text.
 
 Defined cases: null and empty texts have zero statistics and fail the base rule on words; null ids and repeated rows keep
 their rows; a table without usable labels gives an empty list, which keeps all that the base keeps.
@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from catloom.llm.common import WORD, steps, text_of
+from catloom.llm.common import WORD, small_batches, steps, text_of
 
 _WORDS = re.compile(WORD)
 _SYMBOLS = re.compile(r"[#*$%&|<>]")
@@ -93,6 +93,7 @@ def with_stats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
             cols = list(zip(*rows, strict=True)) or [[]] * (len(COUNTS) + len(RATIOS))
             yield pa.RecordBatch.from_arrays([batch["doc_id"], *[pa.array(c, pa.int64()) for c in cols[:5]], *[pa.array(c, pa.float64()) for c in cols[5:]], *[batch[c] for c in keep]], ["doc_id", *COUNTS, *RATIOS, *keep])
 
+    small_batches(docs.sparkSession)
     kept = docs.select(*keep).schema
     schema = ", ".join(["doc_id long", *[f"{c} long" for c in COUNTS], *[f"{c} double" for c in RATIOS], *[f"{f.name} {f.dataType.simpleString()}" for f in kept]])
     return docs.select(docs[id_col].cast("long").alias("doc_id"), text_of(docs, text_col).alias("text"), *keep).mapInArrow(stats, schema)
@@ -186,12 +187,13 @@ def learn_list(x: dict[str, np.ndarray], bad: np.ndarray, fold: np.ndarray, *, m
 def labelled_sample(docs: DataFrame, own: DataFrame, most: int, seed: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, text and quality of at most ``most`` labelled rows. own: _label_id and quality, one row for each id.
 
-    The labels and then the rows that have them are cut, each by hash: a doc_id on very many rows brings no more.
+    The labels are cut by hash of the id; of the rows of an id the one with the least hash of its text counts, so that an
+    id on very many rows brings no more.
     """
     own = own.orderBy(F.xxhash64("_label_id", F.lit(seed)), "_label_id").limit(most)
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), text_of(docs, text_col).alias("text")).join(F.broadcast(own), F.col("doc_id") == F.col("_label_id"))  # most rows at most
-    h = F.xxhash64("doc_id", F.lit(seed))
-    return rows.select("doc_id", "text", "quality", h.alias("_h"), F.xxhash64("text").alias("_t")).orderBy("_h", "doc_id", "_t").limit(most)
+    rows = rows.groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"), F.first("quality").alias("quality"))
+    return rows.withColumn("_h", F.xxhash64("doc_id", F.lit(seed)))
 
 
 def labelled_stats(docs: DataFrame, labels: DataFrame, *, max_labelled: int = 20_000, seed: int = 7, id_col: str = "doc_id", text_col: str = "text"):

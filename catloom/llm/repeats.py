@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catloom.llm.common import shuffle_partitions, stored, text_of
+from catloom.llm.common import shuffle_partitions, small_batches, stored, text_of
 
 GRAM = 64
 _CHUNK = 900_000
@@ -295,6 +295,7 @@ def repeat_marks(docs: DataFrame, *, length: int = 200, shard_pieces: int = 4096
                 first = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (fp[1:] != fp[:-1])])) if len(row) else np.zeros(0, np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(fp[first]), pa.array(rid[row[first]]), pa.array(np.diff(first, append=len(row)), pa.int32())], ["fp", "rid", "times"])
 
+    small_batches(docs.sparkSession)
     own = docs.select("rid", "text").mapInArrow(anchors, "fp long, rid long, times int")
     twice = own.groupBy("fp").agg(F.sum("times").alias("n")).where("n > 1").select("fp")
     chosen = own.select("fp", "rid").join(twice, "fp").groupBy("rid").agg(F.collect_set("fp").alias("fps"))  # of one text

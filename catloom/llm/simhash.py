@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catloom.llm.common import free_prefix, one_each, steps, stored, text_of
+from catloom.llm.common import free_prefix, one_each, small_batches, steps, stored, text_of
 
 RADIUS = 3
 TREE_NODES = 2048
@@ -71,6 +71,7 @@ def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
             fp = np.fromiter((fingerprint(t, size) for t in batch["text"].to_pylist()), np.uint64, len(batch))
             yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["mark"], pa.array(fp.view(np.int64))], ["doc_id", "mark", "fp"])
 
+    small_batches(docs.sparkSession)
     text = text_of(docs, text_col)
     return docs.select(docs[id_col].cast("long").alias("doc_id"), F.xxhash64(text).alias("mark"), text.alias("text")).mapInArrow(make, "doc_id long, mark long, fp long")
 

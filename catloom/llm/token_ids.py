@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from catloom.llm.common import fresh_path, shuffle_partitions, text_of
+from catloom.llm.common import fresh_path, shuffle_partitions, small_batches, text_of
 
 #: How the tokenizer must fold and split texts for the pieces below to be its own; texts go to any other one whole.
 _FOLDS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
@@ -183,6 +183,7 @@ def write_shards(docs: DataFrame, path: str, *, id_col="doc_id", text_col="text"
         if keys:
             yield row()
 
+    small_batches(docs.sparkSession)
     n = shards or shuffle_partitions(docs.sparkSession)
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), text_of(docs, text_col).alias("text")).withColumn("h", F.xxhash64("text"))
     (
