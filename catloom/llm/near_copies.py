@@ -8,11 +8,12 @@ the links come in steps, and each candidate is verified on the whole sets:
    copies are joined here.
 2. A prefix index for the rest, which loses no pair: each set is put into one order that holds for all texts, and two sets
    that are alike share a shingle among the first n - ceil(0.8 n) + 1 of each. Any order finds the same pairs; shingles
-   that are frequent in a sample of texts come last, so that buckets stay small. In each bucket all sets are held against
-   one of them, another in each bucket, where the two are not connected yet.
+   that are frequent in a sample of texts come last, so that buckets stay small. A set without a link from step 1 is held
+   against the one set that tops most of its buckets; the top differs from bucket to bucket.
 3. Pairs in a bucket that are still not connected.
 
 Equal sets are one from the start. A large group of near copies thus costs about its size and not its square.
+Verification counts common shingles by the low 32 bits of their hashes: two that differ are taken for one once in 2^32.
 
 Defined cases: null and empty texts are equal; texts of fewer words than a shingle are one shingle; each row counts by its
 own text, also where doc_ids repeat; an empty table gives no rows.
@@ -56,9 +57,9 @@ def alike(a: np.ndarray, b: np.ndarray) -> bool:
     return ALIKE[1] * both >= ALIKE[0] * (len(a) + len(b) - both)
 
 
-def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
+def _lists(arrays: list[np.ndarray], kind: type = np.int64) -> pa.ListArray:
     ends = np.cumsum([0, *map(len, arrays)]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int64), *arrays])))
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, kind), *arrays])))
 
 
 def _frequent(rows: DataFrame, size: int) -> np.ndarray:
@@ -110,13 +111,21 @@ def _verified(pairs: DataFrame, marks: DataFrame, rows: DataFrame, size: int) ->
     held = rows.sparkSession.sparkContext.broadcast(np.packbits(on))
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        may = np.unpackbits(held.value).view(bool)
+        from pyspark import TaskContext
+
+        may, task, seen = np.unpackbits(held.value).view(bool), TaskContext.get().partitionId(), set()
         for batch in steps(batches, 500):
             batch = batch.filter(pa.array(may[batch["mark"].to_numpy() % SLOTS]))
-            yield pa.RecordBatch.from_arrays([batch["mark"], _lists([shingles(t, size) for t in batch["text"].to_pylist()])], ["mark", "shingles"])
+            new = [m not in seen and not seen.add(m) for m in batch["mark"].to_pylist()]
+            batch = batch.filter(pa.array(new, pa.bool_()))
+            sets = [np.unique(shingles(t, size).astype(np.int32)) for t in batch["text"].to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch["mark"], pa.array(np.full(len(batch), task, np.int32)), _lists(sets, np.int32)], ["mark", "task", "shingles"])
 
-    sets = rows.select("mark", "text").mapInArrow(make, "mark long, shingles array<long>").join(asked, "mark", "inner")
-    sets = stored(sets.dropDuplicates(["fp"]).select("fp", "shingles"), "copy-sets")
+    sets = rows.select("mark", "text").mapInArrow(make, "mark long, task int, shingles array<int>").join(asked, "mark").select("fp", "task", "shingles")
+    sets = stored(sets, "copy-sets")
+    # equal texts in several tasks: one of them, by a narrow aggregate; within a task they are one already
+    one = sets.groupBy("fp").agg(F.min("task").alias("own"))
+    sets = sets.join(one, "fp").where("task = own").select("fp", "shingles")
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in steps(batches):
@@ -147,33 +156,30 @@ def copy_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     distinct = marks.where("n > 0").groupBy("fp").agg(F.min("mark").alias("mark"), F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("keys").alias("keys"))
     named = marks.where("n > 0").groupBy("fp").agg(F.min("mark").alias("mark"), F.first("n").alias("n"))
     pair = lambda a, b: (F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
-    # fingerprints within three bits: each set with the first of its bits, and the first of either bits of a link
+    # fingerprints within three bits: each set with the first of its bits, and the first of any bits with one of a link
     own = stored(marks.where("n > 0").select("fp", "bits").distinct(), "copy-bits")
     first = own.groupBy("bits").agg(F.min("fp").alias("first"))
-    near = near_links(first.select(F.col("bits").alias("fp")))
+    linked = near_links(first.select(F.col("bits").alias("fp"))).groupBy("b").agg(F.min("a").alias("a"))
     ends = [first.select(F.col("bits").alias(c), F.col("first").alias(f"first_{c}")) for c in ("a", "b")]
-    near = near.join(ends[0], "a").join(ends[1], "b").select(*pair("first_a", "first_b"))
-    near = near.unionByName(own.join(first, "bits").where("fp <> first").select(*pair("first", "fp"))).distinct()
-    links = stored(_verified(_alike_in_size(near, named), named, rows, size), "copy-links")
-    roots = components(links)
+    near = linked.join(ends[0], "a").join(ends[1], "b").select(F.col("first_b").alias("fp"), F.col("first_a").alias("other"))
+    near = stored(near.unionByName(own.join(first, "bits").where("fp <> first").select("fp", F.col("first").alias("other"))), "copy-near")
     # the prefix index; the top of a bucket is the set with the least fp after a turn by the key
     keyed = distinct.select("fp", F.explode("keys").alias("key"))
     turned = F.col("fp").bitwiseXOR(F.xxhash64("key"))
     tops = keyed.groupBy("key").agg(F.count("*").alias("c"), F.min(turned).alias("top")).where("c > 1").select("key", F.col("top").bitwiseXOR(F.xxhash64("key")).alias("top"))
     shared = stored(keyed.join(tops, "key"), "copy-keys")
-    stars = shared.where("fp <> top").select(*pair("fp", "top")).distinct()
-    of = lambda c, roots: roots.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}"))
-    apart = stars.join(of("a", roots), "a", "left").join(of("b", roots), "b", "left").where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
-    links = stored(links.unionByName(_verified(_alike_in_size(apart, named), named, rows, size)), "copy-links")
+    stars = shared.where("fp <> top").groupBy("fp", "top").agg(F.count("*").alias("c")).groupBy("fp").agg(F.max(F.struct("c", "top")).alias("best"))
+    stars = stars.select("fp", F.col("best.top").alias("other")).join(near.select("fp"), "fp", "left_anti")
+    tried = stored(_alike_in_size(near.unionByName(stars).select(*pair("fp", "other")).distinct(), named), "copy-tried")
+    links = stored(_verified(tried, named, rows, size), "copy-links")
     roots = components(links)
     # what is not connected yet, in buckets that still hold two components
-    own = shared.join(named.select("fp", "n"), "fp").join(roots, F.col("fp") == F.col("node"), "left")
-    own = stored(own.select("key", "fp", "n", F.coalesce("root", "fp").alias("root")), "copy-keys")
+    own = shared.select("key", "fp").join(named.select("fp", "n"), "fp").join(roots, F.col("fp") == F.col("node"), "left").select("key", "fp", "n", F.coalesce("root", "fp").alias("root"))
     open_keys = own.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key")
-    own = own.join(open_keys, "key", "left_semi")
+    own = stored(own.join(open_keys, "key", "left_semi"), "copy-open")
     x, y = own.alias("x"), own.alias("y")
     cross = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.fp") < F.col("y.fp")) & (F.col("x.root") != F.col("y.root")) & _may(F.col("x.n"), F.col("y.n")))
-    cross = cross.select(F.col("x.fp").alias("a"), F.col("y.fp").alias("b")).distinct().join(stars, ["a", "b"], "left_anti")
+    cross = cross.select(F.col("x.fp").alias("a"), F.col("y.fp").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
     roots = components(links.unionByName(_verified(cross, named, rows, size)))
     return marks.select("doc_id", "mark", "fp").join(roots, F.col("fp") == F.col("node"), "left").select("doc_id", "mark", F.coalesce("root", "fp").alias("root"))
 
