@@ -12,6 +12,9 @@ the links come in steps, and each candidate is verified on the whole sets:
    against the one set that tops most of its buckets; the top differs from bucket to bucket.
 3. Pairs in a bucket that are still not connected.
 
+Candidates of steps 2 and 3 are pairs whose fingerprints differ in at most 20 bits: of pairs at 0.8 all but one in several
+thousand do, of pairs that only share a passage few. Such pairs are told apart inside the join and never written.
+
 Equal sets are one from the start. A large group of near copies thus costs about its size and not its square.
 Verification counts common shingles by the low 32 bits of their hashes: two that differ are taken for one once in 2^32.
 
@@ -32,7 +35,8 @@ from catloom.llm.common import small_batches, steps, stored, text_of
 from catloom.llm.simhash import components, leaders, majority, near_links
 
 SIZE, ALIKE = 5, (4, 5)  # similarity as a fraction
-SAMPLE, FREQUENT = 10_000, 1_000_000  # texts that tell which shingles are frequent, and how many of these go to the tasks
+WIDE = 20  # bits: at a similarity of 0.8 a bit differs with chance 0.15, more than 20 of 64 do with chance 2 in 10,000
+SAMPLE, FREQUENT = 20_000, 1_000_000  # texts that tell which shingles are frequent, and how many of these go to the tasks
 SLOTS = 1 << 21  # of the bitmap that tells which texts are no candidates
 
 
@@ -137,14 +141,16 @@ def _verified(pairs: DataFrame, marks: DataFrame, rows: DataFrame, size: int) ->
     return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(keep, "a long, b long")
 
 
-def _may(n: Column, m: Column) -> Column:
-    """Whether sets of n and m shingles can be alike."""
-    return ALIKE[1] * F.least(n, m) >= ALIKE[0] * F.greatest(n, m)
+def _may(x: str, y: str) -> Column:
+    """Whether sets can be alike, by their sizes (n) and fingerprints (bits); x, y: how the columns of either begin."""
+    n, m = F.col(f"{x}n"), F.col(f"{y}n")
+    return (ALIKE[1] * F.least(n, m) >= ALIKE[0] * F.greatest(n, m)) & (F.bit_count(F.col(f"{x}bits").bitwiseXOR(F.col(f"{y}bits"))) <= WIDE)
 
 
-def _alike_in_size(pairs: DataFrame, named: DataFrame) -> DataFrame:
-    sizes = [named.select(F.col("fp").alias(c), F.col("n").alias(f"n_{c}")) for c in ("a", "b")]
-    return pairs.join(sizes[0], "a").join(sizes[1], "b").where(_may(F.col("n_a"), F.col("n_b"))).select("a", "b")
+def _possible(pairs: DataFrame, named: DataFrame) -> DataFrame:
+    """The pairs (a, b) that _may allows."""
+    ends = [named.select(F.col("fp").alias(c), F.col("n").alias(f"{c}_n"), F.col("bits").alias(f"{c}_bits")) for c in ("a", "b")]
+    return pairs.join(ends[0], "a").join(ends[1], "b").where(_may("a_", "b_")).select(*pairs.columns)
 
 
 def copy_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE) -> DataFrame:
@@ -152,12 +158,13 @@ def copy_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     small_batches(docs.sparkSession)
     text = text_of(docs, text_col)
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("mark"))
-    marks = stored(_sets(rows, size), "copies")
-    distinct = marks.where("n > 0").groupBy("fp").agg(F.min("mark").alias("mark"), F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("keys").alias("keys"))
-    named = marks.where("n > 0").groupBy("fp").agg(F.min("mark").alias("mark"), F.first("n").alias("n"))
+    marks = stored(_sets(rows, size).withColumn("row", F.monotonically_increasing_id()), "copies")
+    one = stored(marks.where("n > 0").groupBy("fp").agg(F.min("row").alias("row")), "copy-one")
+    distinct = marks.join(one, ["fp", "row"])
+    named = stored(distinct.select("fp", "mark", "n", "bits"), "copy-named")
     pair = lambda a, b: (F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
     # fingerprints within three bits: each set with the first of its bits, and the first of any bits with one of a link
-    own = stored(marks.where("n > 0").select("fp", "bits").distinct(), "copy-bits")
+    own = named.select("fp", "bits")
     first = own.groupBy("bits").agg(F.min("fp").alias("first"))
     linked = near_links(first.select(F.col("bits").alias("fp"))).groupBy("b").agg(F.min("a").alias("a"))
     ends = [first.select(F.col("bits").alias(c), F.col("first").alias(f"first_{c}")) for c in ("a", "b")]
@@ -168,17 +175,18 @@ def copy_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     turned = F.col("fp").bitwiseXOR(F.xxhash64("key"))
     tops = keyed.groupBy("key").agg(F.count("*").alias("c"), F.min(turned).alias("top")).where("c > 1").select("key", F.col("top").bitwiseXOR(F.xxhash64("key")).alias("top"))
     shared = stored(keyed.join(tops, "key"), "copy-keys")
-    stars = shared.where("fp <> top").groupBy("fp", "top").agg(F.count("*").alias("c")).groupBy("fp").agg(F.max(F.struct("c", "top")).alias("best"))
-    stars = stars.select("fp", F.col("best.top").alias("other")).join(near.select("fp"), "fp", "left_anti")
-    tried = stored(_alike_in_size(near.unionByName(stars).select(*pair("fp", "other")).distinct(), named), "copy-tried")
+    stars = shared.where("fp <> top").groupBy(F.col("fp").alias("a"), F.col("top").alias("b")).agg(F.count("*").alias("c"))
+    stars = _possible(stars.join(near.select(F.col("fp").alias("a")), "a", "left_anti"), named).groupBy("a").agg(F.max(F.struct("c", "b")).alias("best"))
+    stars = stars.select(F.col("a").alias("fp"), F.col("best.b").alias("other"))
+    tried = stored(near.unionByName(stars).select(*pair("fp", "other")).distinct(), "copy-tried")
     links = stored(_verified(tried, named, rows, size), "copy-links")
     roots = components(links)
     # what is not connected yet, in buckets that still hold two components
-    own = shared.select("key", "fp").join(named.select("fp", "n"), "fp").join(roots, F.col("fp") == F.col("node"), "left").select("key", "fp", "n", F.coalesce("root", "fp").alias("root"))
+    own = shared.select("key", "fp").join(named.select("fp", "n", "bits"), "fp").join(roots, F.col("fp") == F.col("node"), "left").select("key", "fp", "n", "bits", F.coalesce("root", "fp").alias("root"))
     open_keys = own.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key")
     own = stored(own.join(open_keys, "key", "left_semi"), "copy-open")
     x, y = own.alias("x"), own.alias("y")
-    cross = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.fp") < F.col("y.fp")) & (F.col("x.root") != F.col("y.root")) & _may(F.col("x.n"), F.col("y.n")))
+    cross = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.fp") < F.col("y.fp")) & (F.col("x.root") != F.col("y.root")) & _may("x.", "y."))
     cross = cross.select(F.col("x.fp").alias("a"), F.col("y.fp").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
     roots = components(links.unionByName(_verified(cross, named, rows, size)))
     return marks.select("doc_id", "mark", "fp").join(roots, F.col("fp") == F.col("node"), "left").select("doc_id", "mark", F.coalesce("root", "fp").alias("root"))
