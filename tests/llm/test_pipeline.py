@@ -3,7 +3,7 @@
 import corpus_pipeline
 from pyspark.sql import functions as F
 
-from catloom.llm import decontaminate, factorisation, mixing, simhash
+from catloom.llm import decontaminate, factorisation, mixing, near_copies
 from catloom.llm.common import table
 
 SF = "/root/testdata/sf0.01"
@@ -17,7 +17,7 @@ def test_stages(spark):
     scores = factorisation.classify_digest(docs, table(spark, SF, "labels"))
     assert {r[0] for r in a.select("doc_id").collect()} == {r[0] for r in scores.where("predicted = 1").select("doc_id").collect()}
     b = stages["near_duplicates"](spark, a, SF).cache()
-    assert {r[0] for r in b.select("doc_id").collect()} == {r[0] for r in simhash.near_digest(a).select("component_id").distinct().collect()}
+    assert {r[0] for r in b.select("doc_id").collect()} == {r[0] for r in near_copies.copy_groups(a).groupBy("root").agg(F.min("doc_id").alias("least")).select("least").collect()}
     c = stages["decontamination"](spark, b, SF).cache()
     bad = {r[0] for r in decontaminate.leaks(b, table(spark, SF, "benchmark")).select("doc_id").collect()}
     assert bad and {r[0] for r in c.select("doc_id").collect()} == {r[0] for r in b.select("doc_id").collect()} - bad
