@@ -79,7 +79,8 @@ def top_candidates(items: DataFrame, records: DataFrame, block: list[str], amoun
     r = records.select(*[F.col(c).alias(f"r_{c}") for c in records.columns])
     same = [i[f"i_{b}"] == r[f"r_{b}"] for b in block]
     blank_i, blank_r = F.coalesce(i[f"i_{amount}"], F.lit("")) == "", F.coalesce(r[f"r_{amount}"], F.lit("")) == ""
-    pairs = i.join(r, [*same, i[f"i_{amount}"] == r[f"r_{amount}"]]).unionByName(i.where(blank_i).join(r.where(~blank_r), same)).unionByName(i.where(~blank_i).join(r.where(blank_r), same))
+    equal = F.coalesce(i[f"i_{amount}"], F.lit("")) == F.coalesce(r[f"r_{amount}"], F.lit(""))  # both may lack it
+    pairs = i.join(r, [*same, equal]).unionByName(i.where(blank_i).join(r.where(~blank_r), same)).unionByName(i.where(~blank_i).join(r.where(blank_r), same))
     rows = pairs.withColumn("points", points).where("points > 0")
     w = Window.partitionBy(f"i_{item_id}").orderBy(F.desc("points"), f"r_{record_id}")
     return rows.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select(F.col(f"i_{item_id}").alias("item_id"), F.col(f"r_{record_id}").alias("record_id"), "points", "rank")

@@ -37,7 +37,8 @@ def classify_import(rows: DataFrame, existing: DataFrame, key: list[str], order:
     for k in key:
         blank = blank | (F.coalesce(F.trim(F.col(k).cast("string")), F.lit("")) == "")
     counts = existing.groupBy(*key).agg(F.count("*").alias("_there"))
-    numbered = rows.withColumn("_n", F.row_number().over(Window.partitionBy(*key).orderBy(order)))
+    deal = F.when(blank, F.xxhash64(order))  # rows without a key are no group
+    numbered = rows.withColumn("_n", F.row_number().over(Window.partitionBy(*key, deal).orderBy(order)))
     status = F.when(blank, "missing_key").when(F.col("_n") > 1, "duplicate_input").when(F.col("_there") > 1, "multiple_existing").when(F.col("_there") == 1, "exists").otherwise("to_create")
     return numbered.join(counts, key, "left").withColumn("status", status).drop("_n", "_there")
 
@@ -81,9 +82,13 @@ def reverse_map(internal: DataFrame, external: DataFrame) -> DataFrame:
 
 
 def set_match(left: DataFrame, right: DataFrame, left_id: str, right_id: str, value: str) -> DataFrame:
-    """Pairs of ids whose non-empty sets of values are equal."""
+    """Classes of ids whose non-empty sets of values are equal: side, id, n (values), class (the set), and how many ids of
+    either side are in it. A class that has ids of both sides is a match; pairs are not written out.
+    """
     sets = lambda df, i, n: df.where(F.col(value).isNotNull()).groupBy(F.col(i).alias(n)).agg(F.array_sort(F.collect_set(value)).alias("values"))
-    return sets(left, left_id, "left_id").join(sets(right, right_id, "right_id"), "values").select("left_id", "right_id", F.size("values").alias("n"))
+    rows = sets(left, left_id, "id").withColumn("side", F.lit("left")).unionByName(sets(right, right_id, "id").withColumn("side", F.lit("right")))
+    sizes = rows.groupBy("values").agg(F.count_if(F.col("side") == "left").alias("lefts"), F.count_if(F.col("side") == "right").alias("rights"))
+    return rows.join(sizes, "values").select("side", "id", F.size("values").alias("n"), F.array_join(F.transform("values", lambda v: v.cast("string")), "|").alias("class"), "lefts", "rights")
 
 
 def lookup_by_two_keys(rows: DataFrame, by_id: DataFrame, by_url: DataFrame, id_key: str, url_key: str) -> DataFrame:
@@ -109,5 +114,5 @@ def image_link_match(records: DataFrame, catalogue: DataFrame, image: str, overr
     item = F.coalesce("_o", F.when(F.col("_n") == 1, F.col("_i")))
     rows = rows.withColumn("item_id", item).withColumn("ambiguous", F.coalesce((F.col("_n") > 1) & F.col("_o").isNull(), F.lit(False))).drop("_n", "_i", "_o")
     # one record each: an item that two records claim is no match for either
-    claims = F.count("*").over(Window.partitionBy("item_id"))
-    return rows.withColumn("contested", F.col("item_id").isNotNull() & (claims > 1))
+    claims = rows.where("item_id is not null").groupBy("item_id").agg((F.count("*") > 1).alias("contested"))
+    return rows.join(claims, "item_id", "left").select(*rows.columns, F.coalesce("contested", F.lit(False)).alias("contested"))

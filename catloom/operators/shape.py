@@ -86,10 +86,17 @@ def merge_groups(df: DataFrame, key: list[str], order: str, first: list[str], un
     return rows.groupBy(*key).agg(*pick, F.transform(F.array_sort(F.collect_set(F.struct("_seen", union))), lambda x: x[union]).alias(f"{union}s"))
 
 
-def merge_last_wins(old: DataFrame, new: DataFrame, key: list[str], *, excluded: DataFrame | None = None, drop: Column | None = None) -> DataFrame:
-    """old overlaid by new rows of the same key, without excluded keys and dropped states."""
+def last_of(rows: DataFrame, key: list[str], order: list[str] = ()) -> DataFrame:
+    """The last row of each key by order; rows that tie in it go by a hash of their columns, so that reruns agree."""
+    columns = [F.col(f.name).cast("string") if "map<" in f.dataType.simpleString() else F.col(f.name) for f in rows.schema]  # maps have no hash
+    w = Window.partitionBy(*key).orderBy(*[F.desc(c) for c in order], F.desc(F.xxhash64(*columns)))
+    return rows.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
+
+
+def merge_last_wins(old: DataFrame, new: DataFrame, key: list[str], *, order: list[str] = (), excluded: DataFrame | None = None, drop: Column | None = None) -> DataFrame:
+    """old overlaid by new rows of the same key, without excluded keys and dropped states. order: which of several new rows is the last."""
     rows = old.withColumn("_gen", F.lit(0)).unionByName(new.withColumn("_gen", F.lit(1)), allowMissingColumns=True)
-    rows = rows.withColumn("_n", F.row_number().over(Window.partitionBy(*key).orderBy(F.desc("_gen")))).where("_n = 1").drop("_n", "_gen")
+    rows = last_of(rows, key, ["_gen", *order]).drop("_gen")
     if excluded is not None:
         rows = rows.join(excluded.select(*key).distinct(), key, "left_anti")
     return rows if drop is None else rows.where(~F.coalesce(drop, F.lit(False)))
@@ -99,9 +106,9 @@ def union_prefer_existing(a: DataFrame, b: DataFrame, key: list[str]) -> DataFra
     return a.unionByName(b.join(a.select(*key).distinct(), key, "left_anti"))
 
 
-def copy_by_key(target: DataFrame, source: DataFrame, key: list[str], cols: list[str]) -> DataFrame:
-    """target with cols taken from source where it has the key (one row each)."""
-    own = source.select(*key, F.lit(True).alias("_has"), *[F.col(c).alias(f"_new_{c}") for c in cols])
+def copy_by_key(target: DataFrame, source: DataFrame, key: list[str], cols: list[str], *, order: list[str] = ()) -> DataFrame:
+    """target with cols taken from source where it has the key, from the last row of the key by order."""
+    own = last_of(source, key, order).select(*key, F.lit(True).alias("_has"), *[F.col(c).alias(f"_new_{c}") for c in cols])
     rows = target.join(own, key, "left")
     put = {c: F.when(F.col("_has"), F.col(f"_new_{c}")).otherwise(F.col(c) if c in target.columns else F.lit(None)) for c in cols}
     return rows.withColumns(put).drop("_has", *[f"_new_{c}" for c in cols])

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from catloom.functions.years import safe_year_extension
+from catloom.operators.shape import last_of
 
 
 def build_plan(found: DataFrame, catalogue: DataFrame, item: str, not_found: str) -> tuple[DataFrame, DataFrame]:
@@ -67,9 +68,9 @@ def source_replacements(found: DataFrame, link_map: DataFrame, official: Column,
     return own.join(hits, "current", "left").withColumn("hits", F.coalesce("hits", F.lit(0))).withColumn("usable", F.col("hits") == 1)
 
 
-def review_merge(current: DataFrame, previous: DataFrame, key: list[str], status: str, pending: str = "pending") -> DataFrame:
-    """current with the decisions that previous has on the same keys; others are pending."""
-    old = previous.where(F.col(status) != pending).select(*key, F.col(status).alias("_old")).dropDuplicates(key)
+def review_merge(current: DataFrame, previous: DataFrame, key: list[str], status: str, pending: str = "pending", *, order: list[str] = ()) -> DataFrame:
+    """current with the decisions that previous has on the same keys, the last of a key by order; others are pending."""
+    old = last_of(previous.where(F.col(status) != pending), key, order).select(*key, F.col(status).alias("_old"))
     return current.join(old, key, "left").withColumn(status, F.coalesce("_old", F.lit(pending))).drop("_old")
 
 
@@ -82,14 +83,18 @@ def plan_summary(plan: DataFrame, by: str, status: str) -> DataFrame:
     return plan.groupBy(by, status).agg(F.count("*").alias("rows"))
 
 
-def assign_batches(rows: DataFrame, n: int, order: list[str], by: list[str] = ()) -> DataFrame:
-    """batch 0, 1, ... of n rows each in order, within each group of by."""
+def assign_batches(rows: DataFrame, n: int, order: list[str], by: list[str]) -> DataFrame:
+    """batch 0, 1, ... of n rows each in order, within each group of by (one task sorts a group)."""
     place = F.row_number().over(Window.partitionBy(*by).orderBy(*order)) - 1
     return rows.withColumn("batch", F.floor(place / n))
 
 
-def upsert(target: DataFrame, patches: DataFrame, key: list[str], *, insert: bool = True) -> DataFrame:
-    """target with the non-null fields of patches written over it, and (insert) the rows whose key it lacks."""
+def upsert(target: DataFrame, patches: DataFrame, key: list[str], *, order: list[str] = (), insert: bool = True) -> DataFrame:
+    """target with the non-null fields of patches written over it, and (insert) the rows whose key it lacks.
+
+    Of several patches of a key the last by order counts.
+    """
+    patches = last_of(patches, key, order)
     cols = [c for c in patches.columns if c not in key]
     rows = target.join(patches.select(*key, *[F.col(c).alias(f"_p_{c}") for c in cols]), key, "left")
     out = rows.withColumns({c: F.coalesce(f"_p_{c}", c) for c in cols}).select(*target.columns)

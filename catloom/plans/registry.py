@@ -50,9 +50,12 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession, tag: str) -> str:
-    """A new folder that all executors share: below spark.checkpoint.dir, or a local one where that is unset (tests)."""
+    """A new folder that all executors share: below spark.checkpoint.dir, or a local one where that is unset in local mode (tests)."""
     import tempfile
     import uuid
 
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="catloom-")
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and not spark.conf.get("spark.master", "").startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    base = base or "file://" + tempfile.mkdtemp(prefix="catloom-")
     return f"{base.rstrip('/')}/{tag}-{uuid.uuid4().hex}"

@@ -82,11 +82,11 @@ def j_reverse_map(spark, sf_dir):
 
 
 @query("""
-with o as (select o_custkey, list_sort(list_distinct(list(o_orderpriority))) as v from orders where o_orderkey % 2 = 0 group by 1), p as (select o_custkey, list_sort(list_distinct(list(o_orderpriority))) as v from orders where o_custkey < 50 group by 1)
-select o.o_custkey as left_id, p.o_custkey as right_id, len(o.v) as n from o join p on o.v = p.v where o.o_custkey < 200""")
+with s as (select 'left' as side, o_custkey as id, list_sort(list_distinct(list(o_orderpriority))) as v from orders where o_orderstatus = 'O' group by 2 union all select 'right', o_custkey, list_sort(list_distinct(list(o_orderpriority))) from orders where o_orderstatus = 'F' group by 2)
+select side, id, len(v) as n, array_to_string(v, '|') as class, count(*) filter (where side = 'left') over (partition by v) as lefts, count(*) filter (where side = 'right') over (partition by v) as rights from s""")
 def j_set_match(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
-    return relate.set_match(o.where("o_orderkey % 2 = 0 and o_custkey < 200"), o.where("o_custkey < 50"), "o_custkey", "o_custkey", "o_orderpriority")
+    return relate.set_match(o.where("o_orderstatus = 'O'"), o.where("o_orderstatus = 'F'"), "o_custkey", "o_custkey", "o_orderpriority")
 
 
 @query("""
@@ -104,14 +104,14 @@ def j_relink(spark, sf_dir):
 
 
 @query("""
-with c as (select p_name as image, p_partkey as item_id from part where p_partkey < 60), o as (select image, count(*) as n, min(item_id) as i from c group by 1), r as (select p_partkey as record_id, p_name as image from part where p_partkey >= 60 and p_partkey < 200),
+with c as (select p_name as image, p_partkey as item_id from part), o as (select image, count(*) as n, min(item_id) as i from c group by 1), r as (select p_partkey as record_id, p_name as image from part),
 m as (select record_id, r.image, case when record_id % 50 = 0 then 1 else case when n = 1 then i end end as item_id, coalesce(n > 1 and record_id % 50 <> 0, false) as ambiguous from r left join o on r.image = o.image)
 select record_id, image, item_id, ambiguous, item_id is not null and count(*) over (partition by item_id) > 1 as contested from m""")
 def j_image_link_match(spark, sf_dir):
     p = table(spark, sf_dir, "part").select("p_partkey", F.col("p_name").alias("image"))
-    r = p.where("p_partkey >= 60 and p_partkey < 200").withColumnRenamed("p_partkey", "record_id")
+    r = p.withColumnRenamed("p_partkey", "record_id")
     fixed = r.where("record_id % 50 = 0").select("record_id", F.lit(1).cast("long").alias("item_id"))
-    return relate.image_link_match(r, p.where("p_partkey < 60").withColumnRenamed("p_partkey", "item_id"), "image", fixed)
+    return relate.image_link_match(r, p.withColumnRenamed("p_partkey", "item_id"), "image", fixed)
 
 
 @query("""
@@ -396,10 +396,10 @@ def u_build_plan(spark, sf_dir):
 
 
 @query("""
-with p as (select source as record_id, lang as field, (n_chars % 3)::varchar as proposed from documents where doc_id % 40 = 0 union all select '', 'lang', 'x')
+with p as (select source as record_id, lang as field, (n_chars % 3)::varchar as proposed from documents union all select '', 'lang', 'x')
 select record_id, field, 'c' as current, case when count(distinct proposed) = 1 then min(proposed) end as proposed, case when count(distinct proposed) > 1 then array_to_string(list_sort(list_distinct(list(proposed))), ' | ') end as conflict from p where record_id <> '' group by 1, 2""")
 def u_consolidate(spark, sf_dir):
-    p = table(spark, sf_dir, "documents").where("doc_id % 40 = 0").select(F.col("source").alias("record_id"), F.col("lang").alias("field"), F.lit("c").alias("current"), (F.col("n_chars") % 3).cast("string").alias("proposed"))
+    p = table(spark, sf_dir, "documents").select(F.col("source").alias("record_id"), F.col("lang").alias("field"), F.lit("c").alias("current"), (F.col("n_chars") % 3).cast("string").alias("proposed"))
     return updates.consolidate(p.unionByName(spark.sql("select '' as record_id, 'lang' as field, 'c' as current, 'x' as proposed")))
 
 
@@ -436,12 +436,14 @@ def u_apply_status(spark, sf_dir):
 
 
 @query("""
-with f as (select distinct source, lang as current, 'x' || lang as proposed from documents where lang <> 'en'), m as (select lang as current, count(*) as hits from documents where doc_id < 30 group by 1)
+with d as (select source, source || '/' || lang as v, lang from documents), f as (select distinct source, v as current, 'x' || v as proposed from d where lang <> 'en'), u as (select distinct v, lang, source from d), m as (select v as current, count(*) as hits from (select v from u union all select v from u where lang = 'de') group by 1)
 select source, f.current, proposed, coalesce(hits, 0) as hits, coalesce(hits, 0) = 1 as usable from f left join m on f.current = m.current""")
 def u_source_replacements(spark, sf_dir):
     d = table(spark, sf_dir, "documents")
-    f = d.select("source", F.col("lang").alias("value"), F.concat(F.lit("x"), "lang").alias("missing_value"))
-    return updates.source_replacements(f, d.where("doc_id < 30").select(F.col("lang").alias("url")), F.col("value") != "en", ["source"])
+    place = F.concat_ws("/", "source", "lang")
+    f = d.select("source", place.alias("value"), F.concat(F.lit("x"), place).alias("missing_value"))
+    pages = d.select("source", "lang", place.alias("url")).distinct()
+    return updates.source_replacements(f, pages.unionByName(pages.where("lang = 'de'")).select("url"), ~F.col("value").endswith("/en"), ["source"])
 
 
 @query("select d.doc_id, case when quality = 1 then 'approved' when quality = 0 then 'rejected' else 'pending' end as status from documents d left join labels l on d.doc_id = l.doc_id")

@@ -14,15 +14,15 @@ _SLUG = "regexp_replace(regexp_replace(" + _FOLD + ", '[^a-z0-9]+', '-', 'g'), '
 
 
 @query(f"""
-with d as (select doc_id, replace(replace(replace(replace(replace(replace(text, '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&') as t, substr(text, 1, 60) as head from documents)
-select doc_id, md5(trim(regexp_replace(t, '[\\s\\x{{A0}}]+', ' ', 'g'))) as clean_md5, {_SLUG.format('head')} as slug,
-  trim(regexp_replace(regexp_replace({_FOLD.format('head')}, '[^\\x00-\\x7F]', '', 'g'), '\\s+', ' ', 'g')) as folded,
-  trim(regexp_replace(lower(head), '\\s+', ' ', 'g')) as visible,
-  regexp_replace(regexp_replace(lower(trim(head)), '[^a-z0-9À-ÿ]+', '-', 'g'), '^-+|-+$', '', 'g') as research from d""")
+with d as (select doc_id, replace(replace(replace(replace(replace(replace(text, '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&') as t, text as head from documents)
+select doc_id, md5(trim(regexp_replace(t, '[\\s\\x{{A0}}]+', ' ', 'g'))) as clean_md5, md5({_SLUG.format('head')}) as slug,
+  md5(trim(regexp_replace(regexp_replace({_FOLD.format('head')}, '[^\\x00-\\x7F]', '', 'g'), '\\s+', ' ', 'g'))) as folded,
+  md5(trim(regexp_replace(lower(head), '\\s+', ' ', 'g'))) as visible,
+  md5(regexp_replace(regexp_replace(lower(trim(head)), '[^a-z0-9À-ÿ]+', '-', 'g'), '^-+|-+$', '', 'g')) as research from d""")
 def n_text_folds(spark, sf_dir):
     d = table(spark, sf_dir, "documents")
-    head = F.substring("text", 1, 60)
-    return d.select("doc_id", F.md5(text.clean_ws(F.col("text")).cast("binary")).alias("clean_md5"), text.slugify(head).alias("slug"), text.fold_text(head).alias("folded"), text.fold_keep_accents(head).alias("visible"), text.research_key(head).alias("research"))
+    folds = {"clean_md5": text.clean_ws, "slug": text.slugify, "folded": text.fold_text, "visible": text.fold_keep_accents, "research": text.research_key}
+    return d.select("doc_id", *[F.md5(fold(F.col("text")).cast("binary")).alias(name) for name, fold in folds.items()])
 
 
 @query("""

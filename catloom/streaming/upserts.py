@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catloom.operators.incremental import todo
-from catloom.operators.shape import merge_last_wins
+from catloom.operators.shape import last_of, merge_last_wins
 
 
 def new_rows(stream: DataFrame, key: list[str], time: str, delay: str) -> DataFrame:
@@ -14,23 +15,39 @@ def new_rows(stream: DataFrame, key: list[str], time: str, delay: str) -> DataFr
     return stream.withWatermark(time, delay).dropDuplicatesWithinWatermark(key)
 
 
-def stream_upsert(stream: DataFrame, target: str, key: list[str], checkpoint: str, *, replace: bool = True, time: str | None = None, delay: str = "1 hour"):
+def _base(spark, target: str, note: str) -> int:
+    """The version that a checkpoint's first batch writes: noted beside the checkpoint when it is first used."""
+    try:
+        return spark.read.parquet(note).first()["base"]
+    except AnalysisException:  # a new checkpoint
+        pass
+    try:
+        newest = spark.read.parquet(target).agg(F.max("version")).first()[0]
+    except AnalysisException:  # a new table
+        newest = None
+    base = 0 if newest is None else int(newest) + 1
+    spark.range(1).select(F.lit(base).cast("long").alias("base")).write.mode("overwrite").parquet(note)
+    return base
+
+
+def stream_upsert(stream: DataFrame, target: str, key: list[str], checkpoint: str, *, order: list[str] = (), replace: bool = True, time: str | None = None, delay: str = "1 hour"):
     """Start a query that merges each micro-batch into the Parquet table at target: a version folder for each batch.
 
-    replace: rows of a known key overwrite it, else known keys are skipped (the batch form of todo). A batch that is run
-    again after a failure writes the same version again, from the version before it.
+    replace: rows of a known key overwrite it, else known keys are skipped (the batch form of todo). order: which of several
+    rows of a key in a batch is the last. A batch that is run again after a failure writes the same version again, from the
+    version before it. A new checkpoint over a table that is there goes on from its newest version.
     """
+    base = _base(stream.sparkSession, target, f"{checkpoint.rstrip('/')}-base")
     rows = new_rows(stream, key, time, delay) if time else stream
 
     def merge(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        if number:
-            old = spark.read.parquet(f"{target}/version={number - 1}")
-            fresh = batch if replace else todo(batch, old, key)[0]
-            batch = merge_last_wins(old, fresh.dropDuplicates(key), key)
-        else:
-            batch = batch.dropDuplicates(key)
-        batch.write.mode("overwrite").parquet(f"{target}/version={number}")
+        version = base + number
+        batch = last_of(batch, key, order)
+        if version:
+            old = spark.read.parquet(f"{target}/version={version - 1}")
+            batch = merge_last_wins(old, batch if replace else todo(batch, old, key)[0], key)
+        batch.write.mode("overwrite").parquet(f"{target}/version={version}")
 
     return rows.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
 

@@ -244,3 +244,40 @@ def test_stream_upsert(spark, tmp_path):
         query = upserts.stream_upsert(stream, target, ["k"], str(tmp_path / "check"))
         query.awaitTermination(120)
     assert {r["k"]: r["v"] for r in upserts.latest(spark, target).collect()} == {"a": 1, "b": 2, "c": 2}
+
+
+def test_pairs_without_amounts_are_candidates(spark):
+    schema = "id long, place string, amount string"
+    items = spark.createDataFrame([(1, "a", None), (2, "a", ""), (3, "a", "5")], schema)
+    records = spark.createDataFrame([(10, "a", None), (11, "a", ""), (12, "a", "5"), (13, "a", "6")], schema)
+    got = match.top_candidates(items, records, ["place"], "amount", F.lit(1.0), 9, item_id="id", record_id="id")
+    assert {(r["item_id"], r["record_id"]) for r in got.collect()} == {(i, r) for i in (1, 2) for r in (10, 11, 12, 13)} | {(3, 10), (3, 11), (3, 12)}
+
+
+def test_last_wins_by_order_however_rows_lie(spark):
+    old = spark.createDataFrame([(1, "o", 0), (2, "o", 0)], "k long, v string, at long")
+    new = spark.createDataFrame([(1, f"n{i}", i % 4) for i in range(5)] + [(3, "x", 1), (3, "y", 1)], "k long, v string, at long")
+    seen = set()
+    for n in range(1, 5):
+        rows = {r["k"]: r["v"] for r in shape.merge_last_wins(old, new.repartition(n), ["k"], order=["at"]).collect()}
+        assert rows[1] == "n3" and rows[2] == "o"
+        seen.add(rows[3])
+        assert updates.upsert(old, new.repartition(n), ["k"], order=["at"]).count() == 3
+        assert shape.copy_by_key(old, new.repartition(n), ["k"], ["v"], order=["at"]).where("k = 1").first()["v"] == "n3"
+    assert len(seen) == 1
+
+
+def test_new_checkpoint_goes_on_from_the_newest_version(spark, tmp_path):
+    target = str(tmp_path / "t")
+    for run in range(3):
+        path = str(tmp_path / f"in{run}")
+        spark.createDataFrame([(run, f"v{run}"), (9, f"v{run}")], "k long, v string").write.parquet(path)
+        stream = spark.readStream.schema("k long, v string").parquet(path)
+        upserts.stream_upsert(stream, target, ["k"], str(tmp_path / f"check{run}")).awaitTermination()
+    assert {(r["k"], r["v"]) for r in upserts.latest(spark, target).collect()} == {(0, "v0"), (1, "v1"), (2, "v2"), (9, "v2")}
+
+
+def test_descriptions_end_at_the_stops_given(spark):
+    rows = spark.createDataFrame([("Eagle over a lake, Sold out since 1990",)], "t string")
+    got = rows.select(extract.design_description(F.col("t"), [r"\bsold out\b"]).alias("a"), extract.design_description(F.col("t")).alias("b")).first()
+    assert tuple(got) == ("Eagle over a lake", "Eagle over a lake, Sold out since 1990")
