@@ -10,7 +10,9 @@ the links come in steps, and each candidate is verified on the whole sets:
    that are alike share a shingle among the first n - ceil(0.8 n) + 1 of each. Any order finds the same pairs; shingles
    that are frequent in a sample of texts come last, so that buckets stay small. A set without a link from step 1 is held
    against the one set that tops most of its buckets; the top differs from bucket to bucket.
-3. Pairs in a bucket that are still not connected.
+3. Sets in a bucket that are still not connected: all pairs of a bucket of at most 8 sets. In a larger bucket each set is
+   held against the nearest one by fingerprint of another component, found inside a task that emits nothing else; a pair
+   that is never nearest in any of the buckets it shares is the one case that is missed.
 
 Candidates of steps 2 and 3 are pairs whose fingerprints differ in at most 20 bits: of pairs at 0.8 all but one in several
 thousand do, of pairs that only share a passage few. Such pairs are told apart inside the join and never written.
@@ -27,6 +29,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,6 +38,7 @@ from catloom.llm.common import small_batches, steps, stored, text_of
 from catloom.llm.simhash import components, leaders, majority, near_links
 
 SIZE, ALIKE = 5, (4, 5)  # similarity as a fraction
+FEW, SHARD = 8, 2048  # sets of a bucket whose pairs are all held together, and of a larger bucket's shard
 WIDE = 20  # bits: at a similarity of 0.8 a bit differs with chance 0.15, more than 20 of 64 do with chance 2 in 10,000
 SAMPLE, FREQUENT = 20_000, 1_000_000  # texts that tell which shingles are frequent, and how many of these go to the tasks
 SLOTS = 1 << 21  # of the bitmap that tells which texts are no candidates
@@ -153,7 +157,36 @@ def _possible(pairs: DataFrame, named: DataFrame) -> DataFrame:
     return pairs.join(ends[0], "a").join(ends[1], "b").where(_may("a_", "b_")).select(*pairs.columns)
 
 
-def copy_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE) -> DataFrame:
+def _nearest(members: DataFrame) -> DataFrame:
+    """a < b: each member of a bucket with the nearest one of another root that it may be alike to, shard by shard.
+
+    members: key, c (members of the bucket), fp, n, bits, root.
+    """
+    names = ("fp", "n", "bits", "root")
+    shards = members.withColumn("shard", F.pmod(F.xxhash64("fp"), F.ceil(F.col("c") / SHARD)).cast("int")).groupBy("key", "shard").agg(*[F.collect_list(c).alias(c) for c in names])  # about SHARD at most
+    x, y = shards.alias("x"), shards.alias("y")
+    pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.shard") <= F.col("y.shard")))
+    pairs = pairs.select(*[F.col(f"{t}.{c}").alias(f"{t}_{c}") for t in "xy" for c in names])
+
+    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            found = [np.zeros((0, 2), np.int64)]
+            for row in pdf.itertuples(index=False):
+                x, y = ([np.asarray(v) for v in row[i : i + 4]] for i in (0, 4))
+                apart = np.bitwise_count(x[2].view(np.uint64)[:, None] ^ y[2].view(np.uint64)[None, :])
+                least, most = np.minimum(x[1][:, None], y[1][None, :]), np.maximum(x[1][:, None], y[1][None, :])
+                apart[(x[3][:, None] == y[3][None, :]) | (ALIKE[1] * least < ALIKE[0] * most)] = 255
+                for d, one, two in ((apart, x[0], y[0]), (apart.T, y[0], x[0])):
+                    at = d.argmin(axis=1)
+                    near = np.flatnonzero(d[np.arange(len(at)), at] <= WIDE)
+                    found.append(np.stack([one[near], two[at[near]]], axis=1))
+            ab = np.unique(np.sort(np.concatenate(found), axis=1), axis=0)
+            yield pd.DataFrame({"a": ab[:, 0], "b": ab[:, 1]})
+
+    return pairs.mapInPandas(search, "a long, b long")
+
+
+def copy_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE, few: int = FEW) -> DataFrame:
     """doc_id, mark (a hash of the text) and root (the same within a group) of each row."""
     small_batches(docs.sparkSession)
     text = text_of(docs, text_col)
@@ -185,9 +218,11 @@ def copy_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     own = shared.select("key", "fp").join(named.select("fp", "n", "bits"), "fp").join(roots, F.col("fp") == F.col("node"), "left").select("key", "fp", "n", "bits", F.coalesce("root", "fp").alias("root"))
     open_keys = own.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key")
     own = stored(own.join(open_keys, "key", "left_semi"), "copy-open")
-    x, y = own.alias("x"), own.alias("y")
+    own = own.join(own.groupBy("key").agg(F.count("*").alias("c")), "key")
+    x, y = own.where(F.col("c") <= few).alias("x"), own.where(F.col("c") <= few).alias("y")
     cross = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.fp") < F.col("y.fp")) & (F.col("x.root") != F.col("y.root")) & _may("x.", "y."))
-    cross = cross.select(F.col("x.fp").alias("a"), F.col("y.fp").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
+    cross = cross.select(F.col("x.fp").alias("a"), F.col("y.fp").alias("b")).unionByName(_nearest(own.where(F.col("c") > few)))
+    cross = stored(cross.distinct(), "copy-cross").join(tried, ["a", "b"], "left_anti")
     roots = components(links.unionByName(_verified(cross, named, rows, size)))
     return marks.select("doc_id", "mark", "fp").join(roots, F.col("fp") == F.col("node"), "left").select("doc_id", "mark", F.coalesce("root", "fp").alias("root"))
 

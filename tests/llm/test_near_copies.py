@@ -4,8 +4,9 @@ import random
 
 import corpus_pipeline
 import pytest
+from pyspark.sql import functions as F
 
-from catloom.llm import simhash
+from catloom.llm import near_copies, simhash
 from catloom.llm.common import table
 
 SF = "/root/testdata/sf0.01"
@@ -69,3 +70,17 @@ def test_links_of_any_radius(spark, radius):
     assert all((a ^ b).bit_count() <= radius for a, b in got)
     near = {f for i, f in enumerate(fps) for g in fps if g != f and (f ^ g).bit_count() <= radius}
     assert near == {f for x in got for f in x}
+
+
+def test_large_buckets_are_searched_for_the_nearest(spark):
+    rng, rows = random.Random(5), []
+    common = [f"c{i}" for i in range(60)]  # a passage that all share
+    for _ in range(40):
+        own = [f"w{rng.randrange(10**6)}" for _ in range(90)]
+        for _ in range(3):
+            w = list(own)
+            w[rng.randrange(90)] = f"w{rng.randrange(10**6)}"
+            rows.append((len(rows) + 1, " ".join(common + w)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    groups = near_copies.copy_groups(docs, few=2).groupBy("root").agg(F.min("doc_id").alias("least"))
+    assert sorted(r["least"] for r in groups.collect()) == brute_kept(rows)
