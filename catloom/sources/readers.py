@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from catloom.sources import writers
+
 ITEM = "denomination:string,value:double,unit:string,issuePeriod:string,startYear:int,endYear:int,availability:string,detailUrl:string,obverseImage:string,reverseImage:string,variants:array<struct<tag:string,order:int>>"
 CATALOGUE = f"country string, catalogType string, periods array<struct<title:string,ruler:string,startYear:int,endYear:int,coins:array<struct<{ITEM}>>>>, _corrupt string"
 
@@ -105,3 +107,14 @@ def verified_entries(manifest: DataFrame, found: DataFrame, key: list[str]) -> D
     rows = found.join(once, key, "left")
     problem = F.when(F.col("_n").isNull(), "not in the manifest").when(F.col("_n") > 1, "several entries").when(F.col("_s") != "complete", "not complete").when(F.col("_r") != F.col("rows"), "number of rows").when(F.col("_c") != F.col("checksum"), "checksum")
     return rows.select(*key, problem.alias("problem"))
+
+
+def read_verified(spark: SparkSession, root: str, manifest: DataFrame, by: list[str]) -> tuple[DataFrame, DataFrame]:
+    """The rows of the exports below root that are as their manifest entry says, and by, problem of the others.
+
+    manifest: by, status, rows, checksum (as writers.manifest makes them). Entries without rows below root are problems too.
+    """
+    rows = spark.read.parquet(root)
+    judged = verified_entries(manifest, writers.manifest(rows, by), by)
+    absent = manifest.select(*by).distinct().join(rows.select(*by).distinct(), by, "left_anti").withColumn("problem", F.lit("nothing there"))
+    return rows.join(judged.where("problem is null").select(*by), by, "left_semi"), judged.where("problem is not null").unionByName(absent)

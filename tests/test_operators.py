@@ -281,3 +281,11 @@ def test_descriptions_end_at_the_stops_given(spark):
     rows = spark.createDataFrame([("Eagle over a lake, Sold out since 1990",)], "t string")
     got = rows.select(extract.design_description(F.col("t"), [r"\bsold out\b"]).alias("a"), extract.design_description(F.col("t")).alias("b")).first()
     assert tuple(got) == ("Eagle over a lake", "Eagle over a lake, Sold out since 1990")
+
+
+def test_technical_lines(spark):
+    lines = ["Silver 0.900, 2,5 g, ø 20 mm KM# 12a · Coins", "steel 3g, ø19.5mm", "Gold", "7 g", None, "Zinc, KM#, Y#4, 3 mm"]
+    rows = spark.createDataFrame(list(enumerate(lines)), "i int, s string").select("i", text.parse_technical(F.col("s")).alias("t")).orderBy("i").collect()
+    assert [tuple(r["t"]) for r in rows] == [
+        ("Silver 0.900", 2.5, 20.0, "KM", "12a", "Coins"), ("steel", 3.0, 19.5, None, None, None), (None,) * 6, (None, 7.0, None, None, None, None), (None,) * 6, (None, None, None, "Y", "4", None),
+    ]

@@ -10,6 +10,7 @@ import catloom.plans.extract_queries
 import catloom.plans.relation_queries
 import catloom.plans.scalar_queries
 import catloom.plans.shape_queries
+import catloom.plans.source_queries
 import catloom.plans.stream_queries  # noqa: F401
 from catloom.plans.registry import ORACLES, QUERIES
 
