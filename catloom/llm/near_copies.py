@@ -10,12 +10,14 @@ the links come in steps, and each candidate is verified on the whole sets:
    that are alike share a shingle among the first n - ceil(0.8 n) + 1 of each. Any order finds the same pairs; shingles
    that are frequent in a sample of texts come last, so that buckets stay small. A set without a link from step 1 is held
    against the one set that tops most of its buckets; the top differs from bucket to bucket.
-3. Sets in a bucket that are still not connected: all pairs of a bucket of at most 8 sets. In a larger bucket each set is
-   held against the nearest one by fingerprint of another component, found inside a task that emits nothing else; a pair
-   that is never nearest in any of the buckets it shares is the one case that is missed.
+3. Sets in a bucket that are still not connected: all their pairs that sizes, places of the shared shingle and fingerprints
+   leave possible. A bucket of more than 8 sets is cut into shards, and its pairs are told apart inside tasks, by sketches
+   (one-permutation MinHash) as well: first each set's nearest, which connect most; then all that may be alike and are
+   still of different components.
 
-Candidates of steps 2 and 3 are pairs whose fingerprints differ in at most 20 bits: of pairs at 0.8 all but one in several
-thousand do, of pairs that only share a passage few. Such pairs are told apart inside the join and never written.
+Sizes and places exclude no pair at 0.8. Fingerprints and sketches are estimates: of pairs at 0.8 about one in several
+thousand differs in more than 20 bits or shows less than four standard deviations below 0.8, and is missed unless others
+connect it.
 
 Equal sets are one from the start. A large group of near copies thus costs about its size and not its square.
 Verification counts common shingles by the low 32 bits of their hashes: two that differ are taken for one once in 2^32.
@@ -34,11 +36,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from catloom.llm.common import small_batches, steps, stored, text_of
+from catloom.llm.common import shuffle_partitions, small_batches, steps, stored, text_of
 from catloom.llm.simhash import components, leaders, majority, near_links
 
 SIZE, ALIKE = 5, (4, 5)  # similarity as a fraction
-FEW, SHARD = 8, 2048  # sets of a bucket whose pairs are all held together, and of a larger bucket's shard
+FEW, SHARD = 8, 1024  # sets of a bucket whose pairs come from a join, and of the shards that a task holds of larger ones
+MANY = 1_000_000  # pairs that a task gathers before it gives them
+BINS, SPREAD = 256, 4  # of a sketch; standard deviations that its estimate may lie below 0.8
 WIDE = 20  # bits: at a similarity of 0.8 a bit differs with chance 0.15, more than 20 of 64 do with chance 2 in 10,000
 SAMPLE, FREQUENT = 20_000, 1_000_000  # texts that tell which shingles are frequent, and how many of these go to the tasks
 SLOTS = 1 << 21  # of the bitmap that tells which texts are no candidates
@@ -59,6 +63,23 @@ def shingles(text: str, size: int = SIZE) -> np.ndarray:
     return np.unique(h.view(np.int64))
 
 
+def sketch(s: np.ndarray) -> bytes:
+    """The low byte (at least 1) of the least hash in each of 256 equal ranges, 0 for an empty one; s: distinct, ascending."""
+    edges = (np.arange(BINS) - BINS // 2) << 56
+    at = np.searchsorted(s, edges)
+    least = np.append(s, 0)[at]
+    held = (at < len(s)) & (least >> 56 == edges >> 56)
+    return np.where(held, np.maximum(least & 255, 1), 0).astype(np.uint8).tobytes()
+
+
+def estimated(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The similarity that rows of sketches show, and whether 0.8 or more is possible."""
+    held = ((u != 0) | (v != 0)).sum(axis=1)
+    same = ((u == v) & (u != 0)).sum(axis=1)
+    p = ALIKE[0] / ALIKE[1]
+    return same / np.maximum(held, 1), same >= p * held - SPREAD * np.sqrt(p * (1 - p) * held)
+
+
 def alike(a: np.ndarray, b: np.ndarray) -> bool:
     """Whether the Jaccard similarity of two sets of distinct hashes is 0.8 or more."""
     both = len(np.intersect1d(a, b, assume_unique=True))
@@ -86,7 +107,7 @@ def _frequent(rows: DataFrame, size: int) -> np.ndarray:
 
 
 def _sets(rows: DataFrame, size: int) -> DataFrame:
-    """doc_id, mark, fp (a hash of the set), n, bits (its SimHash), and its first shingles in the order of the index."""
+    """doc_id, mark, fp (a hash of the set), n, bits (its SimHash), its sketch, and its first shingles in the order of the index."""
     from xxhash import xxh64_intdigest
 
     held = rows.sparkSession.sparkContext.broadcast(_frequent(rows, size))
@@ -94,19 +115,20 @@ def _sets(rows: DataFrame, size: int) -> DataFrame:
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         late = held.value
         for batch in steps(batches, 500):
-            fps, sizes, bits, firsts = [], [], [], []
+            fps, sizes, bits, drawn, firsts = [], [], [], [], []
             for t in batch["text"].to_pylist():
                 s = shingles(t, size)
                 fps.append(xxh64_intdigest(s.tobytes(), 7))
                 bits.append(majority(s))
+                drawn.append(sketch(s))
                 if len(late):
                     is_late = late[np.minimum(np.searchsorted(late, s), len(late) - 1)] == s
                     s = np.concatenate([s[~is_late], s[is_late]])
                 sizes.append(len(s))
                 firsts.append(s[: len(s) - -(-len(s) * ALIKE[0] // ALIKE[1]) + 1])
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["mark"], pa.array(np.array(fps, np.uint64).view(np.int64)), pa.array(sizes, pa.int64()), pa.array(np.array(bits, np.uint64).view(np.int64)), _lists(firsts)], ["doc_id", "mark", "fp", "n", "bits", "keys"])
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["mark"], pa.array(np.array(fps, np.uint64).view(np.int64)), pa.array(sizes, pa.int64()), pa.array(np.array(bits, np.uint64).view(np.int64)), pa.array(drawn, pa.binary()), _lists(firsts)], ["doc_id", "mark", "fp", "n", "bits", "sketch", "keys"])
 
-    return rows.mapInArrow(make, "doc_id long, mark long, fp long, n long, bits long, keys array<long>")
+    return rows.mapInArrow(make, "doc_id long, mark long, fp long, n long, bits long, sketch binary, keys array<long>")
 
 
 def _verified(pairs: DataFrame, marks: DataFrame, rows: DataFrame, size: int) -> DataFrame:
@@ -157,35 +179,83 @@ def _possible(pairs: DataFrame, named: DataFrame) -> DataFrame:
     return pairs.join(ends[0], "a").join(ends[1], "b").where(_may("a_", "b_")).select(*pairs.columns)
 
 
-def _nearest(members: DataFrame) -> DataFrame:
-    """a < b: each member of a bucket with the nearest one of another root that it may be alike to, shard by shard.
+def _places(n: Column, m: Column, i: Column, j: Column) -> Column:
+    """Whether sets of n and m shingles that share the ones at places i and j can be alike.
+
+    Two sets in one order that have o in common share one among the first n - o + 1 and m - o + 1; and at any shared shingle
+    no more than min(i, j) can be common before it and min(n - i, m - j) from it on.
+    """
+    o = F.ceil((n + m) * ALIKE[0] / (ALIKE[0] + ALIKE[1]))
+    return (i <= n - o) & (j <= m - o) & (F.least(i, j) + F.least(n - i, m - j) >= o)
+
+
+def _within(members: DataFrame, nearest: bool) -> DataFrame:
+    """a < b: pairs of a bucket with different roots that may be alike, all or each set's nearest, shard by shard.
 
-    members: key, c (members of the bucket), fp, n, bits, root.
+    members: key, c (members of the bucket), least (the least fp of them), fp, n, bits, sketch, root, at (place of the key).
+    Buckets that one passage makes mostly have the same least member, so they go to the same task, which gives a pair once.
     """
-    names = ("fp", "n", "bits", "root")
-    shards = members.withColumn("shard", F.pmod(F.xxhash64("fp"), F.ceil(F.col("c") / SHARD)).cast("int")).groupBy("key", "shard").agg(*[F.collect_list(c).alias(c) for c in names])  # about SHARD at most
+    names = ("fp", "n", "bits", "root", "at", "sketch")
+    shards = members.withColumn("shard", F.pmod(F.xxhash64("fp"), F.ceil(F.col("c") / SHARD)).cast("int"))
+    shards = shards.groupBy("key", "least", "shard").agg(*[F.collect_list(c).alias(c) for c in names])  # about SHARD at most
     x, y = shards.alias("x"), shards.alias("y")
     pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.shard") <= F.col("y.shard")))
-    pairs = pairs.select(*[F.col(f"{t}.{c}").alias(f"{t}_{c}") for t in "xy" for c in names])
+    pairs = pairs.select(*[F.col(f"{t}.{c}").alias(f"{t}_{c}") for t in "xy" for c in names], F.col("x.least").alias("least"), F.col("x.shard").alias("s"), F.col("y.shard").alias("t"))
+    pairs = pairs.repartition(shuffle_partitions(members.sparkSession), "least", "s", "t").sortWithinPartitions("least", "s", "t")
+
+    def hits(row: tuple) -> np.ndarray:
+        (fp, n, bits, root, i), (gp, m, cits, soot, j) = ([np.asarray(v) for v in row[k : k + 5]] for k in (0, 6))
+        u, v = (np.frombuffer(b"".join(row[k]), np.uint8).reshape(-1, BINS) for k in (5, 11))
+        ok = np.bitwise_count(bits.view(np.uint64)[:, None] ^ cits.view(np.uint64)[None, :]) <= WIDE
+        ok &= root[:, None] != soot[None, :]
+        x, y = np.nonzero(ok)
+        n, m, i, j = n[x], m[y], i[x], j[y]
+        o = -(-(n + m) * ALIKE[0] // sum(ALIKE))
+        may = (ALIKE[1] * np.minimum(n, m) >= ALIKE[0] * np.maximum(n, m)) & (i <= n - o) & (j <= m - o) & (np.minimum(i, j) + np.minimum(n - i, m - j) >= o)
+        x, y, shown = x[may], y[may], [np.zeros(0)]
+        may = [np.zeros(0, bool)]
+        for k in range(0, len(x), 50_000):
+            part = estimated(u[x[k : k + 50_000]], v[y[k : k + 50_000]])
+            shown.append(part[0])
+            may.append(part[1])
+        may, shown = np.concatenate(may), np.concatenate(shown)
+        x, y, shown = x[may], y[may], shown[may]
+        if nearest:
+            rising, best = np.argsort(shown, kind="stable"), []
+            for side, size in ((x, len(fp)), (y, len(gp))):
+                top = np.full(size, -1)
+                top[side[rising]] = rising  # the last one stays
+                best.append(top[top >= 0])
+            best = np.unique(np.concatenate(best))
+            x, y = x[best], y[best]
+        return np.sort(np.stack([fp[x], gp[y]], axis=1), axis=1)
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def made() -> pd.DataFrame:
+            ab = np.unique(np.concatenate(found), axis=0)
+            return pd.DataFrame({"a": ab[:, 0], "b": ab[:, 1]})
+
+        place, found, size = None, [], 0
         for pdf in batches:
-            found = [np.zeros((0, 2), np.int64)]
-            for row in pdf.itertuples(index=False):
-                x, y = ([np.asarray(v) for v in row[i : i + 4]] for i in (0, 4))
-                apart = np.bitwise_count(x[2].view(np.uint64)[:, None] ^ y[2].view(np.uint64)[None, :])
-                least, most = np.minimum(x[1][:, None], y[1][None, :]), np.maximum(x[1][:, None], y[1][None, :])
-                apart[(x[3][:, None] == y[3][None, :]) | (ALIKE[1] * least < ALIKE[0] * most)] = 255
-                for d, one, two in ((apart, x[0], y[0]), (apart.T, y[0], x[0])):
-                    at = d.argmin(axis=1)
-                    near = np.flatnonzero(d[np.arange(len(at)), at] <= WIDE)
-                    found.append(np.stack([one[near], two[at[near]]], axis=1))
-            ab = np.unique(np.sort(np.concatenate(found), axis=1), axis=0)
-            yield pd.DataFrame({"a": ab[:, 0], "b": ab[:, 1]})
+            for row in pdf.itertuples(index=False, name=None):
+                if found and (row[12:] != place or size > MANY):
+                    yield made()
+                    found, size = [], 0
+                place = row[12:]
+                found.append(hits(row))
+                size += len(found[-1])
+        if found:
+            yield made()
 
     return pairs.mapInPandas(search, "a long, b long")
 
 
+def _open(own: DataFrame) -> DataFrame:
+    """Members of buckets that hold two roots, with c (members) and least (the least fp) of the bucket."""
+    found = (F.min("root").alias("lo"), F.max("root").alias("hi"), F.max("early").alias("any"), F.count("*").alias("c"), F.min("fp").alias("least"))
+    return own.join(own.groupBy("key").agg(*found).where("lo <> hi and any").select("key", "c", "least"), "key")
+
+
 def copy_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE, few: int = FEW) -> DataFrame:
     """doc_id, mark (a hash of the text) and root (the same within a group) of each row."""
     small_batches(docs.sparkSession)
@@ -194,7 +264,7 @@ def copy_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     marks = stored(_sets(rows, size).withColumn("row", F.monotonically_increasing_id()), "copies")
     one = stored(marks.where("n > 0").groupBy("fp").agg(F.min("row").alias("row")), "copy-one")
     distinct = marks.join(one, ["fp", "row"])
-    named = stored(distinct.select("fp", "mark", "n", "bits"), "copy-named")
+    named = stored(distinct.select("fp", "mark", "n", "bits", "sketch"), "copy-named")
     pair = lambda a, b: (F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
     # fingerprints within three bits: each set with the first of its bits, and the first of any bits with one of a link
     own = named.select("fp", "bits")
@@ -204,7 +274,7 @@ def copy_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     near = linked.join(ends[0], "a").join(ends[1], "b").select(F.col("first_b").alias("fp"), F.col("first_a").alias("other"))
     near = stored(near.unionByName(own.join(first, "bits").where("fp <> first").select("fp", F.col("first").alias("other"))), "copy-near")
     # the prefix index; the top of a bucket is the set with the least fp after a turn by the key
-    keyed = distinct.select("fp", F.explode("keys").alias("key"))
+    keyed = distinct.select("fp", F.posexplode("keys").alias("at", "key"))
     turned = F.col("fp").bitwiseXOR(F.xxhash64("key"))
     tops = keyed.groupBy("key").agg(F.count("*").alias("c"), F.min(turned).alias("top")).where("c > 1").select("key", F.col("top").bitwiseXOR(F.xxhash64("key")).alias("top"))
     shared = stored(keyed.join(tops, "key"), "copy-keys")
@@ -215,15 +285,21 @@ def copy_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     links = stored(_verified(tried, named, rows, size), "copy-links")
     roots = components(links)
     # what is not connected yet, in buckets that still hold two components
-    own = shared.select("key", "fp").join(named.select("fp", "n", "bits"), "fp").join(roots, F.col("fp") == F.col("node"), "left").select("key", "fp", "n", "bits", F.coalesce("root", "fp").alias("root"))
-    open_keys = own.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key")
-    own = stored(own.join(open_keys, "key", "left_semi"), "copy-open")
-    own = own.join(own.groupBy("key").agg(F.count("*").alias("c")), "key")
+    own = shared.select("key", "fp", F.col("at").cast("long").alias("at")).join(named.select("fp", "n", "bits"), "fp").join(roots, F.col("fp") == F.col("node"), "left").drop("node").withColumn("root", F.coalesce("root", "fp"))
+    early = F.col("at") <= F.col("n") - F.ceil(F.col("n") * 2 * ALIKE[0] / sum(ALIKE))  # where the smaller of two must have it
+    own = stored(_open(own.withColumn("early", early)), "copy-open")
     x, y = own.where(F.col("c") <= few).alias("x"), own.where(F.col("c") <= few).alias("y")
-    cross = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.fp") < F.col("y.fp")) & (F.col("x.root") != F.col("y.root")) & _may("x.", "y."))
-    cross = cross.select(F.col("x.fp").alias("a"), F.col("y.fp").alias("b")).unionByName(_nearest(own.where(F.col("c") > few)))
-    cross = stored(cross.distinct(), "copy-cross").join(tried, ["a", "b"], "left_anti")
-    roots = components(links.unionByName(_verified(cross, named, rows, size)))
+    cross = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.fp") < F.col("y.fp")) & (F.col("x.root") != F.col("y.root")) & _may("x.", "y.") & _places(*[F.col(c) for c in ("x.n", "y.n", "x.at", "y.at")]))
+    large, drawn = own.where(F.col("c") > few), named.select("fp", "sketch")
+    cross = cross.select(F.col("x.fp").alias("a"), F.col("y.fp").alias("b")).unionByName(_within(large.join(drawn, "fp"), nearest=True))
+    cross = stored(cross.distinct().join(tried, ["a", "b"], "left_anti"), "copy-cross")
+    links = stored(links.unionByName(_verified(cross, named, rows, size)), "copy-links")
+    # what the nearest ones leave unconnected: all pairs that may be alike
+    roots = components(links)
+    large = large.drop("root", "c", "least").join(roots, F.col("fp") == F.col("node"), "left").drop("node").withColumn("root", F.coalesce("root", "fp"))
+    rest = stored(_within(_open(large).join(drawn, "fp"), nearest=False), "copy-rest").distinct()
+    rest = rest.join(tried, ["a", "b"], "left_anti").join(cross, ["a", "b"], "left_anti")
+    roots = components(links.unionByName(_verified(rest, named, rows, size)))
     return marks.select("doc_id", "mark", "fp").join(roots, F.col("fp") == F.col("node"), "left").select("doc_id", "mark", F.coalesce("root", "fp").alias("root"))
 
 

@@ -72,7 +72,9 @@ def test_links_of_any_radius(spark, radius):
     assert near == {f for x in got for f in x}
 
 
-def test_large_buckets_are_searched_for_the_nearest(spark):
+@pytest.mark.parametrize("shard", [16, 1024])
+def test_large_buckets_lose_no_pair(spark, monkeypatch, shard):
+    monkeypatch.setattr(near_copies, "SHARD", shard)
     rng, rows = random.Random(5), []
     common = [f"c{i}" for i in range(60)]  # a passage that all share
     for _ in range(40):
