@@ -86,3 +86,29 @@ def test_large_buckets_lose_no_pair(spark, monkeypatch, shard):
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     groups = near_copies.copy_groups(docs, few=2).groupBy("root").agg(F.min("doc_id").alias("least"))
     assert sorted(r["least"] for r in groups.collect()) == brute_kept(rows)
+
+
+def test_copies_around_the_threshold_in_a_large_bucket(spark):
+    rng, rows = random.Random(7), []
+    for _ in range(3):
+        own = [f"w{rng.randrange(10**6)}" for _ in range(150)]
+        for _ in range(60):  # two of them are 0.6 to 0.95 alike; many sets' nearest is not alike enough
+            w = list(own)
+            for k in rng.sample(range(150), rng.randrange(1, 7)):
+                w[k] = f"w{rng.randrange(10**6)}"
+            rows.append((len(rows) + 1, " ".join(w)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    groups = near_copies.copy_groups(docs, few=2).groupBy("root").agg(F.min("doc_id").alias("least"))
+    assert sorted(r["least"] for r in groups.collect()) == brute_kept(rows)
+
+
+def test_sketches_tell_what_cannot_be_alike():
+    rng = random.Random(3)
+    for n in (1, 5, 40, 400, 4000):
+        for keep, want in ((1.0, True), (0.9, True), (0.3, False if n > 40 else None)):
+            a = [rng.getrandbits(63) - 2**62 for _ in range(n)]
+            b = a[: round(n * keep)] + [rng.getrandbits(63) - 2**62 for _ in range(n - round(n * keep))]
+            u, v = (near_copies.np.frombuffer(near_copies.sketch(near_copies.np.unique(near_copies.np.array(s))), "u1")[None] for s in (a, b))
+            shown, may = near_copies.estimated(u, v)
+            assert want is None or bool(may[0]) == want, (n, keep)
+            assert keep < 1 or shown[0] == 1
