@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from catloom.llm import decontaminate, factorisation, hilbert, mixing, ngram_lm, quality_rules, repeats, secrets, simhash, token_ids
+from catloom.llm import decontaminate, factorisation, hilbert, lexical_search, mixing, ngram_lm, quality_rules, repeats, secrets, simhash, token_ids
 from catloom.llm.common import table
 
 
@@ -50,9 +50,13 @@ def op10_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_token_ids, op2_secret_scan, op3_source_mix, op4_simhash, op5_lm_scores, op6_repeats, op7_quality_rules, op8_hilbert_shards, op9_quality_classifier, op10_benchmark_leaks)
+    for f in (op1_token_ids, op2_secret_scan, op3_source_mix, op4_simhash, op5_lm_scores, op6_repeats, op7_quality_rules, op8_hilbert_shards, op9_quality_classifier, op10_benchmark_leaks, op13_lexical_search)
 }
 
 
@@ -95,4 +99,13 @@ m as (select doc_id, min(i) as a, max(i) + 200 as b from g group by doc_id, run)
 l as (select *, coalesce(lag(b) over (partition by doc_id order by a), 0) as before from m),
 k as (select l.doc_id, sum(b - a) as removed, count(*) as spans, string_agg(substr(x, 2 * before + 1, 2 * (a - before)), '' order by a) || substr(any_value(x), 2 * max(b) + 1) as kept from l join n on l.doc_id = n.doc_id group by 1)
 select n.doc_id, n_bytes::bigint as n_bytes, coalesce(removed, 0)::bigint as n_removed, coalesce(spans, 0)::bigint as n_spans, sha256(unhex(coalesce(kept, x))) as kept_sha256 from n left join k on n.doc_id = k.doc_id""",
+    "op13_lexical_search": r"""
+with d as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as ts from documents),
+k as (select count(*)::bigint as docs, sum(len(ts))::bigint as words from d where len(ts) > 0),
+t as (select doc_id, len(ts)::bigint as n, term, count(*)::bigint as tf from (select doc_id, ts, unnest(ts) as term from d) group by 1, 2, 3),
+f as (select term, floor(1000 * ln((2.0::double * max(docs) + 2) / (2.0::double * count(*) + 1)))::bigint as w from t, k group by 1),
+i as (select item_id, term, count(*)::bigint as r from (select item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from benchmark) group by 1, 2),
+g as (select doc_id, t.term, w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // words))) as gain from t join f on t.term = f.term, k where t.term in (select term from i)),
+s as (select item_id, doc_id, sum(r * gain)::bigint as score from i join g on i.term = g.term group by 1, 2)
+select item_id, rank::integer as rank, doc_id, score from (select *, row_number() over (partition by item_id order by score desc, doc_id) as rank from s where score > 0) where rank <= 20""",
 }
