@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from catloom.llm import decontaminate, factorisation, hilbert, language_id, lexical_search, mixing, ngram_lm, quality_rules, repeats, secrets, simhash, token_ids
+from catloom.llm import decontaminate, factorisation, hilbert, language_id, lexical_search, mixing, ngram_lm, quality_rules, repeats, secrets, simhash, spelling, token_ids
 from catloom.llm.common import table
 
 
@@ -54,13 +54,17 @@ def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.language_digest(table(spark, sf_dir, "documents"))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
 def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_token_ids, op2_secret_scan, op3_source_mix, op4_simhash, op5_lm_scores, op6_repeats, op7_quality_rules, op8_hilbert_shards, op9_quality_classifier, op10_benchmark_leaks, op11_language_id, op13_lexical_search)
+    for f in (op1_token_ids, op2_secret_scan, op3_source_mix, op4_simhash, op5_lm_scores, op6_repeats, op7_quality_rules, op8_hilbert_shards, op9_quality_classifier, op10_benchmark_leaks, op11_language_id, op12_spelling_variants, op13_lexical_search)
 }
 
 
