@@ -75,6 +75,14 @@ def _quoted(text: str) -> str:
 
 _RULES = ", ".join(f"({i}, {_quoted(r.kind)}, {_quoted(r.pattern)}, {r.group}, {r.least})" for i, r in enumerate(secrets.RULES))
 
+def _crc_step(byte: int) -> int:
+    for _ in range(8):
+        byte = byte >> 1 ^ (0xEDB88320 if byte & 1 else 0)
+    return byte
+
+
+_CRC = f"[{', '.join(str(_crc_step(b)) for b in range(256))}]::bigint[]"
+
 ORACLE_SQL: dict[str, str] = {
     "op2_secret_scan": f"""
 with d as (select doc_id, coalesce(text, '') as t from documents), r(rank, kind, pattern, g, least) as (values {_RULES}),
@@ -116,4 +124,19 @@ i as (select item_id, term, count(*)::bigint as r from (select item_id, unnest(r
 g as (select doc_id, t.term, w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // words))) as gain from t join f on t.term = f.term, k where t.term in (select term from i)),
 s as (select item_id, doc_id, sum(r * gain)::bigint as score from i join g on i.term = g.term group by 1, 2)
 select item_id, rank::integer as rank, doc_id, score from (select *, row_number() over (partition by item_id order by score desc, doc_id) as rank from s where score > 0) where rank <= 20""",
+    "op12_spelling_variants": f"""
+with r as (select doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\\x{{C0}}-\\x{{FF}}]+')) as run from documents),
+k as (select doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as run, count(*)::bigint as n from r where length(run) >= 6 group by 1, 2),
+x as (select *, hex(encode(doc_id || ':' || run)) as x from k),
+b as (select doc_id, run, n, list_prepend(4294967295::bigint, list_transform(range(0, (length(x) // 2)::bigint), lambda i: ('0x' || substr(x, (2 * i + 1)::bigint, 2))::bigint)) as bytes from x),
+h as (select run, n, xor(list_reduce(bytes, lambda c, y: xor(({_CRC})[(xor(c, y) & 255) + 1], c >> 8)), 4294967295) as h from b),
+v as (select case when h % 199 = 0 then left(run, (h % length(run))::bigint) || substr(run, (h % length(run) + 2)::bigint) else run end as word, sum(n)::bigint as n from h group by 1),
+w as (select word, n from v where length(word) >= 6 and n >= 5),
+d as (select word, n, length(word) as l, i, left(word, (i - 1)::bigint) || substr(word, (i + 1)::bigint) as rest from (select word, n, unnest(range(1, length(word) + 1)) as i from w)),
+p as (select a.word, c.word as other, c.n as m from d a join d c on a.rest = c.rest and a.i = c.i and a.l = c.l and a.word <> c.word
+ union select d.word, w.word, w.n from d join w on d.rest = w.word union select w.word, d.word, d.n from d join w on d.rest = w.word),
+g as (select word, count(*)::bigint as n_near, max(m) as best from p group by 1),
+f as (select w.word, w.n, coalesce(n_near, 0) as n_near, case when best >= 5 * w.n then (select min(other) from p where p.word = w.word and p.m = g.best) end as form, case when best >= 5 * w.n then best end as form_n from w left join g on w.word = g.word),
+t as (with recursive c as (select word, word as root, 0 as step from f union all select c.word, f.form, step + 1 from c join f on c.root = f.word where f.form is not null) select word, arg_max(root, step) as root from c group by 1)
+select f.word, form, root, n, n_near, form_n from f join t on f.word = t.word""",
 }
