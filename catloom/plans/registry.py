@@ -8,6 +8,8 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from catloom.sources.shared import scratch  # noqa: F401  (queries take it from here)
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -48,14 +50,3 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return QUERIES["reconcile_documents"](spark, sf_dir)
 
-
-def scratch(spark: SparkSession, tag: str) -> str:
-    """A new folder that all executors share: below spark.checkpoint.dir, or a local one where that is unset in local mode (tests)."""
-    import tempfile
-    import uuid
-
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base and not spark.conf.get("spark.master", "").startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    base = base or "file://" + tempfile.mkdtemp(prefix="catloom-")
-    return f"{base.rstrip('/')}/{tag}-{uuid.uuid4().hex}"

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from catloom.operators import extract
 from catloom.plans.registry import query, scratch, table
-from catloom.sources import readers, writers
+from catloom.sources import readers, snapshots, writers
 
 
 def _suppliers(spark, sf_dir) -> DataFrame:
@@ -137,3 +137,48 @@ def e_table_rows(spark, sf_dir):
     lines = F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", row.alias("h")))), lambda x: x["h"])
     pages = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("page_id")).agg(F.concat(F.lit("<table>"), F.array_join(lines, "\n"), F.lit("</table>")).alias("html"))
     return extract.table_rows(pages).select("page_id", F.col("row").cast("long").alias("n"), F.array_join("cells", "|").alias("cells"))
+
+
+_LABELS = snapshots.Relation("labels", "doc_id", "documents", "doc_id")
+
+
+def _snapshots(spark, sf_dir) -> str:
+    """Two finished snapshots of documents and labels below a root, and a third that died before its manifest."""
+    d, l = table(spark, sf_dir, "documents").select("doc_id", "lang"), table(spark, sf_dir, "labels")
+    root = scratch(spark, "snapshots")
+    snapshots.write_snapshot(spark, root, "first", {"documents": d.where("doc_id % 2 = 0"), "labels": l}, [_LABELS])
+    snapshots.write_snapshot(spark, root, "second", {"documents": d, "labels": l.where("quality = 1")}, [_LABELS])
+    d.write.parquet(f"{root}/third/entities/documents")
+    return root
+
+
+@query("""
+select 'entity' as kind, 'documents' as name, count(*) as rows, 0 as parents, 0 as orphans, 0 as childless from documents
+union all select 'entity', 'labels', count(*), 0, 0, 0 from labels where quality = 1
+union all select 'totals', '*', (select count(*) from documents) + (select count(*) from labels where quality = 1), 0, 0, 0
+union all select 'relation', 'labels.doc_id -> documents.doc_id', (select count(doc_id) from labels where quality = 1), (select count(doc_id) from documents),
+ (select count(doc_id) from labels where quality = 1 and doc_id not in (select doc_id from documents)), (select count(*) from documents where doc_id not in (select doc_id from labels where quality = 1))""")
+def s_snapshot_pointer(spark, sf_dir):
+    """The manifest of the snapshot that the pointer names: the last finished one, with totals and relations."""
+    root = _snapshots(spark, sf_dir)
+    said = snapshots.read_manifest(spark, root, snapshots.resolve_pointer(spark, root))
+    return said.select("kind", "name", "rows", "parents", "orphans", "childless")
+
+
+@query("""
+select 'totals' as kind, '*' as name, 'number of rows' as problem union all select 'entity', 'labels', 'number of rows'
+union all select 'relation', 'labels.doc_id -> documents.doc_id', 'number of rows'""")
+def s_snapshot_verdicts(spark, sf_dir):
+    """Rows that came into a finished snapshot afterwards contradict its totals."""
+    root = _snapshots(spark, sf_dir)
+    table(spark, sf_dir, "labels").where("quality = 0").write.mode("append").parquet(f"{root}/second/entities/labels")
+    return snapshots.snapshot_verdicts(spark, root, "second", [_LABELS])
+
+
+@query("""
+with p as (select page_id, case page_id % 4 when 0 then url when 1 then 'snap-' || page_id when 2 then '..' else ' ' end as pointer from pages)
+select page_id, case when trim(pointer) = '' then 'blank' when pointer = '..' or contains(pointer, '/') then 'outside the root' end as problem from p""")
+def s_pointer_problems(spark, sf_dir):
+    k = F.col("page_id") % 4
+    pointer = F.when(k == 0, F.col("url")).when(k == 1, F.concat(F.lit("snap-"), "page_id")).when(k == 2, "..").otherwise(" ")
+    return table(spark, sf_dir, "pages").select("page_id", snapshots.pointer_problem(pointer).alias("problem"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catloom.plans.registry import query, scratch, table
-from catloom.sources import writers
+from catloom.sources import keyed_table, writers
 from catloom.streaming import upserts
 
 
@@ -19,6 +19,33 @@ def t_stream_upsert(spark, sf_dir):
     return upserts.latest(spark, target).groupBy("event_type").agg(F.count("*").alias("rows"), F.count_distinct("user_id").alias("users"))
 
 
+@query("""
+with r as (select *, row_number() over (partition by conv_id order by turn desc) as n from conversations)
+select conv_id, turn, role, length(text) as size from r where n = 1""")
+def t_keyed_batches(spark, sf_dir):
+    """The last turn of each conversation: files in any order flow into a keyed table batch by batch, late turns change nothing."""
+    c = table(spark, sf_dir, "conversations")
+    landed, target = scratch(spark, "landed"), scratch(spark, "keyed-table")
+    c.repartition(4, F.pmod(F.col("turn") * 7 + 3, F.lit(5))).write.parquet(landed)
+    stream = spark.readStream.schema(c.schema).option("maxFilesPerTrigger", 2).parquet(landed)
+    upserts.stream_upsert(stream, target, ["conv_id"], scratch(spark, "stream-state"), order=["turn"], buckets=16).awaitTermination()
+    return upserts.latest(spark, target).select("conv_id", "turn", "role", F.length("text").cast("long").alias("size"))
+
+
+@query("""
+select k, vec_id, label from (select vec_id % 5000 as k, vec_id, label, row_number() over (partition by vec_id % 5000 order by vec_id) as n from embeddings) where n = 1""")
+def t_keyed_skip(spark, sf_dir):
+    """Two merges that skip known keys: the first row of each key stays."""
+    e = table(spark, sf_dir, "embeddings").select((F.col("vec_id") % 5000).alias("k"), "vec_id", F.col("label").cast("long").alias("label"), (-F.col("vec_id")).alias("turn"))
+    target = scratch(spark, "keyed-table")
+    half = e.agg(F.max("vec_id").alias("top"))  # one row
+    both = e.join(F.broadcast(half))
+    first = both.where("2 * vec_id <= top").drop("top")
+    for rows in (both.where("2 * vec_id <= top"), both.where("2 * vec_id > top")):
+        keyed_table.merge(spark, target, rows.drop("top"), ["k"], order=["turn"], replace=False, buckets=16)
+    return keyed_table.read(spark, target).select("k", "vec_id", "label")
+
+
 @query("select s_nationkey, count(*) as rows, case s_nationkey % 5 when 0 then 'AFRICA' end as continent from supplier where s_nationkey % 5 = 0 group by 1")
 def k_country_exports(spark, sf_dir):
     """Exports partitioned by place, written and read back with the partition pruned."""

@@ -1,4 +1,4 @@
-"""Streaming form of the resumable merge (T5): landed files flow into a keyed table."""
+"""Streaming form of the resumable merge (T5): landed files flow into a keyed table, bucket by bucket."""
 
 from __future__ import annotations
 
@@ -6,8 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catloom.operators.incremental import todo
-from catloom.operators.shape import last_of, merge_last_wins
+from catloom.sources import keyed_table
 
 
 def new_rows(stream: DataFrame, key: list[str], time: str, delay: str) -> DataFrame:
@@ -16,43 +15,36 @@ def new_rows(stream: DataFrame, key: list[str], time: str, delay: str) -> DataFr
 
 
 def _base(spark, target: str, note: str) -> int:
-    """The version that a checkpoint's first batch writes: noted beside the checkpoint when it is first used."""
+    """The version that a checkpoint's first batch commits: noted beside the checkpoint when it is first used."""
     try:
-        return spark.read.parquet(note).first()["base"]
-    except AnalysisException:  # a new checkpoint
-        pass
-    try:
-        newest = spark.read.parquet(target).agg(F.max("version")).first()[0]
-    except AnalysisException:  # a new table
-        newest = None
-    base = 0 if newest is None else int(newest) + 1
+        return spark.read.schema("base long").parquet(note).first()["base"]
+    except AnalysisException as gone:
+        if gone.getCondition() != "PATH_NOT_FOUND":
+            raise
+    known = keyed_table.versions(spark, target)
+    base = known[-1] + 1 if known else 0
     spark.range(1).select(F.lit(base).cast("long").alias("base")).write.mode("overwrite").parquet(note)
     return base
 
 
-def stream_upsert(stream: DataFrame, target: str, key: list[str], checkpoint: str, *, order: list[str] = (), replace: bool = True, time: str | None = None, delay: str = "1 hour"):
-    """Start a query that merges each micro-batch into the Parquet table at target: a version folder for each batch.
+def stream_upsert(stream: DataFrame, target: str, key: list[str], checkpoint: str, *, order: list[str] = (), replace: bool = True, time: str | None = None, delay: str = "1 hour", buckets: int = 64):
+    """Start a query that merges each micro-batch into the keyed table at target and commits it (see ``sources.keyed_table``).
 
-    replace: rows of a known key overwrite it, else known keys are skipped (the batch form of todo). order: which of several
-    rows of a key in a batch is the last. A batch that is run again after a failure writes the same version again, from the
-    version before it. A new checkpoint over a table that is there goes on from its newest version.
+    Only the buckets that a batch touches are written again. replace: rows of a known key overwrite it, else known keys are
+    skipped (the batch form of todo). order: of two rows of a key, in one batch or in two, the last by it stays, so a late
+    older row changes nothing; without it a later batch wins. A batch that runs again after a failure is skipped if it was
+    committed, and else made anew from the table before it. A new checkpoint over a table that is there goes on from its
+    newest version.
     """
     base = _base(stream.sparkSession, target, f"{checkpoint.rstrip('/')}-base")
     rows = new_rows(stream, key, time, delay) if time else stream
 
-    def merge(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        version = base + number
-        batch = last_of(batch, key, order)
-        if version:
-            old = spark.read.parquet(f"{target}/version={version - 1}")
-            batch = merge_last_wins(old, batch if replace else todo(batch, old, key)[0], key)
-        batch.write.mode("overwrite").parquet(f"{target}/version={version}")
+    def add(batch: DataFrame, number: int) -> None:
+        keyed_table.merge(batch.sparkSession, target, batch, key, order=order, buckets=buckets, replace=replace, version=base + number)
 
-    return rows.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
+    return rows.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
 
 
 def latest(spark, target: str) -> DataFrame:
     """The newest version of a table that stream_upsert writes."""
-    rows = spark.read.parquet(target)
-    return rows.join(F.broadcast(rows.agg(F.max("version").alias("version"))), "version").drop("version")  # one row
+    return keyed_table.read(spark, target)
