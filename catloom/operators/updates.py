@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catloom.functions.years import safe_year_extension
+from catloom.operators import ranges
 from catloom.operators.shape import last_of
 
 
@@ -84,9 +85,8 @@ def plan_summary(plan: DataFrame, by: str, status: str) -> DataFrame:
 
 
 def assign_batches(rows: DataFrame, n: int, order: list[str], by: list[str]) -> DataFrame:
-    """batch 0, 1, ... of n rows each in order, within each group of by (one task sorts a group)."""
-    place = F.row_number().over(Window.partitionBy(*by).orderBy(*order)) - 1
-    return rows.withColumn("batch", F.floor(place / n))
+    """batch 0, 1, ... of n rows each in order, within each group of by; a group may be any size."""
+    return ranges.numbered(rows, by, order, "batch").withColumn("batch", F.floor((F.col("batch") - 1) / n))
 
 
 def upsert(target: DataFrame, patches: DataFrame, key: list[str], *, order: list[str] = (), insert: bool = True) -> DataFrame:

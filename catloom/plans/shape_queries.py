@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from catloom.functions import years
-from catloom.operators import filters, order, shape, stats
+from catloom.operators import filters, order, ranges, shape, stats
 from catloom.plans.registry import query, table
 
 
@@ -287,3 +287,36 @@ def a_design_summary(spark, sf_dir):
 def a_missing_by_field(spark, sf_dir):
     d = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left")
     return stats.missing_by_field(d, "source", ["quality", "toxic"])
+
+
+@query("select doc_id, row_number() over (order by lang, n_chars desc, doc_id) as place from documents")
+def w_range_numbers(spark, sf_dir):
+    """All documents as one group."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars")
+    return ranges.numbered(d, [], ["lang", F.desc("n_chars"), "doc_id"], "place").select("doc_id", "place")
+
+
+@query("""
+with d as (select doc_id, case when doc_id % 7 <> 0 then lang || source end as k from documents), f as (select *, case when k is null then doc_id else min(doc_id) over (partition by k) end as first from d)
+select doc_id, dense_rank() over (order by first) as rank from f""")
+def w_range_first(spark, sf_dir):
+    """Documents by first appearance of language and source, all in one group; blank keys have ranks of their own."""
+    d = table(spark, sf_dir, "documents").select("doc_id", F.when(F.col("doc_id") % 7 != 0, F.concat("lang", "source")).alias("k"))
+    return ranges.rank_by_first(d, [], "k", "doc_id").select("doc_id", "rank")
+
+
+@query("""
+with d as (select doc_id, doc_id // 3000 as part, lang from documents), f as (select *, case when lang = lag(lang) over (partition by part order by doc_id) then 0 else 1 end as new from d),
+r as (select *, sum(new) over (partition by part order by doc_id)::bigint as run from f)
+select part, run, lang, min(doc_id) as start, max(doc_id) as "end", count(*) as length from r group by 1, 2, 3""")
+def w_range_runs(spark, sf_dir):
+    """Runs of a language, in parts of thousands of documents."""
+    d = table(spark, sf_dir, "documents").select("doc_id", F.floor(F.col("doc_id") / 3000).alias("part"), "lang")
+    return ranges.runs(d, ["part"], ["lang"], ["doc_id"])
+
+
+@query("select doc_id, last_value(case when n_chars > 15000 then doc_id end ignore nulls) over (order by doc_id rows unbounded preceding) as section from documents")
+def w_range_fill(spark, sf_dir):
+    """The last long document before each one; all are one group."""
+    d = table(spark, sf_dir, "documents").select("doc_id", F.when(F.col("n_chars") > 15000, F.col("doc_id")).alias("mark"))
+    return ranges.forward_fill(d, [], "mark", "doc_id", "section").select("doc_id", "section")
