@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from catloom.functions import records
 from catloom.functions.text import fold_text
 from catloom.operators import contracts, findings, incremental, match, relate, sets, updates
-from catloom.plans.registry import query, table
-from catloom.sources import readers, writers
+from catloom.plans.registry import query, scratch, table
+from catloom.sources import digest_tree, readers, writers
 
 
 def _docs(spark, sf_dir):
@@ -578,3 +578,20 @@ def m_name_rules(spark, sf_dir):
     b = a.select((F.col("a") - 1).alias("a"), F.col("a").alias("b"), F.lit("5  CENTS").alias("y"))
     same = match.same_visible_name(F.concat(F.lit("5 "), F.lit("Cents")), F.col("y")) & match.name_years_agree(F.lit("5 cts"), F.lit("1957-61"), F.col("y"), F.lit("1957 61")) & (fold_text(F.col("x")) != "")
     return a.join(b, "a").select("a", "b", same.alias("same"))
+
+
+@query("""
+select doc_id, 'deleted' as status, '' as changed from documents where doc_id % 100 = 3
+union all select doc_id, 'modified', 'n_chars' from documents where doc_id % 100 = 7 union all select doc_id, 'modified', 'lang,source' from documents where doc_id % 100 = 9
+union all select -1 - doc_id, 'created', '' from documents where doc_id % 100 = 5""")
+def d_tree_diff(spark, sf_dir):
+    """Two snapshots of the documents' fields, compared from the roots of their digest trees down."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
+    k = F.col("doc_id") % 100
+    after = d.where(k != 3).withColumns({"n_chars": F.when(k == 7, F.col("n_chars") + 1).otherwise(F.col("n_chars")), "lang": F.when(k != 9, F.col("lang")), "source": F.when(k == 9, F.col("lang")).otherwise(F.col("source"))})
+    after = after.unionByName(d.where(k == 5).withColumn("doc_id", -1 - F.col("doc_id")))
+    paths = [scratch(spark, "tree"), scratch(spark, "tree")]
+    for rows, path in zip((d, after), paths, strict=True):
+        digest_tree.write_tree(rows, path, ["doc_id"], leaves=64, fanout=4)
+    out = digest_tree.tree_diff(spark, *paths, ["lang", "source", "n_chars"])
+    return out.select("doc_id", "status", F.array_join("changed", ",").alias("changed"))
