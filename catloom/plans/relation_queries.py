@@ -53,9 +53,11 @@ def j_partition_missing(spark, sf_dir):
     return relate.partition_missing(c, c.where("c_custkey % 40 = 0 or c_custkey % 41 = 0").drop("c_custkey"), "strong", "fallback").select("c_custkey", "found")
 
 
-@query("select page_id, case when url like '%page=%' then 'page:' || regexp_extract(url, '[?&]page=([0-9]*)', 1) when url like '%.html%' then 'name:' || regexp_extract(url, '([^/]*)\\.html', 1) else 'row:' || page_id end as identity from pages where url not like '%page=&%'")
+@query(r"""
+select page_id, case when regexp_extract(url, '[?&]page=([0-9]*)', 1) <> '' then 'page:' || regexp_extract(url, '[?&]page=([0-9]*)', 1)
+ when regexp_extract(url, '([^/]*)\.html', 1) <> '' then 'name:' || regexp_extract(url, '([^/]*)\.html', 1) else 'row:' || page_id end as identity from pages""")
 def j_identity_key(spark, sf_dir):
-    p = table(spark, sf_dir, "pages").where("url not like '%page=&%'")
+    p = table(spark, sf_dir, "pages")
     return p.select("page_id", relate.identity_key([("page", F.regexp_extract("url", r"[?&]page=([0-9]*)", 1)), ("name", F.when(F.col("url").contains(".html"), F.regexp_extract("url", r"([^/]*)\.html", 1))), ("row", F.col("page_id"))]).alias("identity"))
 
 

@@ -139,22 +139,38 @@ def n_marks(spark, sf_dir):
     )
 
 
-@query("""
+_LINE = r"""trim(regexp_replace(replace(replace(replace(replace(replace(replace(regexp_extract(text, '^[^\n]*', 0), '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&'), '[\s\x{A0}]+', ' ', 'g'))"""
+
+
+@query(
+    r"with d as (select *, " + _LINE + r""" as line from documents),
+t as (select *, coalesce(nullif(regexp_extract(line, '"([^"]+)"', 1), ''), regexp_replace(line, '(?i),? with .*$', '')) as subject from d)
 select doc_id, case length(trim(coalesce(lang, ''))) when 0 then 0 else 1 end + case length(trim(coalesce(source, ''))) when 0 then 0 else 1 end + 1 as filled,
- case when length(regexp_extract(text, '^[^\\n]*', 0)) > 40 then regexp_replace(substr(trim(regexp_replace(regexp_extract(text, '^[^\\n"]*', 0), '\\s+', ' ', 'g')), 1, 40), '\\s+\\S*$', '') || '…' end as title,
- regexp_replace(regexp_replace(text, '(?s)(?:\\.\\s|\\n).*$', ''), '[\\s,;:.-]+$', '') as description,
- case doc_id % 3 when 0 then 'H' when 1 then 'V' end as orientation, 'Side ' || doc_id as side from documents
-where length(trim(regexp_replace(regexp_extract(text, '^[^\\n"]*', 0), '\\s+', ' ', 'g'))) > 40 and text not like '%&%' and text not like '%\xa0%' and lower(text) not like '% with %'""")
+ case when length(subject) > 40 then regexp_replace(substr(subject, 1, 40), '\s+\S*$', '') || '…' else subject end as title,
+ regexp_replace(regexp_replace(text, '(?s)(?:\.\s|\n).*$', ''), '[\s,;:.-]+$', '') as description,
+ case doc_id % 3 when 0 then 'H' when 1 then 'V' end as orientation, 'Side ' || doc_id as side from t"""
+)
 def n_titles(spark, sf_dir):
     d = table(spark, sf_dir, "documents")
-    line = F.regexp_extract("text", r'^[^\n"]*', 0)
-    d = d.where((F.length(F.trim(F.regexp_replace(line, r"\s+", " "))) > 40) & ~F.col("text").contains("&") & ~F.col("text").contains("\xa0") & ~F.lower("text").contains(" with "))
     side = F.concat(F.when(F.col("doc_id") % 3 == 0, "(H) ").otherwise(""), F.lit("Side "), F.col("doc_id").cast("string"), F.when(F.col("doc_id") % 3 == 1, " (vertical)").otherwise(""))
     o = text.extract_orientation(side)
-    title = F.when(F.length(F.regexp_extract("text", r"^[^\n]*", 0)) > 40, text.short_title(line, 40))
+    title = text.short_title(F.regexp_extract("text", r"^[^\n]*", 0), 40)
     return d.select("doc_id", (records.completeness(d, ["lang", "source"]) + 1).alias("filled"), title.alias("title"), text.cut_at_stop(F.col("text"), [r"\.\s", r"\n"]).alias("description"), o["orientation"].alias("orientation"), o["text"].alias("side"))
 
 
+@query("""
+select page_id, case page_id % 5 when 0 then 'bronze' when 1 then 'Nickel (' when 2 then 'Lot 5#3' when 3 then null else 'x' || page_id end as composition,
+ case page_id % 5 when 0 then 1.5 when 1 then 5 when 2 then 4 when 4 then 2.5 end::double as grams, case page_id % 5 when 0 then 19 when 1 then page_id % 90 when 4 then 20.5 end::double as millimetres,
+ case page_id % 5 when 0 then 'KM' when 2 then 'KM' when 3 then 'KM' when 4 then 'Y' end as catalogue, case page_id % 5 when 0 then '7' when 2 then page_id::varchar when 3 then 'A' || page_id when 4 then '1#' || page_id end as number,
+ case page_id % 5 when 0 then 'Circulation' when 3 then 'Coin' end as category from pages""")
+def n_technical_shapes(spark, sf_dir):
+    """Technical lines of five shapes: glued units, either case of the sign, digits before '#', numbers that hold '#'."""
+    k, n = F.col("page_id") % 5, F.col("page_id").cast("string")
+    shapes = F.when(k == 0, F.lit("bronze, 1,5 g, ø 19 mm · KM# 7 · Circulation")).when(k == 1, F.concat(F.lit("Nickel (5 g), Ø"), (F.col("page_id") % 90).cast("string"), F.lit(" mm")))
+    shapes = shapes.when(k == 2, F.concat(F.lit("Lot 5#3, 4 g KM#"), n)).when(k == 3, F.concat(F.lit("KM# A"), n, F.lit("·Coin"))).otherwise(F.concat(F.lit("x"), n, F.lit(" 2.5g ø 20,5mm Y#1#"), n, F.lit(", · ")))
+    return table(spark, sf_dir, "pages").select("page_id", text.parse_technical(shapes).alias("t")).select("page_id", "t.*")
+
+
 @query("""
 select p_partkey, case p_type when 'ECONOMY' then 'normal' when 'SMALL' then 'collection' else 'unknown' end as category, case when position(' ' in p_name) > 0 then split_part(p_name, ' ', 1) end as prefix from part""")
 def n_aliases(spark, sf_dir):

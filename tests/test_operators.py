@@ -23,7 +23,7 @@ def test_normal_key(spark, name, key):
     assert one(spark, text.normalize_key(F.lit(name).cast("string"))) == key
 
 
-@pytest.mark.parametrize(("name", "variants"), [("½ x", [["1", "2"]]), ("2½ x", [["2", "5"], ["2", "1", "2"]]), ("1.000", [["1000"], ["1.000"], ["1", "000"]]), ("5 x", [["5"]]), ("x", [])])
+@pytest.mark.parametrize(("name", "variants"), [("½ x", [["1", "2"]]), ("2½ x", [["2", "5"], ["2", "1", "2"]]), ("1.000", [["1000"], ["1.000"], ["1", "000"]]), ("5 x", [["5"]]), ("x", []), ("2 ¾", [["2", "75"], ["2", "3", "4"]]), ("1.000,5 x", [["10005"], ["1.000,5"], ["1", "000", "5"]]), ("5.", [["5"], ["5."]])])
 def test_amount_variants(spark, name, variants):
     assert one(spark, text.amount_variants(F.lit(name))) == variants
 
@@ -284,8 +284,10 @@ def test_descriptions_end_at_the_stops_given(spark):
 
 
 def test_technical_lines(spark):
-    lines = ["Silver 0.900, 2,5 g, ø 20 mm KM# 12a · Coins", "steel 3g, ø19.5mm", "Gold", "7 g", None, "Zinc, KM#, Y#4, 3 mm"]
+    lines = ["Silver 0.900, 2,5 g, ø 20 mm KM# 12a · Coins", "steel 3g, ø19.5mm", "Gold", "7 g", None, "Zinc, KM#, Y#4, 3 mm", "Ø21 mm", "Lot 5#3, 4 g KM#7", "KM# A12·Coin", "KM#1#2", "Nickel (5 g), ø 20 mm", "5 gé 6 mmx XKM# 3", "Silver, 12 G ABCDEFGHI# 4"]
     rows = spark.createDataFrame(list(enumerate(lines)), "i int, s string").select("i", text.parse_technical(F.col("s")).alias("t")).orderBy("i").collect()
     assert [tuple(r["t"]) for r in rows] == [
         ("Silver 0.900", 2.5, 20.0, "KM", "12a", "Coins"), ("steel", 3.0, 19.5, None, None, None), (None,) * 6, (None, 7.0, None, None, None, None), (None,) * 6, (None, None, None, "Y", "4", None),
+        (None, None, 21.0, None, None, None), ("Lot 5#3", 4.0, None, "KM", "7", None), (None, None, None, "KM", "A12", "Coin"), (None, None, None, "KM", "1#2", None), ("Nickel (", 5.0, 20.0, None, None, None),
+        (None, None, None, "XKM", "3", None), ("Silver", 12.0, None, None, None, None),
     ]
