@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from catloom.functions.text import blank_to_null, clean_ws, cut_at_stop, fold_text
 from catloom.functions.urls import canonical_page_url, query_int, query_param
+from catloom.operators import markup
 
 
 def html_to_text(c: Column) -> Column:
@@ -102,11 +103,16 @@ def section_items(blocks: DataFrame, opens: Column, own_id: Column, *, header: s
 
 
 def extract_links(pages: DataFrame, pattern: str, *, page_id: str = "page_id", html: str = "html", url: str = "url", same_query: list[str] = ()) -> DataFrame:
-    """Distinct links of a page that match, in order of their first place, with page number; filters of the url must agree."""
-    links = pages.select(page_id, F.col(url).alias("_u"), F.posexplode(F.regexp_extract_all(html, F.lit('href="([^"]*)"'), F.lit(1))).alias("pos", "link")).where(F.col("link").rlike(pattern))
-    for k in same_query:
-        links = links.where(query_param(F.col("link"), k).eqNullSafe(query_param(F.col("_u"), k)))
-    return links.groupBy(page_id, "link").agg(F.min("pos").alias("pos")).withColumn("page", F.coalesce(query_int(F.col("link"), "page"), F.lit(1)))
+    """Distinct links of a page that match, in order of their first place, with page number; filters of the url must agree.
+
+    Links are as written, entities undone; ``markup.page_links`` resolves them.
+    """
+    rows = markup.links(markup.page_elements(pages, ["a"], page_id=page_id, html=html), pattern)
+    if same_query:
+        rows = rows.join(pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("_u")), "page_id")
+        for k in same_query:
+            rows = rows.where(query_param(F.col("link"), k).eqNullSafe(query_param(F.col("_u"), k)))
+    return rows.select(F.col("page_id").alias(page_id), "link", "pos", "page")
 
 
 def labelled(text: Column, labels: list[str]) -> Column:

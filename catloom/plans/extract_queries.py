@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from catloom.operators import extract
+from catloom.operators import extract, markup
 from catloom.plans.registry import query, table
 
 _HEAD = "trim(regexp_replace(replace(regexp_replace(regexp_extract(html, '(?is)<h1\\b[^>]*>(.*?)</h1>', 1), '<[^>]*>', '', 'g'), '&amp;', '&'), '\\s+', ' ', 'g'))"
@@ -127,3 +127,55 @@ def e_inventory(spark, sf_dir):
 def e_section_designs(spark, sf_dir):
     blocks = extract.page_blocks(table(spark, sf_dir, "pages"), {"header": ("div", "ad"), "item": ("h1", "")})
     return extract.section_designs(blocks).select("page_id", "section", "n", "entry", "layout")
+
+@query(r"""
+select page_id, regexp_extract(url, '^[^?#]*', 0) || '?page=' || (page_id % 9 + 1) || '&ref=x' as link, page_id % 9 + 1 as page, 'Next &' as text from pages
+where regexp_extract(url, '[?&]ref=([^&#]*)', 1) = 'x'
+union all select page_id, regexp_extract(url, '^[^?#]*', 0) || '?page=' || (page_id % 9 + 1), page_id % 9 + 1, 'no filter' from pages where not regexp_matches(url, '[?&]ref=')""")
+def e_page_links(spark, sf_dir):
+    """Links to further pages, in single quotes and with entities, resolved against the page's address."""
+    n = (F.col("page_id") % 9 + 1).cast("string")
+    more = F.concat(F.lit("<!-- <a href='?page=77&amp;ref=x'>no</a> --><div class='list pages'><a href=/other>o</a><A HREF='?page="), n, F.lit("&amp;ref=x#top'>Next\n &amp;</A><a href=\"?page="), n, F.lit("\">no filter</a></div>"))
+    p = table(spark, sf_dir, "pages").select("page_id", "url", F.concat("html", more).alias("html"))
+    out = markup.page_links(markup.page_elements(p, ["a"], url="url"), p, within="div.pages", same_query=["ref"])
+    return out.select("page_id", "link", "page", "text")
+
+
+@query("""
+with i as (select page_id, unnest([0, 1, 2]) as n from pages)
+select page_id, 'https://i.example.com/c/' || page_id || case n when 0 then '-1/a.jpg?x=1&y=2' when 1 then '-2s/b,c.jpg' else '-2/d.jpg' end as url, case n when 0 then 'obverse' else 'reverse' end as side from i where n < 2""")
+def e_page_sides(spark, sf_dir):
+    """First image of each side, from img elements and the candidates of a srcset."""
+    k = F.col("page_id").cast("string")
+    html = F.concat(F.lit("<base><img alt=Obverse src='/c/"), k, F.lit("-1/a.jpg?x=1&amp;y=2'><picture><source srcset=\"https://i.example.com/c/"), k, F.lit("-2s/b,c.jpg 1x,\n https://i.example.com/c/"), k, F.lit("-2/d.jpg 2x\"><img data-src=''></picture>"))
+    p = table(spark, sf_dir, "pages").select("page_id", F.lit("https://i.example.com/list").alias("url"), html.alias("html"))
+    found = markup.images(markup.page_elements(p, ["img", "source"], url="url")).withColumn("at", F.col("pos") * 1000 + F.col("n"))
+    return extract.available_sides(found, ["page_id"], "url", "alt", "at", "^https://i[.]")
+
+
+@query("""
+select page_id, 'Machine ' || page_id || '|' || case page_id % 3 when 0 then 'Gone' when 1 then 'Open' else 'Moved & more' end || '|x' as cells, null::varchar as problem from pages where page_id % 4 <> 0
+union all select page_id, null, case when page_id % 8 = 0 then 'no table row' else 'rows are too short' end from pages where page_id % 4 = 0""")
+def e_form_rows(spark, sf_dir):
+    """Table rows with the option that a form has selected; pages without rows are errors."""
+    k, n = F.col("page_id").cast("string"), F.col("page_id") % 3
+    chosen = F.when(n == 0, "<option selected>Gone<option>Open").when(n == 1, "<option value=1>Open</option><option>Gone").otherwise("<option>Open<option selected=selected value='m'>Moved &amp; more</option>")
+    row = F.concat(F.lit("<table id=t><tr class=r><td>Machine\n"), k, F.lit("<td><select name=s>"), chosen, F.lit("</select></td><td>x</table>"))
+    html = F.when(F.col("page_id") % 8 == 0, "<p>none</p>").when(F.col("page_id") % 4 == 0, "<table id='t'><tr><td>only</td></tr></table>").otherwise(row)
+    p = table(spark, sf_dir, "pages").select("page_id", html.alias("html"))
+    cells = markup.table_cells(markup.page_elements(p, ["tr", "td", "th", "select", "option"]), within="table#t")
+    bad = markup.table_problems(p, cells, 3)
+    good = cells.join(bad, "page_id", "left_anti").select("page_id", F.array_join("cells", "|").alias("cells"), F.lit(None).cast("string").alias("problem"))
+    return good.unionByName(bad.select("page_id", F.lit(None).cast("string").alias("cells"), "problem"))
+
+
+@query("""
+select page_id, case page_id % 4 when 0 then 'Congo' when 1 then 'Democratic Republic of the Congo' when 2 then 'São Tomé' end as place,
+ case page_id % 4 when 0 then '1 franc - Lion ' || page_id when 1 then 'Lion, ' || page_id when 2 then page_id || ' - Fish' end as subject from pages""")
+def e_place_suffix(spark, sf_dir):
+    """The longest place that a title ends with, among places that end alike."""
+    k, n = F.col("page_id").cast("string"), F.col("page_id") % 4
+    title = F.when(n == 0, F.concat(F.lit("1 franc - Lion "), k, F.lit(", Congo"))).when(n == 1, F.concat(F.lit("Lion, "), k, F.lit(", democratic  republic of the Congo"))).when(n == 2, F.concat(k, F.lit(" - Fish, Sao Tome"))).otherwise(F.concat(F.lit("Congo, Lion "), k))
+    p = table(spark, sf_dir, "pages").select("page_id", title.alias("title"))
+    places = spark.createDataFrame([("Congo",), ("Republic of the Congo",), ("Democratic Republic of the Congo",), ("São Tomé",), ("",)], "place string")
+    return markup.place_at_end(p, "page_id", "title", places)
