@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 
@@ -100,3 +102,27 @@ def check_approved_plan(plan: DataFrame, *, id_col: str, kind: str, expected_row
     twice = plan.groupBy(id_col, field_col).agg(F.count("*").alias("_n")).where("_n > 1").select(F.col(id_col).cast("string").alias("key"), F.lit("repeated").alias("problem"))
     size = plan.agg(F.count("*").alias("_n")).where(F.col("_n") != expected_rows).select(F.col("_n").cast("string").alias("key"), F.lit("number of rows").alias("problem"))
     return rows.unionByName(twice).unionByName(size)
+
+
+def audit_scan(df: DataFrame, checks: dict[str, tuple[Column, int]]) -> DataFrame:
+    """audit of checks on the rows of one table, in one scan: each is the condition that speaks against a row, and the number
+    expected. Conditions that are null do not hold.
+    """
+    counts = df.agg(*[F.count_if(F.coalesce(test, F.lit(False))).alias(f"_{i}") for i, (test, _) in enumerate(checks.values())])
+    rows = F.array(*[F.struct(F.lit(name).alias("check"), F.lit(expected).cast("long").alias("expected"), F.col(f"_{i}").alias("actual")) for i, (name, (_, expected)) in enumerate(checks.items())])
+    return counts.select(F.inline(rows)).withColumn("status", F.when(F.col("expected") == F.col("actual"), "ok").otherwise("blocked"))
+
+
+def observed(df: DataFrame, checks: dict[str, tuple[Column, int]]) -> tuple[DataFrame, Callable[[], DataFrame]]:
+    """df with the checks riding on it, and a function that gives the audit once an action over that df has run: no scan of
+    their own. (The function waits for the action.)
+    """
+    watch = Observation()
+    out = df.observe(watch, *[F.count_if(F.coalesce(test, F.lit(False))).alias(name) for name, (test, _) in checks.items()])
+
+    def result() -> DataFrame:
+        got = watch.get
+        rows = [(name, expected, got[name], "ok" if got[name] == expected else "blocked") for name, (_, expected) in checks.items()]
+        return df.sparkSession.createDataFrame(rows, "check string, expected long, actual long, status string")
+
+    return out, result

@@ -13,19 +13,17 @@ from catloom.functions.urls import detail_stem
 def match_cascade(items: DataFrame, records: DataFrame, stages: list[tuple[str, Column, Column]], *, item_id: str = "item_id", record_id: str = "record_id", unique: tuple[str, ...] = ()) -> DataFrame:
     """Item to record by the first stage that matches. A stage: name, the items' key, the records' key.
 
-    Stages named in unique need exactly one record; others take the least record_id and say how many there were.
+    Stages named in unique need exactly one record; others take the least record_id and say how many there were. Each stage is
+    one left join; rows that repeat an item_id are matched each by itself.
     """
-    left, out = items, None
-    for name, a, b in stages:
-        own = records.select(b.alias("_k"), F.col(record_id).alias("_r")).where("_k is not null").groupBy("_k").agg(F.min("_r").alias("record_id"), F.count("*").alias("candidates"))
-        hit = left.withColumn("_k", a).join(own, "_k")
+    rows, kind = items, records.schema[record_id].dataType.simpleString()
+    for i, (name, a, b) in enumerate(stages):
+        own = records.select(b.alias(f"_k{i}"), F.col(record_id).alias("_r")).where(f"_k{i} is not null").groupBy(f"_k{i}").agg(F.min("_r").alias("record_id"), F.count("*").alias("candidates"))
         if name in unique:
-            hit = hit.where("candidates = 1")
-        hit = hit.select(F.col(item_id).alias("item_id"), "record_id", "candidates", F.lit(name).alias("stage"))
-        out = hit if out is None else out.unionByName(hit)
-        left = left.join(hit.select(F.col("item_id").alias(item_id)).distinct(), item_id, "left_anti")
-    none = left.select(F.col(item_id).alias("item_id"), F.lit(None).cast(records.schema[record_id].dataType).alias("record_id"), F.lit(0).cast("long").alias("candidates"), F.lit("not_found").alias("stage"))
-    return out.unionByName(none)
+            own = own.where("candidates = 1")
+        rows = rows.join(own.select(f"_k{i}", F.struct("record_id", "candidates", F.lit(name).alias("stage")).alias(f"_m{i}")), a == F.col(f"_k{i}"), "left")
+    none = F.struct(F.lit(None).cast(kind).alias("record_id"), F.lit(0).cast("long").alias("candidates"), F.lit("not_found").alias("stage"))
+    return rows.select(F.col(item_id).alias("item_id"), F.coalesce(*[f"_m{i}" for i in range(len(stages))], none).alias("m")).select("item_id", "m.*")
 
 
 def disambiguate(candidates: DataFrame, item: str, agrees: Column) -> DataFrame:

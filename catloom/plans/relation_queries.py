@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from catloom.functions import records
 from catloom.functions.text import fold_text
-from catloom.operators import contracts, findings, incremental, match, relate, sets, updates
+from catloom.operators import contracts, findings, incremental, match, relate, sets, similar, updates
 from catloom.plans.registry import query, scratch, table
 from catloom.sources import digest_tree, readers, writers
 
@@ -597,3 +597,26 @@ def d_tree_diff(spark, sf_dir):
         digest_tree.write_tree(rows, path, ["doc_id"], leaves=64, fanout=4)
     out = digest_tree.tree_diff(spark, *paths, ["lang", "source", "n_chars"])
     return out.select("doc_id", "status", F.array_join("changed", ",").alias("changed"))
+
+
+@query("""
+select * from (values ('no text', 0), ('no language', 0), ('short', 5), ('long', 0), ('several lines', 0), ('amps', 1), ('negative', 0), ('sizes', 0), ('digits', 0), ('sources', 0)) v("check", expected)
+join (select 'no text' as "check", count(*) filter (where text is null) as actual from documents union all select 'no language', count(*) filter (where lang is null) from documents
+union all select 'short', count(*) filter (where n_chars < 20) from documents union all select 'long', count(*) filter (where n_chars > 20000) from documents union all select 'several lines', count(*) filter (where contains(text, chr(10))) from documents
+union all select 'amps', count(*) filter (where contains(text, '&')) from documents union all select 'negative', count(*) filter (where doc_id < 0) from documents union all select 'sizes', count(*) filter (where n_chars <> length(text)) from documents
+union all select 'digits', count(*) filter (where regexp_matches(text, '[0-9]')) from documents union all select 'sources', count(*) filter (where source = 'src0') from documents) c using ("check")""".replace("select * from (values", "select \"check\", expected, actual, case when expected = actual then 'ok' else 'blocked' end as status from (values"))
+def q_audit_scan(spark, sf_dir):
+    """Ten checks of the documents in one scan."""
+    t, n = F.col("text"), F.col("n_chars")
+    tests = {"no text": t.isNull(), "no language": F.col("lang").isNull(), "short": n < 20, "long": n > 20000, "several lines": t.contains("\n"), "amps": t.contains("&"), "negative": F.col("doc_id") < 0, "sizes": n != F.length(t), "digits": t.rlike("[0-9]"), "sources": F.col("source") == "src0"}
+    expected = {"short": 5, "amps": 1}
+    return contracts.audit_scan(table(spark, sf_dir, "documents"), {k: (c, expected.get(k, 0)) for k, c in tests.items()})
+
+
+@query()
+def m_similar_names(spark, sf_dir):
+    """The three parts of other brands whose names are most alike by the asymmetric ratio, without any block; no SQL has that ratio."""
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size", "p_brand")
+    own = p.select(F.col("p_partkey").alias("item_id"), F.col("p_name").alias("name"), F.lit("").alias("amount"), F.col("p_brand").alias("years"))
+    other = own.withColumnRenamed("item_id", "record_id").withColumn("name", F.regexp_replace("name", "^(.)(.)", "$2$1"))
+    return similar.top_similar(own, other, 3)

@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from catloom.functions import years
-from catloom.operators import filters, order, ranges, shape, stats
+from catloom.operators import filters, folds, order, ranges, shape, stats
 from catloom.plans.registry import query, table
 
 
@@ -320,3 +320,19 @@ def w_range_fill(spark, sf_dir):
     """The last long document before each one; all are one group."""
     d = table(spark, sf_dir, "documents").select("doc_id", F.when(F.col("n_chars") > 15000, F.col("doc_id")).alias("mark"))
     return ranges.forward_fill(d, [], "mark", "doc_id", "section").select("doc_id", "section")
+
+
+@query("""
+with e as (select lang, doc_id, case when doc_id % 3 = 0 then null else lang || (doc_id % 5) end as a, case when doc_id % 4 <> 0 then source when doc_id % 8 = 0 then '' end as b from documents where doc_id is not null),
+l as (select lang, list({'a': a, 'b': b} order by doc_id) as l from e group by 1),
+f as (select lang, len(l) as rows, list_reduce(l, lambda m, r: case when (case when coalesce(r.a, '') <> '' then 1 else 0 end + case when coalesce(r.b, '') <> '' then 1 else 0 end) > (case when coalesce(m.a, '') <> '' then 1 else 0 end + case when coalesce(m.b, '') <> '' then 1 else 0 end)
+  then {'a': case when coalesce(r.a, '') <> '' then r.a else m.a end, 'b': case when coalesce(r.b, '') <> '' then r.b else m.b end} else {'a': case when coalesce(m.a, '') <> '' then m.a else r.a end, 'b': case when coalesce(m.b, '') <> '' then m.b else r.b end} end) as m from l),
+s as (select lang, source, min(doc_id) as seen from documents group by 1, 2)
+select f.lang, rows, m.a as a, m.b as b, (select string_agg(source, ',' order by seen) from s where s.lang = f.lang) as sources from f""")
+def g_fold_stream(spark, sf_dir):
+    """Documents folded in order for each language, one record at a time, and their sources by first appearance."""
+    k = F.col("doc_id")
+    d = table(spark, sf_dir, "documents").select("lang", "doc_id", "source", F.when(k % 3 != 0, F.concat("lang", (k % 5).cast("string"))).alias("a"), F.when(k % 4 != 0, F.col("source")).when(k % 8 == 0, "").alias("b"))
+    merged = folds.dedup_merge_stream(d, ["lang"], "doc_id", ["a", "b"])
+    groups = folds.merge_groups_stream(d, ["lang"], "doc_id", ["a"], "source")
+    return merged.join(groups.select("lang", F.array_join("sources", ",").alias("sources")), "lang")
