@@ -6,9 +6,9 @@ The cheapest flow on this small graph says how many words each pattern gives. Wh
 partial pass takes documents in the order of a seeded hash up to its number of words, and of the last document only the
 words still wanted, so that quotas are met exactly.
 
-The graph has a node for each of the max_patterns largest patterns, whatever the number of documents. Where there are
-more, the documents of the smaller ones count for one source each, the smallest that they have: the graph stays bounded
-and no document is left out. Prefix sums go by hash range and then within a range, never over all rows in one task.
+The graph has a node for each pattern, whatever the number of documents; the plan is made on the driver and broadcast, a row
+for each pattern. There may be ``max_patterns`` of them; more are an error, as no membership is ever changed. Sources that
+share no pattern are solved apart, those with a single pattern by a formula. Prefix sums go by hash range and then within a range, never over all rows in one task.
 
 Defined cases: null and empty texts have size 0 and take 0; a null source is a source, sorted last, and so is a
 null or empty array of sources; repeated rows count each; an empty table gives no rows.
@@ -16,8 +16,6 @@ null or empty array of sources; repeated rows count each; an empty table gives n
 
 from __future__ import annotations
 
-from collections import deque
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,48 +40,97 @@ def capped_targets(sizes: list[int], weights: list[float], passes: int = 3, tota
     return out
 
 
-def min_cost_flow(supply: list[int], members: list[list[int]], quotas: list[int], pass_costs: tuple[float, ...]) -> list[list[int]]:
-    """flow[p][k]: words that pattern p gives to source members[p][k]; as much as can be met, at least cost."""
+def _push(to: list[int], cap: list[int], out: list[list[int]], start: int, end: int) -> None:
+    """Augment until nothing more goes from start to end: blocking flows over levels."""
+    while True:
+        level, reached = {start: 0}, [start]
+        for a in reached:
+            for e in out[a]:
+                if cap[e] > 0 and to[e] not in level:
+                    level[to[e]] = level[a] + 1
+                    reached.append(to[e])
+        if end not in level:
+            return
+        at, path, a = dict.fromkeys(level, 0), [], start
+        while True:
+            if a == end:
+                least = min(cap[e] for e in path)
+                for e in path:
+                    cap[e] -= least
+                    cap[e ^ 1] += least
+                full = next(i for i, e in enumerate(path) if not cap[e])
+                a = to[path[full] ^ 1]
+                del path[full:]
+                continue
+            while at[a] < len(out[a]) and not (cap[out[a][at[a]]] > 0 and level.get(to[out[a][at[a]]]) == level[a] + 1):
+                at[a] += 1
+            if at[a] < len(out[a]):
+                path.append(out[a][at[a]])
+                a = to[path[-1]]
+            elif path:
+                a = to[path.pop() ^ 1]
+                at[a] += 1
+            else:
+                break
+
+
+def _component_flow(supply: list[int], members: list[list[int]], quotas: list[int], n_passes: int) -> list[list[int]]:
+    """min_cost_flow of patterns and sources that hang together."""
     n_p, n_s = len(supply), len(quotas)
     start, end = n_p + n_s, n_p + n_s + 1
-    to, cap, cost, out = [], [], [], [[] for _ in range(n_p + n_s + 2)]
+    to, cap, out = [], [], [[] for _ in range(n_p + n_s + 2)]
 
-    def arc(a: int, b: int, c: int, w: float) -> int:
-        for x, y, z, v in ((a, b, c, w), (b, a, 0, -w)):
+    def arc(a: int, b: int, c: int) -> int:
+        for x, y, z in ((a, b, c), (b, a, 0)):
             out[x].append(len(to))
             to.append(y)
             cap.append(z)
-            cost.append(v)
         return len(to) - 2
 
-    for p, size in enumerate(supply):
-        for w in pass_costs:
-            arc(start, p, size, w)
-    arcs = [[arc(p, n_p + s, quotas[s], 0.0) for s in own] for p, own in enumerate(members)]
+    offers = [arc(start, p, 0) for p in range(n_p)]
+    arcs = [[arc(p, n_p + s, quotas[s]) for s in own] for p, own in enumerate(members)]
     for s, quota in enumerate(quotas):
-        arc(n_p + s, end, quota, 0.0)
-    while True:
-        best, via, queue, queued = [float("inf")] * len(out), [-1] * len(out), deque([start]), {start}
-        best[start] = 0.0
-        while queue:
-            a = queue.popleft()
-            queued.discard(a)
-            for e in out[a]:
-                if cap[e] > 0 and best[a] + cost[e] < best[to[e]] - 1e-12:
-                    best[to[e]], via[to[e]] = best[a] + cost[e], e
-                    if to[e] not in queued:
-                        queue.append(to[e])
-                        queued.add(to[e])
-        if via[end] < 0:
-            return [[cap[e ^ 1] for e in own] for own in arcs]
-        path, x = [], end
-        while x != start:
-            path.append(via[x])
-            x = to[via[x] ^ 1]
-        least = min(cap[e] for e in path)
-        for e in path:
-            cap[e] -= least
-            cap[e ^ 1] += least
+        arc(n_p + s, end, quota)
+    for _ in range(n_passes):
+        for e, size in zip(offers, supply, strict=True):
+            cap[e] += size
+        _push(to, cap, out, start, end)
+    return [[cap[e ^ 1] for e in own] for own in arcs]
+
+
+def min_cost_flow(supply: list[int], members: list[list[int]], quotas: list[int], pass_costs: tuple[float, ...]) -> list[list[int]]:
+    """flow[p][k]: words that pattern p gives to source members[p][k]; as much as can be met, at least cost.
+
+    Costs lie on the passes alone and rise, so shortest paths are those that begin with the cheapest pass that is open: the
+    cheapest flow is a largest flow of the first passes, enlarged by the second ones, and so on. Sources that share no pattern
+    are apart: a source that has one pattern of its own gets what that gives; others are solved with those they hang together.
+    """
+    if list(pass_costs) != sorted(pass_costs):
+        raise ValueError("passes must not get cheaper")
+    parent = list(range(len(quotas)))
+
+    def root(s: int) -> int:
+        while parent[s] != s:
+            parent[s] = parent[parent[s]]
+            s = parent[s]
+        return s
+
+    for own in members:
+        for s in own[1:]:
+            parent[root(s)] = root(own[0])
+    groups: dict[int, list[int]] = {}
+    for p, own in enumerate(members):
+        groups.setdefault(root(own[0]), []).append(p)
+    flow: list[list[int]] = [[] for _ in supply]
+    for own in groups.values():
+        if len(own) == 1 and len(members[own[0]]) == 1:
+            flow[own[0]] = [min(quotas[members[own[0]][0]], len(pass_costs) * supply[own[0]])]
+            continue
+        names = sorted({s for p in own for s in members[p]})
+        at = {s: i for i, s in enumerate(names)}
+        for p, f in zip(own, _component_flow([supply[p] for p in own], [[at[s] for s in members[p]] for p in own], [quotas[s] for s in names], len(pass_costs)), strict=True):
+            flow[p] = f
+    return flow
 
 
 def n_words(text: Column) -> Column:
@@ -110,42 +157,24 @@ def _features(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
     return {"pattern": pattern, "size": size, "h": seeded(seed, docs[id_col], size)}
 
 
-def _folds(rows: DataFrame, most: int) -> DataFrame | None:
-    """pkey and fold (the smallest source) of the patterns of rows beyond the ``most`` largest; None where there are no more."""
-    sizes = rows.groupBy(_key(F.col("pattern")).alias("pkey")).agg(F.first("pattern").alias("pattern"), F.sum("size").alias("size"))
-    if sizes.limit(most + 1).count() <= most:
-        return None
-    sizes = stored(sizes, "mix-patterns")
-    kept = sizes.orderBy(F.desc("size"), "pkey").limit(most).select("pkey")
-    single = sizes.select("pkey", "size", F.explode("pattern").alias("source")).withColumn("fold", _key(F.array("source")))
-    totals = single.groupBy("fold").agg(F.sum("size").alias("total"))
-    return single.join(kept, "pkey", "left_anti").join(totals, "fold").groupBy("pkey").agg(F.min(F.struct("total", "fold", "source")).alias("fold"))
-
-
-def _folded(rows: DataFrame, folds: DataFrame | None, p: str = "") -> DataFrame:
-    """rows with the key of their pattern (columns carry the prefix p), after folding."""
-    rows = rows.withColumn(f"{p}pkey", _key(F.col(f"{p}pattern")))
-    if folds is None:
-        return rows
-    folds = folds.select(F.col("pkey").alias(f"{p}pkey"), F.col("fold").alias(f"{p}fold"))
-    some = F.col(f"{p}fold").isNotNull()
-    rows = rows.join(folds, f"{p}pkey", "left").withColumn(f"{p}pattern", F.when(some, F.array(f"{p}fold.source")).otherwise(F.col(f"{p}pattern")))
-    return rows.withColumn(f"{p}pkey", F.when(some, F.col(f"{p}fold.fold")).otherwise(F.col(f"{p}pkey"))).drop(f"{p}fold")
-
-
-def plan_mix(rows: DataFrame, *, weights: dict | None = None, passes: int = 3, pass_costs: tuple[float, ...] = (0.0, 1.0, 3.0)) -> DataFrame:
+def plan_mix(rows: DataFrame, most: int, *, weights: dict | None = None, passes: int = 3, pass_costs: tuple[float, ...] = (0.0, 1.0, 3.0)) -> DataFrame:
     """rows: pkey, pattern, size, h of each document. For each pattern what it gives, and where its partial pass ends.
 
-    One row per pattern (a bounded number after folding): pkey, whole (full passes), source_size and target of its first source, cut
+    One row per pattern (most of them, more are an error): pkey, whole (full passes), source_size and target of its first source, cut
     (documents whose h is below it are in the partial pass) and share (words taken of each document at the cut).
     """
     spark = rows.sparkSession
-    got = rows.groupBy("pkey").agg(F.first("pattern").alias("pattern"), F.sum("size").alias("size")).collect()  # a bounded number after folding
+    got = rows.groupBy("pkey").agg(F.first("pattern").alias("pattern"), F.sum("size").alias("size")).limit(most + 1).collect()
+    if len(got) > most:
+        raise ValueError(f"more than {most} patterns of sources: join rare sources or raise max_patterns")
     patterns = sorted(((list(r["pattern"]), r["size"]) for r in got), key=lambda x: [(s is None, s or "") for s in x[0]])
     names = sorted({s for own, _ in patterns for s in own}, key=lambda s: (s is None, s or ""))
     at = {s: i for i, s in enumerate(names)}
     members, supply = [[at[s] for s in own] for own, _ in patterns], [size for _, size in patterns]
-    sizes = [sum(n for own, n in zip(members, supply, strict=True) if i in own) for i in range(len(names))]
+    sizes = [0] * len(names)
+    for own, n in zip(members, supply, strict=True):
+        for i in own:
+            sizes[i] += n
     weight = [float((weights or {}).get(s, 0 if weights else i % 3 + 1)) for i, s in enumerate(names)]
     if any(w <= 0 for w in weight):
         raise ValueError("every source needs a weight above 0")
@@ -183,7 +212,7 @@ def _split(options: dict) -> tuple[dict, dict, int]:
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
-    """doc_id, pattern (array of sources, after folding), size, source_size, target and taken (words, repeats counted) of each row.
+    """doc_id, pattern (array of sources), size, source_size, target and taken (words, repeats counted) of each row.
 
     Options: id_col, text_col, sources (a column with a source or an array of them), seed, max_patterns, and those of plan_mix.
     weights: of each source by name; by default 1, 2, 3 repeating in code point order, null last.
@@ -191,8 +220,8 @@ def mix(docs: DataFrame, **options) -> DataFrame:
     where, own, most = _split(options)
     features = _features(docs, **where)
     rows = stored(docs.select(docs[where.get("id_col", "doc_id")].alias("doc_id"), *[c.alias(n) for n, c in features.items()]), "mix")
-    rows = _folded(rows, _folds(rows, most))
-    return rows.join(F.broadcast(plan_mix(rows, **own)), "pkey").select("doc_id", "pattern", "size", "source_size", "target", _taken().alias("taken"))
+    rows = rows.withColumn("pkey", _key(F.col("pattern")))
+    return rows.join(F.broadcast(plan_mix(rows, most, **own)), "pkey").select("doc_id", "pattern", "size", "source_size", "target", _taken().alias("taken"))
 
 
 def mix_digest(docs: DataFrame, **options) -> DataFrame:
@@ -204,11 +233,10 @@ def repeated(docs: DataFrame, **options) -> DataFrame:
     (where, own, most), columns, p = _split(options), docs.columns, free_prefix(docs, "_mix_")
     features = _features(docs, **where)
     rows = stored(docs.select(*[c.alias(n) for n, c in features.items()]), "mix")
-    folds = _folds(rows, most)
-    plan = plan_mix(_folded(rows, folds), **own)
+    plan = plan_mix(rows.withColumn("pkey", _key(F.col("pattern"))), most, **own)
     plan = F.broadcast(plan.select(*[F.col(c).alias(p + c) for c in plan.columns]))
     text_col = where.get("text_col", "text")
-    got = _folded(docs.select("*", *[c.alias(p + n) for n, c in features.items()]), folds, p).join(plan, f"{p}pkey")
+    got = docs.select("*", *[c.alias(p + n) for n, c in features.items()], _key(features["pattern"]).alias(f"{p}pkey")).join(plan, f"{p}pkey")
     part = F.when(F.col(f"{p}h") < F.col(f"{p}cut"), F.col(f"{p}size")).when(F.col(f"{p}h") == F.col(f"{p}cut"), F.least(f"{p}share", f"{p}size")).otherwise(F.lit(0))
     text = F.col(text_col)
     cut = F.array_join(F.slice(F.regexp_extract_all(text, F.lit(rf"[\x20\x09-\x0D]*{WORD}"), F.lit(0)), 1, part.cast("int")), "")

@@ -1,5 +1,6 @@
 """Cases that once went wrong: odd characters, empty arrays, repeated ids, hot keys, null item ids."""
 
+import time
 import random
 import zlib
 from collections import Counter
@@ -54,12 +55,49 @@ def test_mixing_keeps_rows_without_sources(spark):
     assert sorted(got) == [1, 2, 3, 4] and got[2]["source_size"] == got[3]["source_size"] == 8
 
 
-def test_mixing_of_more_patterns_than_the_graph_takes(spark):
+def test_mixing_of_many_patterns_keeps_their_memberships(spark):
     rows = spark.range(2000).select(F.col("id").alias("doc_id"), F.repeat(F.lit("w "), (F.col("id") % 7).cast("int")).alias("text"), F.array((F.col("id") % 40).cast("string"), ((F.col("id") * 7 + 3) % 41).cast("string")).alias("source"))
-    got = mixing.mix(rows, max_patterns=50).agg(F.count("*").alias("n"), F.sum("taken").alias("t"), F.max(F.col("taken") - 3 * F.col("size")).alias("over")).first()
+    got = mixing.mix(rows).agg(F.count("*").alias("n"), F.sum("taken").alias("t"), F.max(F.col("taken") - 3 * F.col("size")).alias("over"), F.min(F.size("pattern")).alias("least")).first()
     total = rows.agg(F.sum(mixing.n_words(F.col("text")))).first()[0]
-    assert got["n"] == 2000 and got["over"] <= 0 and got["t"] > 0.95 * total
-    assert abs(mixing.repeated(rows, max_patterns=50).agg(F.sum(mixing.n_words(F.col("text")))).first()[0] - got["t"]) <= 50
+    assert got["n"] == 2000 and got["over"] <= 0 and got["t"] > 0.95 * total and got["least"] == 1  # both sources the same
+    assert abs(mixing.repeated(rows).agg(F.sum(mixing.n_words(F.col("text")))).first()[0] - got["t"]) <= 50
+    with pytest.raises(ValueError, match="patterns"):
+        mixing.mix(rows, max_patterns=50)
+
+
+def test_flow_is_the_cheapest_and_fast():
+    def plain(supply, members, quotas, costs):
+        """Total and cost by trying every single word along the cheapest way (Bellman-Ford), on tiny graphs."""
+        n_p, n_s = len(supply), len(quotas)
+        arcs = [[0, 1 + p, supply[p], c] for p in range(n_p) for c in costs] + [[1 + p, 1 + n_p + s, 10**6, 0] for p in range(n_p) for s in members[p]] + [[1 + n_p + s, 1 + n_p + n_s, quotas[s], 0] for s in range(n_s)]
+        arcs = [x for a, b, c, w in arcs for x in ([a, b, c, w], [b, a, 0, -w])]
+        total = cost = 0
+        while True:
+            best = {0: (0, [])}
+            for _ in range(n_p + n_s + 2):
+                for k, (a, b, c, w) in enumerate(arcs):
+                    if c and a in best and (b not in best or best[a][0] + w < best[b][0]):
+                        best[b] = (best[a][0] + w, [*best[a][1], k])
+            if 1 + n_p + n_s not in best:
+                return total, cost
+            w, way = best[1 + n_p + n_s]
+            total, cost = total + 1, cost + w
+            for k in way:
+                arcs[k][2] -= 1
+                arcs[k ^ 1][2] += 1
+
+    rng = random.Random(5)
+    for _ in range(40):
+        n_s = rng.randrange(1, 5)
+        members = [sorted(rng.sample(range(n_s), rng.randrange(1, n_s + 1))) for _ in range(rng.randrange(1, 5))]
+        supply, quotas, costs = [rng.randrange(5) for _ in members], [rng.randrange(9) for _ in range(n_s)], (0, 1, 3)
+        flow = mixing.min_cost_flow(supply, members, quotas, costs)
+        assert all(sum(f[own.index(s)] for f, own in zip(flow, members, strict=True) if s in own) <= q for s, q in enumerate(quotas))
+        cost = sum(sum(w * min(n, max(0, sum(f) - k * n)) for k, w in enumerate(costs)) for f, n in zip(flow, supply, strict=True))
+        assert all(sum(f) <= 3 * n for f, n in zip(flow, supply, strict=True)) and (sum(map(sum, flow)), cost) == plain(supply, members, quotas, costs)
+    n = 100_000
+    began = time.perf_counter()
+    assert mixing.min_cost_flow([5] * n, [[i] for i in range(n)], [7] * n, (0.0, 1.0, 3.0)) == [[7]] * n and time.perf_counter() - began < 20
 
 
 @pytest.mark.parametrize("parts", [1, 3])
