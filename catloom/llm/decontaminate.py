@@ -10,8 +10,8 @@ more than half of its places. An item leaks into a document when the windows tha
 Whether a capitalised word starts a sentence depends on the text and line breaks before it. An item's windows are
 therefore looked up with such words under either code; under the other one the word itself must be the same.
 
-The benchmark goes to the tasks in blocks of at most ``block_windows`` windows, each searched in all documents; a usual
-benchmark is one block. Items that are equal in id and text are one; a block takes at most that many distinct items.
+The benchmark goes to the tasks in blocks of about ``block_windows`` windows (counted with those under the other code), each searched in all documents; a usual
+benchmark is one block. Items that are equal in id and text are one; items are dealt to blocks by a hash.
 
 Defined cases: null and empty texts match nothing; an item with a null id is reported with a null id; an item with fewer tokens than a window is one window of its own
 length; items of placeholders alone match where all of them stand in a row with equal values; items without tokens match
@@ -146,6 +146,7 @@ class Windows:
             h, k, q = (np.concatenate(x) for x in zip(*parts, strict=True))
             order = np.argsort(h, kind="stable")
             self.by_size[size] = (h[order], k[order], q[order])
+        self.n = sum(len(h) for h, _, _ in self.by_size.values())
 
     def leaks(self, text: str, least: int, literal: int) -> list[tuple[int | None, int, int, int]]:
         """item, tokens covered, tokens of the item and slots, of each item that leaks into a text."""
@@ -208,8 +209,12 @@ def _blocks(benchmark: DataFrame, window: int, block_windows: int, item_col: str
     spark = benchmark.sparkSession
     small_batches(spark)
     items = benchmark.select(benchmark[item_col].cast("long").alias("item_id"), text_of(benchmark, item_text_col).alias("text")).where("text <> ''").distinct()
-    words = items.agg(F.sum(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")))).first()[0] or 0
-    blocks = max(1, -(-words // block_windows))
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in steps(batches):
+            yield pa.RecordBatch.from_arrays([pa.array([Windows([(None, t)], window).n for t in batch["text"].to_pylist()], pa.int64())], ["n"])
+
+    made = items.select("text").mapInArrow(count, "n long").agg(F.sum("n")).first()[0] or 0
+    blocks = max(1, -(-made // block_windows))
     for b in range(blocks):
         own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).collect()
         yield spark.sparkContext.broadcast(Windows(sorted(((r["item_id"], r["text"]) for r in own), key=lambda x: (x[0] is None, x[0] or 0, x[1])), window))

@@ -2,6 +2,7 @@
 
 import pytest
 
+from catloom.llm import decontaminate
 from catloom.llm.decontaminate import Windows
 
 
@@ -52,3 +53,14 @@ def test_a_slot_still_stands_for_any_name():
     item = "What did Maria say to the 3 men at the gate of the old town before noon?"
     assert found(item, "tell me: " + item.replace("Maria", "Olga").replace("3", "8"))
     assert found(item, "please tell me, What did Olga say to the 8 men at the gate of the old town before noon?")
+
+
+def test_blocks_count_windows_under_either_code(spark):
+    item = " ".join(f"Word{i}. Other{i} goes." for i in range(60))
+    made = Windows([(None, item)], 8).n
+    assert made > 4 * len(item.split())  # many words may start a sentence or not
+    rows = spark.createDataFrame([(i, f"{item} {i}") for i in range(12)], "item_id long, text string")
+    held = [b.value for b in decontaminate._blocks(rows, 8, 3 * made, "item_id", "text")]
+    assert len(held) >= 4 and sorted(i for b in held for i in b.ids) == list(range(12)) and sum(b.n for b in held) >= 12 * made
+    docs = spark.createDataFrame([(7, f"before. {item} 7")], "doc_id long, text string")
+    assert {r["item_id"] for r in decontaminate.leaks(docs, rows, block_windows=3 * made).collect()} == set(range(12))
