@@ -15,9 +15,10 @@ the links come in steps, and each candidate is verified on the whole sets:
    (one-permutation MinHash) as well: first each set's nearest, which connect most; then all that may be alike and are
    still of different components.
 
-Sizes and places exclude no pair at 0.8. Fingerprints and sketches are estimates: of pairs at 0.8 about one in several
-thousand differs in more than 20 bits or shows less than four standard deviations below 0.8, and is missed unless others
-connect it.
+Sizes and places exclude no pair at 0.8. Fingerprints and sketches are estimates: a pair of long texts at 0.8 differs in more
+than 24 bits about three times in a million, and then is missed unless others connect it; short ones are not told apart by
+bits at all. A sketch lies six standard deviations below 0.8 less than once in a hundred million; one of a short text holds
+nearly all of its shingles.
 
 Equal sets are one from the start. A large group of near copies thus costs about its size and not its square.
 Verification counts common shingles by the low 32 bits of their hashes: two that differ are taken for one once in 2^32.
@@ -42,8 +43,9 @@ from catloom.llm.simhash import components, leaders, majority, near_links
 SIZE, ALIKE = 5, (4, 5)  # similarity as a fraction
 FEW, SHARD = 8, 1024  # sets of a bucket whose pairs come from a join, and of the shards that a task holds of larger ones
 MANY = 1_000_000  # pairs that a task gathers before it gives them
-BINS, SPREAD = 256, 4  # of a sketch; standard deviations that its estimate may lie below 0.8
-WIDE = 20  # bits: at a similarity of 0.8 a bit differs with chance 0.15, more than 20 of 64 do with chance 2 in 10,000
+BINS, SPREAD = 256, 6  # of a sketch; standard deviations that its estimate may lie below 0.8
+WIDE = 24  # bits: at a similarity of 0.8 a bit differs with chance 0.15, more than 24 of 64 do with chance 3 in a million
+LONG = 64  # shingles that both sets must have for their bits to tell anything: few shingles differ by chance in more bits
 SAMPLE, FREQUENT = 20_000, 1_000_000  # texts that tell which shingles are frequent, and how many of these go to the tasks
 SLOTS = 1 << 21  # of the bitmap that tells which texts are no candidates
 
@@ -170,7 +172,7 @@ def _verified(pairs: DataFrame, marks: DataFrame, rows: DataFrame, size: int) ->
 def _may(x: str, y: str) -> Column:
     """Whether sets can be alike, by their sizes (n) and fingerprints (bits); x, y: how the columns of either begin."""
     n, m = F.col(f"{x}n"), F.col(f"{y}n")
-    return (ALIKE[1] * F.least(n, m) >= ALIKE[0] * F.greatest(n, m)) & (F.bit_count(F.col(f"{x}bits").bitwiseXOR(F.col(f"{y}bits"))) <= WIDE)
+    return (ALIKE[1] * F.least(n, m) >= ALIKE[0] * F.greatest(n, m)) & ((F.least(n, m) < LONG) | (F.bit_count(F.col(f"{x}bits").bitwiseXOR(F.col(f"{y}bits"))) <= WIDE))
 
 
 def _possible(pairs: DataFrame, named: DataFrame) -> DataFrame:
@@ -207,6 +209,7 @@ def _within(members: DataFrame, nearest: bool) -> DataFrame:
         (fp, n, bits, root, i), (gp, m, cits, soot, j) = ([np.asarray(v) for v in row[k : k + 5]] for k in (0, 6))
         u, v = (np.frombuffer(b"".join(row[k]), np.uint8).reshape(-1, BINS) for k in (5, 11))
         ok = np.bitwise_count(bits.view(np.uint64)[:, None] ^ cits.view(np.uint64)[None, :]) <= WIDE
+        ok |= np.minimum(n[:, None], m[None, :]) < LONG
         ok &= root[:, None] != soot[None, :]
         x, y = np.nonzero(ok)
         n, m, i, j = n[x], m[y], i[x], j[y]
