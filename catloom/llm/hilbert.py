@@ -5,9 +5,11 @@ point prefix among its rows, each quantised to a few bits. The curve index of th
 order with equal bytes become shards, so a file covers a small box of the metadata and filters on them skip files.
 
 Prefix sums have levels: bytes per curve cell (their number is fixed by the quantisation), per part of a cell (a fixed
-number of hash ranges of the text), per group. A group with more bytes or more rows than a quarter of a shard's is
-divided over hash parts of its own, as equal sizes come first then; all others stay whole. Its parts go by doc_id, and by
-a number of the row where that is null, so that many rows without text or id are not one task's work.
+number of hash ranges of the text), per group. A group with more bytes or more rows than a quarter of a shard's, or more
+than a stated number of either, is divided over hash parts of its own, as equal sizes come first then; all others stay
+whole. Its parts go by doc_id, and by a number of the row where that is null, so that many rows without text or id are not
+one task's work. A group that holds more than a 16,384th of all rows is joined with its point by a broadcast; fewer than
+16,384 groups can.
 
 Defined cases: null text has size 1 and the checksum of no bytes; null metadata count as empty strings; repeated rows
 and null ids each get a slot; an empty table gives no rows.
@@ -21,9 +23,8 @@ from pyspark.sql import functions as F
 from catloom.llm.common import free_prefix, stored, text_of
 
 
-def _rotl(x: int, k: int, n: int) -> int:
-    k %= n
-    return ((x << k) | (x >> (n - k))) & ((1 << n) - 1)
+HOT = 16_384  # groups with more than this part of all rows find their point where they lie
+MANY_ROWS, MANY_BYTES = 1_000_000, 1 << 30  # of a group that one task may number
 
 
 def curve_tables(n: int) -> tuple[list[int], list[int], list[int]]:
@@ -73,7 +74,7 @@ def _rank(c: Column, cuts: Column, top: int) -> Column:
     return F.least(F.size(F.filter(cuts, lambda x: x < c)), F.lit(top))
 
 
-def hilbert_shards(docs: DataFrame, *, shards: int = 8, bits: int = 5, parts: int = 256, id_col: str = "doc_id", text_col: str = "text", metadata: tuple[str, ...] = ("source", "lang")) -> DataFrame:
+def hilbert_shards(docs: DataFrame, *, shards: int = 8, bits: int = 5, parts: int = 256, many_rows: int = MANY_ROWS, many_bytes: int = MANY_BYTES, hot: int = HOT, id_col: str = "doc_id", text_col: str = "text", metadata: tuple[str, ...] = ("source", "lang")) -> DataFrame:
     """doc_id, size (bytes of the text plus 1), text_crc32, curve index, shard and slot (gapless from 0 in each shard)."""
     top = (1 << bits) - 1
     text = text_of(docs, text_col)
@@ -88,12 +89,12 @@ def hilbert_shards(docs: DataFrame, *, shards: int = 8, bits: int = 5, parts: in
     quantiles = [i / (top + 1) for i in range(1, top + 1)]
     cuts = groups.agg(F.sum("bytes").alias("total"), F.sum("rows").alias("total_rows"), *[F.array_distinct(F.percentile_approx(n, quantiles, 10_000)).alias(f"{n}_cuts") for n in ("each", *names)])
     # one row: the total and at most 2**bits cut points a dimension
-    point = groups.crossJoin(F.broadcast(cuts)).select(*group, "bytes", "rows", hilbert_index([_rank(F.col(n), F.col(f"{n}_cuts"), top) for n in ("each", *names)], bits).alias("curve"), ((F.col("bytes") > F.col("total") / (4 * shards)) | (F.col("rows") > F.col("total_rows") / (4 * shards))).alias("large"))
-    point = stored(point.select(*group, "curve", "large"), "hilbert-points")
-    # fewer than 8 * shards groups can be large: their rows find their point where they lie, all others by a shuffle
-    large = F.broadcast(point.where("large").select(*group, "curve", "large"))
-    others = rows.join(large, group, "left_anti").join(point.where("not large"), group)
-    rows = rows.join(large, group).unionByName(others).withColumn("part", F.pmod("h", F.lit(parts)))
+    point = groups.crossJoin(F.broadcast(cuts)).select(*group, "bytes", "rows", hilbert_index([_rank(F.col(n), F.col(f"{n}_cuts"), top) for n in ("each", *names)], bits).alias("curve"), ((F.col("bytes") > F.least(F.col("total") / (4 * shards), F.lit(many_bytes))) | (F.col("rows") > F.least(F.col("total_rows") / (4 * shards), F.lit(many_rows)))).alias("large"), (F.col("rows") > F.col("total_rows") / hot).alias("hot"))
+    point = stored(point.select(*group, "curve", "large", "hot"), "hilbert-points")
+    # fewer than `hot` groups can be hot: their rows find their point where they lie, all others by a shuffle
+    broad = F.broadcast(point.where("hot").select(*group, "curve", "large"))
+    others = rows.join(broad, group, "left_anti").join(point.where("not hot").select(*group, "curve", "large"), group)
+    rows = rows.join(broad, group).unionByName(others).withColumn("part", F.pmod("h", F.lit(parts)))
     rows = rows.withColumn("piece", F.when(F.col("large"), F.col("deal")).otherwise(F.lit(0)))
     unit = ["curve", "part", "h", "h2", "piece"]
     units = rows.groupBy(*unit).agg(F.sum("size").alias("bytes"), F.count("*").alias("n"))

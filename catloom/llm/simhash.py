@@ -4,8 +4,9 @@ A fingerprint is computed from a whole text in one pass over its own partition.
 a group of exact copies is one from here on. Two fingerprints that differ in at most 3 of 64 bits agree on at least two
 of five bit blocks (of radius + 2 blocks for other radii); each of the block pairs with its bits is a bucket, and whoever may link meets in one. The members
 of a bucket form BK-trees of a bounded number of nodes (children keyed by Hamming distance to the parent); a larger bucket
-becomes several shard trees, and every pair of shards is searched, so that no link is lost. The trees go to their bucket's
-tasks by the shuffle rather than by a broadcast, as together they grow with the data. A search reports one link
+becomes several shard trees, and every pair of shards is searched, so that no link is lost; pairs of shards are told from
+the shards' numbers and dealt to tasks one by one, so that no task holds a large bucket. The trees go to the tasks by the
+shuffle rather than by a broadcast, as together they grow with the data. A search reports one link
 to a root for each member that has any (union by search), never all pairs. Components then come from alternating
 large-star and small-star steps, each written to the shared folder.
 
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catloom.llm.common import free_prefix, one_each, small_batches, steps, stored, text_of
+from catloom.llm.common import free_prefix, one_each, shuffle_partitions, small_batches, steps, stored, text_of
 
 RADIUS = 3
 TREE_NODES = 2048
@@ -134,15 +135,21 @@ def near_links(distinct: DataFrame, *, radius: int = RADIUS, tree_nodes: int = T
     keys = [(F.call_function("shiftleft", part(i) * (1 << wide) + part(j), F.lit(few)) + k) for k, (i, j) in enumerate(combinations(range(len(own)), 2))]
     keyed = distinct.select("fp", F.explode(F.array(*keys)).alias("key"))
     counts = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    shards = keyed.join(counts, "key").withColumn("shard", F.pmod(F.xxhash64("fp"), F.ceil(F.col("n") / tree_nodes)).cast("int"))
-    trees = shards.groupBy("key", "shard").agg(F.collect_list("fp").alias("fps"))  # about tree_nodes at most
-    pairs = trees.alias("t").join(trees.alias("q"), (F.col("t.key") == F.col("q.key")) & (F.col("t.shard") <= F.col("q.shard"))).select(F.col("t.fps").alias("tree"), F.col("q.fps").alias("queries"))
+    shards = keyed.join(counts, "key").withColumn("k", F.ceil(F.col("n") / tree_nodes).cast("int")).withColumn("shard", F.pmod(F.xxhash64("fp"), F.col("k")).cast("int"))
+    trees = stored(shards.groupBy("key", "k", "shard").agg(F.collect_list("fp").alias("fps")), "simhash-trees")  # about tree_nodes at most
+    # a bucket of one tree is searched where it lies; of larger ones each pair of shards is dealt to a task by itself
+    alone = trees.where("k = 1").select(F.col("fps").alias("tree"), F.col("fps").alias("queries"))
+    several = trees.where("k > 1")
+    other = several.select("key", F.col("shard").alias("s"), F.explode(F.sequence("shard", F.col("k") - 1)).alias("t"))
+    sides = [several.select("key", F.col("shard").alias(c), F.col("fps").alias(f)) for c, f in (("s", "tree"), ("t", "queries"))]
+    dealt = other.join(sides[0], ["key", "s"]).join(sides[1], ["key", "t"]).repartition(shuffle_partitions(distinct.sparkSession), "key", "s", "t").select("tree", "queries")
+    pairs = alone.unionByName(dealt)
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out: list[tuple[int, int]] = []
             for tree, queries in zip(pdf["tree"], pdf["queries"], strict=True):
-                if len(tree) == 2 and len(queries) == 2:  # a tree of one edge
+                if len(tree) == len(queries) == 2 and tree[0] == queries[0]:  # one tree of one edge; two trees share no member
                     if ((int(tree[0]) ^ int(tree[1])) & (2**64 - 1)).bit_count() <= radius:
                         out.append((int(tree[0]), int(tree[1])))
                 else:
@@ -154,7 +161,7 @@ def near_links(distinct: DataFrame, *, radius: int = RADIUS, tree_nodes: int = T
 
 
 def components(links: DataFrame, *, tag: str = "links") -> DataFrame:
-    """links: a < b. node and root (the least node it reaches) of every node in a link; alternating star steps, until they settle."""
+    """links: a < b. node and root (the least node it reaches) of every node in a link that is no root; alternating star steps, until they settle."""
     edges = stored(links.select("a", "b").where("a < b").distinct(), tag)
     last = None
     while True:
