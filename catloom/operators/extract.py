@@ -128,6 +128,7 @@ def design_description(c: Column, stops: list[str] = ()) -> Column:
 
 
 _MARK = r"(?:^|[\s;:(])(\d{1,3})[).:]\s+"
+_CHUNK = 64  # marks that a fold gathers before it adds them to the others
 
 
 def numbered(docs: DataFrame, doc_id: str, text: str, shared: str | None = None, stops: list[str] = ()) -> DataFrame:
@@ -135,23 +136,34 @@ def numbered(docs: DataFrame, doc_id: str, text: str, shared: str | None = None,
     with it, other numbers are text. Lists with an empty entry are out; text after `shared` in the last entry is all entries'.
     """
     marks = F.regexp_extract_all(text, F.lit(_MARK), F.lit(1))
-    parts = F.split(text, _MARK, -1)
-    start = F.struct(F.lit(0).alias("list"), F.lit(0).alias("n"), F.array().cast("array<struct<list:int,n:int,entry:string>>").alias("out"))
-    zipped = F.zip_with(marks, F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), lambda m, t: F.struct(m.cast("int").alias("m"), t.alias("t")))
+    kept_type = "array<struct<list:int,n:int,i:int>>"
+    state = lambda lst, n, kept: F.struct(lst.alias("list"), n.alias("n"), kept.alias("kept"))
 
     def step(acc: Column, x: Column) -> Column:
         opens, goes = x["m"] == 1, (acc["list"] > 0) & (x["m"] == acc["n"] + 1)
-        new = F.concat(acc["out"], F.array(F.struct(F.when(opens, acc["list"] + 1).otherwise(acc["list"]).alias("list"), x["m"].alias("n"), x["t"].alias("entry"))))
-        last = F.element_at(acc["out"], -1)
-        longer = F.concat(F.slice(acc["out"], 1, F.greatest(F.size(acc["out"]) - 1, F.lit(0))), F.array(F.struct(last["list"].alias("list"), last["n"].alias("n"), F.concat(last["entry"], F.lit(" "), x["m"].cast("string"), F.lit(" "), x["t"]).alias("entry"))))
-        return (
-            F.when(opens, F.struct((acc["list"] + 1).alias("list"), F.lit(1).alias("n"), new.alias("out")))
-            .when(goes, F.struct(acc["list"].alias("list"), x["m"].alias("n"), new.alias("out")))
-            .when(F.size(acc["out"]) > 0, F.struct(acc["list"].alias("list"), acc["n"].alias("n"), longer.alias("out")))
-            .otherwise(acc)
-        )
-
-    rows = docs.select(doc_id, F.inline(F.reduce(zipped, start, step)["out"])).withColumn("entry", design_description(F.col("entry"), stops))
+        lst = F.when(opens, acc["list"] + 1).otherwise(acc["list"])
+        own = F.struct(lst.alias("list"), x["m"].alias("n"), x["i"].alias("i"))
+        return F.when(opens | goes, state(lst, x["m"], F.concat(acc["kept"], F.array(own)))).otherwise(acc)
+
+    def chunk(acc: Column, c: Column) -> Column:
+        # what a chunk keeps is gathered apart, so that the whole is copied once for each chunk and not for each mark
+        some = F.slice(F.col("_marks"), c * _CHUNK + 1, F.lit(_CHUNK))
+        got = F.reduce(some, state(acc["list"], acc["n"], F.array().cast(kept_type)), step)
+        return state(got["list"], got["n"], F.concat(acc["kept"], got["kept"]))
+
+    placed = docs.select(doc_id, F.split(text, _MARK, -1).alias("_parts"), F.transform(marks, lambda m, i: F.struct(m.cast("int").alias("m"), (i + 1).alias("i"))).alias("_marks")).where(F.size("_marks") > 0)
+    chunks = F.sequence(F.lit(0), F.floor((F.size("_marks") - 1) / _CHUNK).cast("int"))
+    placed = placed.withColumn("_kept", F.reduce(chunks, state(F.lit(0), F.lit(0), F.array().cast(kept_type)), chunk)["kept"])
+    # an entry reaches to the next mark that is kept; marks between are text
+    pieces = F.transform(F.col("_marks"), lambda x: F.concat(x["m"].cast("string"), F.lit(" "), F.element_at("_parts", x["i"] + 1)))
+    placed = placed.withColumn("_pieces", pieces)
+
+    def entry(x: Column, k: Column) -> Column:
+        end = F.when(k + 1 < F.size("_kept"), F.get("_kept", k + 1)["i"]).otherwise(F.size("_marks") + 1)
+        words = F.concat(F.array(F.element_at("_parts", x["i"] + 1)), F.slice("_pieces", x["i"] + 1, end - x["i"] - 1))
+        return F.struct(x["list"].alias("list"), x["n"].alias("n"), F.array_join(words, " ").alias("entry"))
+
+    rows = placed.select(doc_id, F.inline(F.transform("_kept", entry))).withColumn("entry", design_description(F.col("entry"), stops))
     w = Window.partitionBy(doc_id, "list")
     if shared:
         tail = F.last(F.nullif(F.regexp_extract("entry", rf"(?i)\s+({shared}.*)$", 1), F.lit("")), ignorenulls=True).over(w.orderBy("n").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
@@ -188,7 +200,8 @@ def explode_options(rows: DataFrame, text: str) -> DataFrame:
 
 def inventory(pages: DataFrame, pattern: str, *, page_id: str = "page_id", text: str = "html") -> DataFrame:
     """Form slots (slot, number, name, status, quantity from a pattern's five groups): the public number is the written one;
-    where two machines of a status claim it, the later takes its slot, or the next number that is free.
+    where two machines of a status claim it, the later takes its slot, or the next number that is free. Machines of a slot
+    go by number, name and quantity; one without slot and number has no public number.
     """
     groups = [F.regexp_extract_all(text, F.lit(pattern), F.lit(i)) for i in range(1, 6)]
     rows = pages.select(page_id, F.inline(F.arrays_zip(*[g.alias(f"g{i}") for i, g in enumerate(groups)]))).toDF("page", "slot", "number", "name", "status", "quantity")
@@ -197,15 +210,19 @@ def inventory(pages: DataFrame, pattern: str, *, page_id: str = "page_id", text:
     def settle(pdf: pd.DataFrame) -> pd.DataFrame:
         taken: set[int] = set()
         out = []
-        for r in pdf.sort_values("slot").itertuples():
+        pdf = pdf.sort_values(["slot", "number", "name", "quantity"])
+        for r in pdf.itertuples():
+            if pd.isna(r.slot) and pd.isna(r.number):
+                out.append(None)
+                continue
             n = int(r.number) if pd.notna(r.number) else int(r.slot)
-            if n in taken:
+            if n in taken and pd.notna(r.slot):
                 n = int(r.slot)
             while n in taken:
                 n += 1
             taken.add(n)
             out.append(n)
-        return pdf.sort_values("slot").assign(public=out)
+        return pdf.assign(public=pd.array(out, "Int64"))
 
     page = rows.schema["page"].dataType.simpleString()
     return rows.groupBy("page", "status").applyInPandas(settle, f"page {page}, slot int, number int, name string, status string, quantity int, public int")

@@ -560,9 +560,8 @@ with i as (select user_id, min(event_id) as event_id from events group by 1), c
 select i.user_id, event_id, made, made is not null as reused from i left join c on i.user_id = c.user_id""")
 def t_reuse_cache(spark, sf_dir):
     e = table(spark, sf_dir, "events")
-    last = e.agg(F.max("ts")).first()[0]
-    cache = e.select("user_id", F.col("ts").alias("made"), "event_type")
-    out = incremental.reuse_cache(e.select("user_id", "event_id"), cache, ["user_id"], "event_id", "made", F.lit(last).cast("timestamp_ntz"), 3, F.col("event_type") != "error")
+    cache = e.select("user_id", F.col("ts").alias("made"), "event_type").crossJoin(F.broadcast(e.agg(F.max("ts").alias("last"))))  # one row
+    out = incremental.reuse_cache(e.select("user_id", "event_id"), cache, ["user_id"], "event_id", "made", F.col("last"), 3, F.col("event_type") != "error")
     return out.select("user_id", "event_id", "made", "reused")
 
 

@@ -31,10 +31,11 @@ def manifest(df: DataFrame, by: list[str]) -> DataFrame:
 
 
 def verify_manifest(expected: DataFrame, actual: DataFrame, by: list[str]) -> DataFrame:
-    """Exports whose manifest is not the same on both sides."""
+    """Exports whose manifest is not the same on both sides; null keys are equal."""
     cols = ["rows", "bytes", "checksum"]
-    both = expected.select(*by, F.struct(*cols).alias("e")).join(actual.select(*by, F.struct(*cols).alias("a")), by, "full_outer")
-    return both.where(~F.col("e").eqNullSafe(F.col("a"))).select(*by, F.col("e.rows").alias("expected_rows"), F.col("a.rows").alias("actual_rows"))
+    sides = expected.select(F.struct(*by).alias("_e"), F.struct(*cols).alias("e")), actual.select(F.struct(*by).alias("_a"), F.struct(*cols).alias("a"))
+    both = sides[0].join(sides[1], F.col("_e").eqNullSafe(F.col("_a")), "full_outer").withColumn("_by", F.coalesce("_e", "_a"))
+    return both.where(~F.col("e").eqNullSafe(F.col("a"))).select(*[F.col("_by")[c].alias(c) for c in by], F.col("e.rows").alias("expected_rows"), F.col("a.rows").alias("actual_rows"))
 
 
 def write_catalogue(rows: DataFrame, path: str, keep: list[str], group: list[str], fields: list[str]) -> None:

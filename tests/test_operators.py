@@ -1,12 +1,16 @@
 """Cases that the tables do not show: order, ties, blanks, conflicts, files and streams."""
 
 import json
+import random
+import re
+from difflib import SequenceMatcher
 
 import pytest
 from pyspark.sql import functions as F
 
 from catloom.functions import records, text, urls, years
 from catloom.operators import contracts, extract, filters, findings, incremental, match, order, relate, shape, stats, updates
+from catloom.plans import extract_queries, relation_queries
 from catloom.sources import readers, writers
 from catloom.streaming import upserts
 
@@ -114,6 +118,79 @@ def test_dual_keys_disagree(spark):
     assert got == {1: (None, "targets disagree"), 2: ("a", None), 3: ("b", None), 4: (None, "no target")}
 
 
+def plain_lists(t, mark):
+    """Lists of a text read mark by mark: an entry goes on to the next mark that is one of its list."""
+    marks, out, lst, n = list(re.finditer(mark, t)), [], 0, 0
+    for i, m in enumerate(marks):
+        entry = t[m.end() : marks[i + 1].start() if i + 1 < len(marks) else len(t)]
+        k = int(m[1])
+        if k == 1 or lst and k == n + 1:
+            lst, n = lst + (k == 1), k
+            out.append([lst, k, entry])
+        elif out:
+            out[-1][2] += f" {k} {entry}"
+    tidy = [(a, b, re.sub(r"^[ ,;.]+|[ ,;.]+$", "", " ".join(e.split()))) for a, b, e in out]
+    blank = {a for a, _, e in tidy if not e}
+    return sorted(x for x in tidy if x[0] not in blank)
+
+
+def test_numbered_lists_mark_by_mark(spark):
+    rng = random.Random(5)
+    texts = [" ".join(f"{rng.choice([1, 2, 3, 4, 5, n])}. w{n}" for n in range(1, size)) for size in (2, 9, 63, 64, 65, 66, 130, 400)]
+    texts += ["", None, "no marks", "7) a 8) b", "1) only", "1. a 1. b 2. c 9. d 3. e", " ".join(f"{i % 900 + 1}. x" for i in range(6000)), "1. a " + " ".join(f"{i}: y" for i in range(3, 999)) + " 2. b"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "id long, t string")
+    got = {}
+    for r in extract.numbered(docs, "id", "t").collect():
+        got.setdefault(r["id"], []).append((r["list"], r["n"], r["entry"]))
+    assert {k: sorted(v) for k, v in got.items()} == {i: x for i, t in enumerate(texts) if (x := plain_lists(t or "", extract._MARK))}
+
+
+def test_inventory_of_the_part_table(spark):
+    parts = [r.asDict() for r in spark.read.parquet("/root/testdata/sf0.001/part.parquet").collect()]
+    want, taken = set(), {}
+    for r in sorted(parts, key=lambda r: r["p_partkey"]):
+        own = taken.setdefault((r["p_brand"], r["p_type"]), set())
+        n = r["p_size"] % 5
+        if n in own:
+            n = r["p_partkey"]
+        while n in own:
+            n += 1
+        own.add(n)
+        want.add((r["p_brand"], r["p_partkey"], r["p_type"], n))
+    rows = extract_queries.e_inventory(spark, "/root/testdata/sf0.001").collect()
+    assert len(rows) == len(parts) and {(r["page"], r["slot"], r["status"], r["public"]) for r in rows} == want
+    odd = spark.createDataFrame([("p", "99999999999;;a;x;1\n;;b;x;1\n3;2;c;x;0\n3;2;d;x;5\n99999999999;2;e;x;1")], "page_id string, html string")
+    got = {r["name"]: (r["slot"], r["public"], r["quantity"]) for r in extract.inventory(odd, r"(?m)^(\d*);(\d*);([^;]*);([^;]*);(\d+)$").collect()}
+    assert got == {"a": (None, None, 1), "b": (None, None, 1), "c": (3, 2, None), "d": (3, 3, 5), "e": (None, 4, 1)}
+
+
+def test_asymmetric_candidates_of_the_part_table(spark):
+    parts = [r.asDict() for r in spark.read.parquet("/root/testdata/sf0.001/part.parquet").collect()]
+    want = set()
+    for a in parts:
+        if a["p_partkey"] % 2 == 0:
+            continue
+        found = []
+        for b in parts:
+            if b["p_partkey"] % 2 or a["p_brand"] != b["p_brand"] or a["p_size"] != b["p_size"]:
+                continue
+            like = SequenceMatcher(None, a["p_name"], b["p_name"]).ratio()
+            if a["p_name"] != b["p_name"] and like < 0.7:
+                continue
+            x, y = a["p_type"], b["p_type"]
+            found.append(((5 if a["p_name"] == b["p_name"] else 3 * like) + (5 if x == y else 2.5 if x in y or y in x else 0), -b["p_partkey"]))
+        want |= {(a["p_partkey"], -k, round(p, 6), i) for i, (p, k) in enumerate(sorted(found, reverse=True)[:3], 1) if p > 0}
+    rows = relation_queries.m_top_candidates_difflib(spark, "/root/testdata/sf0.001").collect()
+    assert {(r["item_id"], r["record_id"], round(r["points"], 6), r["rank"]) for r in rows} == want
+
+
+def test_manifests_with_null_keys(spark):
+    df = spark.createDataFrame([("a", 1), (None, 2), (None, 3)], "k string, v int")
+    assert writers.verify_manifest(writers.manifest(df, ["k"]), writers.manifest(df, ["k"]), ["k"]).count() == 0
+    bad = writers.verify_manifest(writers.manifest(df, ["k"]), writers.manifest(df.where("v <> 3"), ["k"]), ["k"]).collect()
+    assert [(r["k"], r["expected_rows"], r["actual_rows"]) for r in bad] == [(None, 2, 1)]
+
+
 def test_numbered_lists(spark):
     docs = spark.createDataFrame([(1, "A: 1. sun 2. moon with 5. stars 3. sea 1. cat, 2. dog Reverse for all: crown"), (2, "no list"), (3, None)], "id int, t string")
     got = [(r["list"], r["n"], r["entry"]) for r in extract.numbered(docs, "id", "t", shared="Reverse for all").orderBy("list", "n").collect()]
