@@ -146,7 +146,7 @@ def test_numbered_lists_mark_by_mark(spark):
 
 
 def test_inventory_of_the_part_table(spark):
-    parts = [r.asDict() for r in spark.read.parquet("/root/testdata/sf0.001/part.parquet").collect()]
+    parts = [r.asDict() for r in spark.read.parquet("/root/testdata/sf0.01/part.parquet").collect()]
     want, taken = set(), {}
     for r in sorted(parts, key=lambda r: r["p_partkey"]):
         own = taken.setdefault((r["p_brand"], r["p_type"]), set())
@@ -157,15 +157,16 @@ def test_inventory_of_the_part_table(spark):
             n += 1
         own.add(n)
         want.add((r["p_brand"], r["p_partkey"], r["p_type"], n))
-    rows = extract_queries.e_inventory(spark, "/root/testdata/sf0.001").collect()
+    rows = extract_queries.e_inventory(spark, "/root/testdata/sf0.01").collect()
     assert len(rows) == len(parts) and {(r["page"], r["slot"], r["status"], r["public"]) for r in rows} == want
+    assert any(r["public"] != r["number"] for r in rows)
     odd = spark.createDataFrame([("p", "99999999999;;a;x;1\n;;b;x;1\n3;2;c;x;0\n3;2;d;x;5\n99999999999;2;e;x;1")], "page_id string, html string")
     got = {r["name"]: (r["slot"], r["public"], r["quantity"]) for r in extract.inventory(odd, r"(?m)^(\d*);(\d*);([^;]*);([^;]*);(\d+)$").collect()}
     assert got == {"a": (None, None, 1), "b": (None, None, 1), "c": (3, 2, None), "d": (3, 3, 5), "e": (None, 4, 1)}
 
 
 def test_asymmetric_candidates_of_the_part_table(spark):
-    parts = [r.asDict() for r in spark.read.parquet("/root/testdata/sf0.001/part.parquet").collect()]
+    parts = [r.asDict() for r in spark.read.parquet("/root/testdata/sf0.01/part.parquet").collect()]
     want = set()
     for a in parts:
         if a["p_partkey"] % 2 == 0:
@@ -180,8 +181,9 @@ def test_asymmetric_candidates_of_the_part_table(spark):
             x, y = a["p_type"], b["p_type"]
             found.append(((5 if a["p_name"] == b["p_name"] else 3 * like) + (5 if x == y else 2.5 if x in y or y in x else 0), -b["p_partkey"]))
         want |= {(a["p_partkey"], -k, round(p, 6), i) for i, (p, k) in enumerate(sorted(found, reverse=True)[:3], 1) if p > 0}
-    rows = relation_queries.m_top_candidates_difflib(spark, "/root/testdata/sf0.001").collect()
+    rows = relation_queries.m_top_candidates_difflib(spark, "/root/testdata/sf0.01").collect()
     assert {(r["item_id"], r["record_id"], round(r["points"], 6), r["rank"]) for r in rows} == want
+    assert len(want) > 50
 
 
 def test_manifests_with_null_keys(spark):
