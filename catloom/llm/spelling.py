@@ -47,9 +47,11 @@ def occurrences(doc_id: int | None, text: str, least: int, every: int) -> Counte
     found = Counter({w: n for w, n in found.items() if len(w) >= least})
     start, plain = zlib.crc32(f"{'' if doc_id is None else doc_id}:".encode()), text.isascii()
     hashes = ((w, zlib.crc32(w if plain or w.isascii() else w.decode("latin-1").encode(), start)) for w in found)
-    for w, h in [(w, h) for w, h in hashes if h % every == 0]:
-        n, at = found[w], h % len(w)
-        found[w] -= n
+    # all that change leave before any is counted as what it became: that may be a word which the hash asks for too
+    changed = [(w, found[w], h % len(w)) for w, h in hashes if h % every == 0]
+    for w, _, _ in changed:
+        del found[w]
+    for w, n, at in changed:
         if len(w) > least:
             found[w[:at] + w[at + 1 :]] += n
     return found
