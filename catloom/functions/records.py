@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import unicodedata
 from difflib import SequenceMatcher
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -39,10 +40,15 @@ def row_hash(*cols: Column | str, names: list[str] | None = None) -> Column:
     return F.sha2(canonical_json(*cols, names=names), 256)
 
 
+@lru_cache(1 << 16)  # names repeat within a task
+def _ratio(a: str, b: str) -> float:
+    return SequenceMatcher(None, a, b).ratio()
+
+
 @F.pandas_udf(T.DoubleType())
 def difflib_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """Similarity of two names; the order of the arguments matters, and nulls count as blank."""
-    return pd.Series([SequenceMatcher(None, x or "", y or "").ratio() for x, y in zip(a, b, strict=True)], dtype=float)
+    return pd.Series([_ratio(x or "", y or "") for x, y in zip(a, b, strict=True)], dtype=float)
 
 
 @F.pandas_udf(T.StringType())

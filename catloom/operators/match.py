@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from catloom.functions.records import difflib_ratio
 from catloom.functions.text import amount_variants, contains_sequence, fold_keep_accents, key_tokens, normalize_key
 from catloom.functions.urls import detail_stem
+from catloom.sources.shared import stored
 
 
 def match_cascade(items: DataFrame, records: DataFrame, stages: list[tuple[str, Column, Column]], *, item_id: str = "item_id", record_id: str = "record_id", unique: tuple[str, ...] = ()) -> DataFrame:
@@ -68,20 +72,46 @@ def levenshtein_ratio(a: Column, b: Column) -> Column:
     return 1 - F.levenshtein(a, b) / F.greatest(F.length(a), F.length(b), F.lit(1))
 
 
+def top_of_classes(items: DataFrame, records: DataFrame, k: int, pairs: Callable[[DataFrame, DataFrame], DataFrame], points: Column, *, item_id: str, record_id: str) -> DataFrame:
+    """item_id, record_id, points, rank of the k best records with points above 0 for each item. Ties go to the smaller record_id.
+
+    Rows that differ in their id alone have the same points and make one class. Classes of items are scored against classes of
+    records, of which only the k smallest ids can be among the best, so the pairs grow with the classes and not with their rows.
+    pairs: of items (columns i_<column>) and records (r_<column>), without ids, the candidates; points may use these columns.
+    """
+    ci, cr = [c for c in items.columns if c != item_id], [c for c in records.columns if c != record_id]
+    i = items.select(*[F.col(c).alias(f"i_{c}") for c in ci]).groupBy(*[f"i_{c}" for c in ci]).agg(F.lit(1).alias("_one")).drop("_one")
+    own = Window.partitionBy(*[f"r_{c}" for c in cr]).orderBy("_r")
+    r = records.select(F.col(record_id).alias("_r"), *[F.col(c).alias(f"r_{c}") for c in cr]).withColumn("_n", F.row_number().over(own)).where(F.col("_n") <= k)
+    r = stored(r.groupBy(*[f"r_{c}" for c in cr]).agg(F.sort_array(F.collect_list("_r")).alias("_ids"), F.count(F.when(F.col("_r").isNull(), 1)).alias("_nulls")), "record-classes")
+    rows = pairs(i, r).withColumn("points", points).where("points > 0")
+    # the classes' best by their first ids, then these classes' ids: a class has one place at least before any that it goes after
+    best = Window.partitionBy(*[f"i_{c}" for c in ci]).orderBy(F.desc("points"), "_first")
+    rows = rows.withColumn("_first", F.when(F.col("_nulls") == 0, F.get("_ids", F.lit(0)))).withColumn("_n", F.row_number().over(best)).where(F.col("_n") <= k)
+    ids = F.concat(F.array_repeat(F.lit(None).cast(records.schema[record_id].dataType), F.col("_nulls").cast("int")), "_ids")
+    tops = rows.select(*[f"i_{c}" for c in ci], "points", F.explode(ids).alias("_r"))
+    tops = tops.withColumn("_n", F.row_number().over(Window.partitionBy(*[f"i_{c}" for c in ci]).orderBy(F.desc("points"), "_r"))).where(F.col("_n") <= k).drop("_n")
+    tops = stored(tops, "class-tops")
+    same = reduce(lambda x, y: x & y, [items[c].eqNullSafe(tops[f"i_{c}"]) for c in ci])
+    each = Window.partitionBy("item_id").orderBy(F.desc("points"), "record_id")  # rows may repeat an item_id
+    out = items.join(tops, same).select(items[item_id].alias("item_id"), F.col("_r").alias("record_id"), "points")
+    return out.withColumn("rank", F.row_number().over(each)).where(F.col("rank") <= k)
+
+
 def top_candidates(items: DataFrame, records: DataFrame, block: list[str], amount: str, points: Column, k: int, *, item_id: str = "item_id", record_id: str = "record_id") -> DataFrame:
     """The k best records with points above 0 for each item. Candidates share the block and the amount, or lack an amount.
 
-    points may use i_<column> and r_<column>. Ties go to the smaller record_id.
+    points may use i_<column> and r_<column>, but not the ids. Ties go to the smaller record_id. Give only columns that block,
+    amount and points use: rows that are equal in them are scored once.
     """
-    i = items.select(*[F.col(c).alias(f"i_{c}") for c in items.columns])
-    r = records.select(*[F.col(c).alias(f"r_{c}") for c in records.columns])
-    same = [i[f"i_{b}"] == r[f"r_{b}"] for b in block]
-    blank_i, blank_r = F.coalesce(i[f"i_{amount}"], F.lit("")) == "", F.coalesce(r[f"r_{amount}"], F.lit("")) == ""
-    equal = F.coalesce(i[f"i_{amount}"], F.lit("")) == F.coalesce(r[f"r_{amount}"], F.lit(""))  # both may lack it
-    pairs = i.join(r, [*same, equal]).unionByName(i.where(blank_i).join(r.where(~blank_r), same)).unionByName(i.where(~blank_i).join(r.where(blank_r), same))
-    rows = pairs.withColumn("points", points).where("points > 0")
-    w = Window.partitionBy(f"i_{item_id}").orderBy(F.desc("points"), f"r_{record_id}")
-    return rows.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select(F.col(f"i_{item_id}").alias("item_id"), F.col(f"r_{record_id}").alias("record_id"), "points", "rank")
+
+    def pairs(i: DataFrame, r: DataFrame) -> DataFrame:
+        same = [i[f"i_{b}"] == r[f"r_{b}"] for b in block]
+        blank_i, blank_r = F.coalesce(i[f"i_{amount}"], F.lit("")) == "", F.coalesce(r[f"r_{amount}"], F.lit("")) == ""
+        equal = F.coalesce(i[f"i_{amount}"], F.lit("")) == F.coalesce(r[f"r_{amount}"], F.lit(""))  # both may lack it
+        return i.join(r, [*same, equal]).unionByName(i.where(blank_i).join(r.where(~blank_r), same)).unionByName(i.where(~blank_i).join(r.where(blank_r), same))
+
+    return top_of_classes(items, records, k, pairs, points, item_id=item_id, record_id=record_id)
 
 
 def resolve_missing(items: DataFrame, associations: DataFrame, found: DataFrame, direct: DataFrame, owners: DataFrame) -> DataFrame:

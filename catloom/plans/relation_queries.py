@@ -151,7 +151,7 @@ s as (select i.p_partkey as item_id, r.p_partkey as record_id, case when i.p_nam
 p as (select item_id, record_id, case when not eq and ratio < 0.7 then 0 else base + case when same then 5.0 else 0 end end as points from s)
 select item_id, record_id, round(points, 6) as points, rank from (select *, row_number() over (partition by item_id order by points desc, record_id) as rank from p where points > 0) where rank <= 3""")
 def m_top_candidates(spark, sf_dir):
-    p = table(spark, sf_dir, "part").withColumn("amount", F.col("p_size").cast("string"))
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_name", "p_type", F.col("p_size").cast("string").alias("amount"))
     points = match.score(F.col("i_amount"), F.col("r_amount"), F.col("i_p_name"), F.col("r_p_name"), F.col("i_p_type"), F.col("r_p_type"), ratio=match.levenshtein_ratio(F.col("i_p_name"), F.col("r_p_name")))
     out = match.top_candidates(p.where("p_partkey % 2 = 1"), p.where("p_partkey % 2 = 0"), ["p_brand"], "amount", points, 3, item_id="p_partkey", record_id="p_partkey")
     return out.withColumn("points", F.round("points", 6))
@@ -160,7 +160,7 @@ def m_top_candidates(spark, sf_dir):
 @query()
 def m_top_candidates_difflib(spark, sf_dir):
     """The same with the asymmetric similarity, which SQL has no function for."""
-    p = table(spark, sf_dir, "part").withColumn("amount", F.col("p_size").cast("string"))
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_name", "p_type", F.col("p_size").cast("string").alias("amount"))
     points = match.score(F.col("i_amount"), F.col("r_amount"), F.col("i_p_name"), F.col("r_p_name"), F.col("i_p_type"), F.col("r_p_type"))
     return match.top_candidates(p.where("p_partkey % 2 = 1"), p.where("p_partkey % 2 = 0"), ["p_brand"], "amount", points, 3, item_id="p_partkey", record_id="p_partkey")
 
