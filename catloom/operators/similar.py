@@ -19,12 +19,12 @@ from __future__ import annotations
 from collections import Counter
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from catloom.functions.records import difflib_ratio
-from catloom.operators.match import score
+from catloom.operators.match import score, top_of_classes
 from catloom.sources.shared import stored
 
 
@@ -82,12 +82,10 @@ def top_similar(items: DataFrame, records: DataFrame, k: int, *, item_id: str =
     What match.top_candidates with the asymmetric score gives without a block, for names that are not blank: items with a
     blank name, which are only told apart by their years, have no candidates here.
     """
-    alike = similar_names(items, records, name, name, least=least)
-    i = items.select(*[F.col(c).alias(f"i_{c}") for c in (item_id, name, amount, years)])
-    r = records.select(*[F.col(c).alias(f"r_{c}") for c in (record_id, name, amount, years)])
-    rows = i.join(alike, F.col(f"i_{name}") == F.col("a")).join(r, F.col("b") == F.col(f"r_{name}"))
+    alike = stored(similar_names(items, records, name, name, least=least), "names-alike")
     text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
-    points = score(text(f"i_{amount}"), text(f"r_{amount}"), text("a"), text("b"), text(f"i_{years}"), text(f"r_{years}"), ratio=F.col("ratio"))
-    best = Window.partitionBy(f"i_{item_id}").orderBy(F.desc("points"), f"r_{record_id}")
-    rows = rows.withColumn("points", points).where("points > 0").withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-    return rows.select(F.col(f"i_{item_id}").alias("item_id"), F.col(f"r_{record_id}").alias("record_id"), "points", "rank")
+    side = lambda df, key: df.select(key, *[text(c).alias(c) for c in (name, amount, years)]).where(F.trim(name) != "")
+    pairs = lambda i, r: i.join(alike, F.col(f"i_{name}") == F.col("a")).join(r, F.col("b") == F.col(f"r_{name}"))
+    i, r = ([f"{p}_{c}" for c in (amount, name, years)] for p in "ir")
+    points = score(F.col(i[0]), F.col(r[0]), F.col(i[1]), F.col(r[1]), F.col(i[2]), F.col(r[2]), ratio=F.col("ratio"))
+    return top_of_classes(side(items, item_id), side(records, record_id), k, pairs, points, item_id=item_id, record_id=record_id)

@@ -37,3 +37,33 @@ def test_all_pairs_of_the_part_table(spark, capsys):
     scored, names = similar.candidate_pairs(own, other, "name", "name").count(), own.select("name").distinct().count()
     with capsys.disabled():
         print(f"\npairs scored: {scored} of {names * other.select('name').distinct().count()}")
+
+
+def test_equal_rows_are_scored_once(spark):
+    """Copies of a few rows, repeated and null ids: the rows of all pairs, from the pairs of what differs."""
+    rng, scored = random.Random(9), spark.sparkContext.accumulator(0)
+    kinds = [(b, s, n, t) for b in "xy" for s in ("1", "2", None, "") for n in ("2 euro", "2 euros", "euro 2", None) for t in ("a", "ab")]
+    rows = lambda: [(rng.choice([None, rng.randrange(200), rng.randrange(5000)]), *rng.choice(kinds)) for _ in range(800)]
+    schema = "id long, brand string, amount string, name string, type string"
+    items, records = spark.createDataFrame(rows(), schema), spark.createDataFrame(rows(), schema)
+
+    @F.udf("double")
+    def points(a, b, x, y):
+        scored.add(1)
+        return None if a is None or b is None else float(len({*a} & {*b}) - 2 * (a != b) + (x == y))
+
+    got = match.top_candidates(items, records, ["brand"], "amount", points("i_name", "r_name", "i_type", "r_type"), 3, item_id="id", record_id="id")
+    got = sorted(map(str, got.collect()))
+    assert scored.value <= 4 * len(kinds) ** 2 and len(got) > 300  # a UDF that is filtered and shown may run more than once
+    every, fits = [], lambda a, b: a["brand"] == b["brand"] and (not a["amount"] or not b["amount"] or a["amount"] == b["amount"])
+    best = {}
+    own, other = items.collect(), records.collect()
+    for a in own:
+        for b in other:
+            if fits(a, b) and a["name"] is not None and b["name"] is not None:
+                p = float(len({*a["name"]} & {*b["name"]}) - 2 * (a["name"] != b["name"]) + (a["type"] == b["type"]))
+                if p > 0:
+                    best.setdefault(a["id"], []).append((-p, b["id"] is not None, b["id"] or 0, b["id"]))
+    for a, found in best.items():
+        every += [f"Row(item_id={a}, record_id={r[3]}, points={-r[0]}, rank={n})" for n, r in enumerate(sorted(found, key=lambda r: r[:3])[:3], 1)]
+    assert got == sorted(every)
