@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catloom.sources.shared import scratch  # noqa: F401  (queries take it from here)
+from catloom.sources.shared import scratch, spread  # noqa: F401  (queries take them from here)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}

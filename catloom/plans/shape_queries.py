@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from catloom.functions import years
 from catloom.operators import filters, folds, order, ranges, shape, stats
-from catloom.plans.registry import query, table
+from catloom.plans.registry import query, spread, table
 
 
 @query("select o_orderkey, o_custkey from orders where year(o_orderdate) >= 1998")
@@ -181,7 +181,7 @@ _LINES = "with l as (select *, row_number() over (partition by l_orderkey order
 
 def _lines(spark, sf_dir):
     w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_quantity")
-    return table(spark, sf_dir, "lineitem").withColumn("pos", F.row_number().over(w))
+    return spread(table(spark, sf_dir, "lineitem"), "l_orderkey").withColumn("pos", F.row_number().over(w))
 
 
 @query(_LINES + """, g as (select *, min(pos) over (partition by l_orderkey, l_returnflag) as gp, min(pos) over (partition by l_orderkey, l_returnflag, l_linestatus) as lp from l)

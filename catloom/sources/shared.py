@@ -25,3 +25,12 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
     path = scratch(df.sparkSession, tag)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(rows: DataFrame, *key: str, each: int = 500_000, n: int | None = None) -> DataFrame:
+    """Rows dealt by key into tasks of about so many rows, however many rows there are, and the session's partitions at least.
+
+    What partitions by the key afterwards (windows, groups) stays in these tasks. n: the number of rows, if it is known.
+    """
+    n = rows.count() if n is None else n
+    return rows.repartition(max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n // each)), *key)
