@@ -9,7 +9,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from catloom.operators import extract, markup
-from catloom.plans.registry import query, table
+from catloom.plans.registry import query, spread, table
 
 
 @query("""
@@ -38,7 +38,7 @@ def e_labelled(spark, sf_dir):
 def _texts(spark, sf_dir):
     """For each order a text that numbers its lines."""
     w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_quantity")
-    rows = table(spark, sf_dir, "lineitem").withColumn("n", F.row_number().over(w))
+    rows = spread(table(spark, sf_dir, "lineitem"), "l_orderkey").withColumn("n", F.row_number().over(w))
     return rows.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("n", "l_partkey"))).alias("rows"))
 
 
