@@ -6,6 +6,7 @@ from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,9 +28,10 @@ class _Blocks(HTMLParser):
     def __init__(self, wanted: dict[str, tuple[str, str]]):
         super().__init__(convert_charrefs=True)
         self.wanted, self.out, self.depth, self.open = wanted, [], 0, None
+        self.tags = frozenset(name for name, _ in wanted.values())
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
-        if self.open is None:
+        if self.open is None and tag in self.tags:
             classes = (dict(attrs).get("class") or "").split()
             for kind, (name, css) in self.wanted.items():
                 if tag == name and (not css or css in classes):
@@ -255,8 +257,24 @@ def check_complete(extracted: DataFrame, announced: DataFrame, key: str, count:
 
 def table_rows(pages: DataFrame, **options) -> DataFrame:
     """Cells of each table row: page_id, row, cells."""
-    rows = page_blocks(pages, {"row": ("tr", "")}, **options)
-    return rows.select("page_id", F.col("pos").alias("row"), F.split("text", r"\s*\|\s*").alias("cells"))
+    key, source = options.get("page_id", "page_id"), options.get("html", "html")
+    wanted, kind = {"row": ("tr", "")}, pages.schema[key].dataType.simpleString()
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        p = _Blocks(wanted)
+        for batch in batches:
+            at, row, texts = [], [], []
+            for i, text in enumerate(batch["html"].to_pylist()):
+                p.reset()
+                p.out, p.depth, p.open = [], 0, None
+                p.feed(text or "")
+                at += [i] * len(p.out)
+                row += range(len(p.out))
+                texts += [t for _, t, _ in p.out]
+            yield pa.RecordBatch.from_arrays([batch["page_id"].take(pa.array(at, pa.int64())), pa.array(row, pa.int64()), pa.array(texts, pa.string())], ["page_id", "row", "text"])
+
+    rows = pages.select(F.col(key).alias("page_id"), F.col(source).cast("string").alias("html")).mapInArrow(walk, f"page_id {kind}, row long, text string")
+    return rows.select("page_id", "row", F.split("text", r"\s*\|\s*").alias("cells"))
 
 
 def mintage(cells: Column, multi: Column, period: Column, mark: Column) -> Column:
